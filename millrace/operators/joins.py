@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,12 +73,21 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return spread.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
+def which_fit(dfs: Sequence[DataFrame], max_rows: int = BROADCAST_ROWS) -> list[bool]:
+    """:func:`fits_broadcast` for several lookups in one job."""
+    tagged = [d.limit(max_rows + 1).select(F.lit(i).alias("i")) for i, d in enumerate(dfs)]
+    counts = dict(reduce(DataFrame.union, tagged).groupBy("i").count().collect())
+    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
+
+
 def lookup_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], how: str = "left",
-                max_rows: int = BROADCAST_ROWS) -> DataFrame:
+                max_rows: int = BROADCAST_ROWS, fits: bool | None = None) -> DataFrame:
     """Join ``left`` to a lookup with at most one row per key (``left``, ``inner``, ``left_semi``
-    or ``left_anti``): broadcast when the lookup is counted small, salted otherwise."""
+    or ``left_anti``): broadcast when the lookup is counted small, salted otherwise.
+
+    ``fits`` is the answer of a check already made."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if fits_broadcast(right, max_rows):
+    if fits_broadcast(right, max_rows) if fits is None else fits:
         return left.join(F.broadcast(right), keys, how)
     return salted_join(left, right, keys, how)
 
@@ -86,10 +96,10 @@ def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, dict[str, st
               max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Left join a fact to dimensions. Each entry is (dimension, key, {column: output name});
     only the named columns are read from the dimension."""
+    picked = [d.select(key, *[F.col(c).alias(n) for c, n in names.items()]) for d, key, names in dims]
     out = fact
-    for dim, key, names in dims:
-        picked = dim.select(key, *[F.col(c).alias(n) for c, n in names.items()])
-        out = lookup_join(out, picked, key, "left", max_rows)
+    for dim, fits, (_, key, _) in zip(picked, which_fit(picked, max_rows), dims):
+        out = lookup_join(out, dim, key, "left", max_rows, fits)
     return out
 
 

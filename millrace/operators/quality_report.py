@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -54,27 +55,28 @@ def _checks(df: DataFrame, contract: FileContract) -> list[tuple[str, str, Colum
     return found
 
 
-def column_issues(df: DataFrame, contract: FileContract) -> DataFrame:
+def column_issues(df: DataFrame, contract: FileContract, by: Sequence[str] = ()) -> DataFrame:
     """One row per (column, check), zero counts included, from a single aggregation over the file:
-    ``file_name, total_rows, column, check, issue_type, count``."""
+    ``file_name, total_rows, column, check, issue_type, count``. ``by`` counts per partition of the
+    file (a date, an hour) in the same pass."""
     checks = _checks(df, contract)
-    counted = df.agg(F.count(F.lit(1)).alias("total_rows"),
-                     *[n.alias(f"_{i}") for i, (_, _, n) in enumerate(checks)])
+    counted = df.groupBy(*by).agg(F.count(F.lit(1)).alias("total_rows"),
+                                  *[n.alias(f"_{i}") for i, (_, _, n) in enumerate(checks)])
     rows = F.array(*[
         F.struct(F.lit(column).alias("column"), F.lit(check).alias("check"),
                  F.lit(ISSUE_TYPE[check]).alias("issue_type"), F.col(f"_{i}").alias("count"))
         for i, (column, check, _) in enumerate(checks)
     ])
-    return counted.select(F.lit(contract.file_name).alias("file_name"), "total_rows",
+    return counted.select(*by, F.lit(contract.file_name).alias("file_name"), "total_rows",
                           F.inline(rows))
 
 
-def report_issues(tables: list[tuple[DataFrame, FileContract]]) -> DataFrame:
+def report_issues(tables: Sequence[tuple[DataFrame, FileContract]], by: Sequence[str] = ()) -> DataFrame:
     """Issues of several files as one plan."""
-    return reduce(DataFrame.unionByName, [column_issues(df, c) for df, c in tables])
+    return reduce(DataFrame.unionByName, [column_issues(df, c, by) for df, c in tables])
 
 
-def per_file_metrics(issues: DataFrame, run_id: str, keys: tuple[str, ...] = ("file_name",),
+def per_file_metrics(issues: DataFrame, run_id: str | Column, keys: Sequence[str] = ("file_name",),
                      elapsed_ms: Column | None = None) -> DataFrame:
     """One row per file: issue counts by category."""
 
@@ -88,7 +90,7 @@ def per_file_metrics(issues: DataFrame, run_id: str, keys: tuple[str, ...] = ("f
         *[total(c).alias(f"{c}_issues") for c in ("null", "type", "enum", "range", "format")],
         total("missing").alias("missing_cols"),
     ).withColumns({
-        "run_id": F.lit(run_id),
+        "run_id": F.lit(run_id) if isinstance(run_id, str) else run_id,
         "elapsed_ms": elapsed_ms if elapsed_ms is not None else F.lit(None).cast("double"),
     })
 

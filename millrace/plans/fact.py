@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.money import money, money_or_zero, refund_pct
 from millrace.functions.timing import as_timestamp, date_key, elapsed_minutes, time_key
-from millrace.operators.joins import BROADCAST_ROWS, lookup_join, not_in_target
+from millrace.operators.joins import BROADCAST_ROWS, not_in_target, star_join
 from millrace.operators.keys import max_key, number_rows
 from millrace.plans.sla import RESOLUTION_LIMIT_MIN, RESPONSE_LIMIT_MIN, ticket_timing
 
@@ -68,13 +68,11 @@ FACT_SCHEMA = T.StructType([
 def resolve_keys(rows: DataFrame, dims: Mapping[str, DataFrame],
                  max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Natural keys to surrogate keys; an unknown or missing key gives null."""
-    out = rows
-    for dim, (natural, sk) in DIMENSION_KEYS.items():
-        if dim in dims and natural in rows.columns:
-            out = lookup_join(out, dims[dim].select(natural, sk), natural, "left", max_rows)
-        else:
-            out = out.withColumn(sk, F.lit(None).cast("bigint"))
-    return out
+    found = [(dims[d], natural, {sk: sk}) for d, (natural, sk) in DIMENSION_KEYS.items()
+             if d in dims and natural in rows.columns]
+    out = star_join(rows, found, max_rows) if found else rows
+    return out.withColumns({sk: F.lit(None).cast("bigint")
+                            for _, sk in DIMENSION_KEYS.values() if sk not in out.columns})
 
 
 def moment_keys() -> dict[str, Column]:
@@ -89,10 +87,12 @@ def moment_keys() -> dict[str, Column]:
 
 def fact_rows(tickets: DataFrame, orders: DataFrame, activity: DataFrame, batch_id: str,
               response_limit: Column | float = RESPONSE_LIMIT_MIN,
-              resolution_limit: Column | float = RESOLUTION_LIMIT_MIN) -> DataFrame:
+              resolution_limit: Column | float = RESOLUTION_LIMIT_MIN,
+              keep: Sequence[str | Column] = ()) -> DataFrame:
     """One row per ticket, before keys: order amounts, refund, activity counts, timing, flags.
 
-    Silver holds one row per key, so both joins keep the ticket grain.
+    Silver holds one row per key, so both joins keep the ticket grain. ``keep`` passes further
+    columns of the timing through.
     """
     bought = orders.select("order_id", "order_status", "order_amount", "discount_amount",
                            "delivery_fee", "total_amount", "order_created_at", "delivered_at")
@@ -129,6 +129,7 @@ def fact_rows(tickets: DataFrame, orders: DataFrame, activity: DataFrame, batch_
         (reopens > 0).alias("is_reopened"),
         F.lit(False).alias("is_escalated"),
         F.lit(batch_id).alias("batch_id"),
+        *keep,
     )
 
 

@@ -79,15 +79,22 @@ FACT_COLUMNS = ("ticket_sk", "ticket_created_date_sk", "ticket_created_time_sk",
                 "batch_id", "total_event_count")
 
 
-def sla_metrics(timing: DataFrame, fact: DataFrame, dims: Mapping[str, DataFrame],
+DIMENSION_KEYS = ("customer_sk", "driver_sk", "restaurant_sk", "channel_sk", "priority_sk", "reason_sk")
+
+
+def with_fact(timing: DataFrame, fact: DataFrame) -> DataFrame:
+    """Timing of every ticket with the attributes and keys of its fact row, if it has one."""
+    return timing.select(*TIMING).join(
+        fact.select("ticket_id", *FACT_COLUMNS, *DIMENSION_KEYS), "ticket_id", "left")
+
+
+def sla_metrics(base: DataFrame, dims: Mapping[str, DataFrame],
                 max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Per-ticket SLA with fact attributes and dimension names.
 
-    ``timing`` comes from :func:`ticket_timing`, ``dims`` holds ``customer, driver, restaurant,
-    channel, priority, reason``.
+    ``base`` comes from :func:`with_fact`; ``dims`` holds ``customer, driver, restaurant, channel,
+    priority, reason``.
     """
-    keys = ["customer_sk", "driver_sk", "restaurant_sk", "channel_sk", "priority_sk", "reason_sk"]
-    base = timing.select(*TIMING).join(fact.select("ticket_id", *FACT_COLUMNS, *keys), "ticket_id", "left")
     named = star_join(base, [
         (dims["customer"], "customer_sk", {"city_name": "customer_city"}),
         (dims["driver"], "driver_sk", {"city_name": "driver_city"}),
@@ -100,7 +107,8 @@ def sla_metrics(timing: DataFrame, fact: DataFrame, dims: Mapping[str, DataFrame
     defaults = {"customer_city": "UNKNOWN", "driver_city": "UNKNOWN", "restaurant_name": "UNKNOWN",
                 "restaurant_city": "UNKNOWN", "channel_name": "UNKNOWN",
                 "priority_name": "STANDARD", "reason_name": "OTHER"}
-    return named.withColumns({n: F.coalesce(n, F.lit(v)) for n, v in defaults.items()}).drop(*keys)
+    return named.select(*[c for c in base.columns if c not in DIMENSION_KEYS],
+                        *[F.coalesce(n, F.lit(v)).alias(n) for n, v in defaults.items()])
 
 
 def sla_dashboard(metrics: DataFrame, refreshed_at: Column | None = None) -> DataFrame:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def registry() -> dict:
-    from millrace.workload import analytics
+    from millrace.workload import analytics, checks
 
     found: dict = {}
-    for part in (analytics,):
+    for part in (analytics, checks):
         found.update(part.QUERIES)
     return found

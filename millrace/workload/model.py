@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.plans.sla import ticket_activity
 
@@ -20,8 +21,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 RESPONSE_LIMIT, RESOLUTION_LIMIT = 259_200, 525_600
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """One of the given tables. Its footer is read once per process; a query that uses a table
+    several times then plans without further footer jobs."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def ticket_events(spark: SparkSession, sf: str) -> DataFrame:
