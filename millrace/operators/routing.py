@@ -63,7 +63,9 @@ def prepare_routing(df: DataFrame, table_name: str, run_id: str, max_retries: in
 def stage_by_status(df: DataFrame, path: str) -> DataFrame:
     """Write the validated rows once, one folder per status, and read them back."""
     schema = df.schema
-    df.write.mode("overwrite").partitionBy(STATUS).parquet(path)
+    # static: a repeated run must not leave rows of an earlier outcome behind
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(STATUS).parquet(path))
     return df.sparkSession.read.schema(schema).parquet(path).select(*df.columns)
 
 
@@ -73,16 +75,16 @@ def route(df: DataFrame, table_name: str, run_id: str, max_retries: int = 3,
     return split_by_status(stage_by_status(ready, stage) if stage else ready)
 
 
-def write_quarantine(df: DataFrame, root: str, table_name: str, process_date: str) -> None:
-    """Append to ``root/table_name=/process_date=/pipeline_run_id=``; a repeated run replaces its
-    own partition."""
-    (df.withColumns({"table_name": F.lit(table_name), "process_date": F.lit(process_date)})
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("table_name", "process_date", RUN_ID).parquet(root))
+def write_quarantine(df: DataFrame, root: str, table_name: str, process_date: str, run_id: str) -> None:
+    """One folder per table, day and run: ``root/table_name=/process_date=/pipeline_run_id=``. A
+    repeated run replaces its own folder."""
+    folder = f"{root}/table_name={table_name}/process_date={process_date}/{RUN_ID}={run_id}"
+    df.drop(RUN_ID).write.mode("overwrite").parquet(folder)
 
 
 def read_quarantine(spark: SparkSession, root: str, table_name: str) -> DataFrame:
-    return spark.read.parquet(root).filter(F.col("table_name") == table_name)
+    stored = spark.read.parquet(root).filter(F.col("table_name") == table_name)
+    return stored.withColumns({c: F.col(c).cast("string") for c in ("process_date", RUN_ID)})
 
 
 def write_waiting(df: DataFrame, root: str, table_name: str, cycle: int) -> None:

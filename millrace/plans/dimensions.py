@@ -25,6 +25,12 @@ def _places(regions: DataFrame, cities: DataFrame) -> DataFrame:
         "region_id", "city_name", "region_name", "country", "timezone", fee)
 
 
+def _private(name: str, hashed: bool) -> Column:
+    """``hashed_<name>``; ``hashed`` says the source already holds the hash."""
+    c = F.col(name)
+    return (c if hashed else pii_hash(c)).alias(f"hashed_{name}")
+
+
 def _int(name: str) -> Column:
     return F.col(name).try_cast("int").alias(name)
 
@@ -34,16 +40,16 @@ def _stamp(df: DataFrame, at: Column | None) -> DataFrame:
 
 
 def dim_customer(customers: DataFrame, regions: DataFrame, cities: DataFrame, segments: DataFrame,
-                 known: DataFrame | None = None, at: Column | None = None) -> DataFrame:
+                 known: DataFrame | None = None, at: Column | None = None, hashed: bool = False) -> DataFrame:
     plans = segments.select("segment_id", "segment_name",
                             F.col("discount_pct").try_cast("int").alias("segment_discount_pct"),
                             F.col("priority_support").alias("segment_priority_support"))
     flat = lookup_join(lookup_join(customers, _places(regions, cities), "region_id"), plans, "segment_id")
     rows = flat.select(
         "customer_id",
-        pii_hash(F.col("full_name")).alias("hashed_full_name"),
-        pii_hash(F.col("email")).alias("hashed_email"),
-        pii_hash(F.col("phone")).alias("hashed_phone"),
+        _private("full_name", hashed),
+        _private("email", hashed),
+        _private("phone", hashed),
         "gender", F.col("signup_date").cast("date").alias("signup_date"),
         "segment_name", "segment_discount_pct", "segment_priority_support",
         "city_name", "region_name", "country", "timezone", "delivery_base_fee",
@@ -53,12 +59,12 @@ def dim_customer(customers: DataFrame, regions: DataFrame, cities: DataFrame, se
 
 
 def dim_driver(drivers: DataFrame, regions: DataFrame, cities: DataFrame,
-               known: DataFrame | None = None, at: Column | None = None) -> DataFrame:
+               known: DataFrame | None = None, at: Column | None = None, hashed: bool = False) -> DataFrame:
     rows = lookup_join(drivers, _places(regions, cities), "region_id").select(
         "driver_id",
-        pii_hash(F.col("driver_name")).alias("hashed_driver_name"),
-        pii_hash(F.col("driver_phone")).alias("hashed_driver_phone"),
-        pii_hash(F.col("national_id")).alias("hashed_national_id"),
+        _private("driver_name", hashed),
+        _private("driver_phone", hashed),
+        _private("national_id", hashed),
         "shift", "vehicle_type", F.col("hire_date").cast("date").alias("hire_date"),
         F.col("rating_avg").try_cast("decimal(3,2)").alias("rating_avg"),
         F.col("on_time_rate").try_cast("decimal(5,2)").alias("on_time_rate"),
@@ -83,12 +89,12 @@ def dim_restaurant(restaurants: DataFrame, categories: DataFrame, regions: DataF
 
 
 def dim_agent(agents: DataFrame, teams: DataFrame, known: DataFrame | None = None,
-              at: Column | None = None) -> DataFrame:
+              at: Column | None = None, hashed: bool = False) -> DataFrame:
     rows = lookup_join(agents, teams.select("team_id", "team_name"), "team_id").select(
         "agent_id",
-        pii_hash(F.col("agent_name")).alias("hashed_agent_name"),
-        pii_hash(F.col("agent_email")).alias("hashed_agent_email"),
-        pii_hash(F.col("agent_phone")).alias("hashed_agent_phone"),
+        _private("agent_name", hashed),
+        _private("agent_email", hashed),
+        _private("agent_phone", hashed),
         "skill_level", F.col("hire_date").cast("date").alias("hire_date"),
         _int("avg_handle_time_min"),
         F.col("resolution_rate").try_cast("decimal(5,2)").alias("resolution_rate"),

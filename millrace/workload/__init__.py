@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def registry() -> dict:
-    from millrace.workload import analytics, checks
+    from millrace.workload import analytics, checks, loads
 
     found: dict = {}
-    for part in (analytics, checks):
+    for part in (analytics, checks, loads):
         found.update(part.QUERIES)
     return found

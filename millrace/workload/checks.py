@@ -292,7 +292,7 @@ def valid_rows(spark, sf):
 def quarantine_store(spark, sf):
     """Quarantined orders written and read back, by reason."""
     root = scratch_path(spark, "quarantine")
-    routing.write_quarantine(_routed(spark, sf, "q").quarantine, root, "orders", "2024-01-01")
+    routing.write_quarantine(_routed(spark, sf, "q").quarantine, root, "orders", "2024-01-01", "run1")
     stored = routing.read_quarantine(spark, root, "orders")
     return stored.groupBy(F.col(STATUS).alias("record_status"), reasons_text().alias("reasons"),
                           "table_name", F.col(routing.RUN_ID).alias("run_id")).agg(

@@ -77,7 +77,7 @@ if __name__ == "__main__":
     sf = sys.argv[1]
     picked = sys.argv[2:]
     spark = lake_session("oracle", "local[8]", spark__sql__shuffle__partitions="8",
-                         spark__ui__enabled="false", spark__driver__memory="8g")
+                         spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf)
     failed = 0
