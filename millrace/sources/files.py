@@ -159,8 +159,12 @@ def stream_source(spark: SparkSession, root: str, contract: FileContract, *,
 
 def archive_raw(df: DataFrame, path: str, mode: str = "append") -> None:
     """Bronze copy of a raw file: text columns plus source and arrival time, split by date and
-    hour. ``mode="overwrite"`` replaces only the dates and hours present in ``df``."""
-    (df.withColumn("_ingested_at", F.current_timestamp()).write.mode(mode)
+    hour. ``mode="overwrite"`` replaces only the dates and hours present in ``df``.
+
+    Rows are rebalanced by folder first: few files per hour, and a heavy hour is split over several
+    tasks at run time.
+    """
+    (df.withColumn("_ingested_at", F.current_timestamp()).hint("rebalance", "date", "hour").write.mode(mode)
      .option("partitionOverwriteMode", "dynamic").partitionBy("date", "hour").parquet(path))
 
 

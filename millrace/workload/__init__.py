@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def registry() -> dict:
-    from millrace.workload import analytics, checks, loads
+    from millrace.workload import analytics, checks, loads, logs, streams
 
     found: dict = {}
-    for part in (analytics, checks, loads):
+    for part in (analytics, checks, loads, logs, streams):
         found.update(part.QUERIES)
     return found
