@@ -81,14 +81,13 @@ class Lake:
          .partitionBy(*partition_by).saveAsTable(self.name(table)))
 
     def insert_absent(self, table: str, df: DataFrame, keys: Sequence[str],
-                      partition_by: Sequence[str] = ()) -> LoadResult:
-        """First load, or append of the keys not held yet; running it again adds nothing."""
-        if not keys:
-            fresh = df
-        elif self.exists(table):
-            fresh = insert_if_absent(df, self.read(table), keys)
-        else:
-            fresh = one_per_key(df, keys)
+                      partition_by: Sequence[str] = (), unique: bool = False) -> LoadResult:
+        """First load, or append of the keys not held yet; running it again adds nothing.
+
+        ``unique`` says the batch holds every key once (validated rows do)."""
+        fresh = one_per_key(df, keys) if keys and not unique else df
+        if keys and self.exists(table):
+            fresh = not_in_target(fresh, self.read(table), keys)
         added = Observation()
         self.append(table, fresh.observe(added, F.count(F.lit(1)).alias("rows")), partition_by)
         return LoadResult(table, df.count(), added.get["rows"])

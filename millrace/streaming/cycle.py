@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.contract import FileContract
@@ -36,6 +37,13 @@ def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def as_text_like(waiting: DataFrame, raw: DataFrame) -> DataFrame:
+    """Typed waiting rows in the column types of the raw source, so both are validated together."""
+    kinds = dict(raw.dtypes)
+    return waiting.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c)
+                            for c in waiting.columns])
+
+
 @dataclass
 class StreamLoader:
     """Loads one stream file into its Silver table, batch by batch.
@@ -51,7 +59,6 @@ class StreamLoader:
     extra_types: Mapping[str, str] = field(default_factory=dict)
     max_retries: int = 3
     bounds: str = "exclusive"
-    archive: bool = True
     process_date: str = "stream"
     partition_by: Sequence[str] = ()
 
@@ -65,21 +72,33 @@ class StreamLoader:
     def waiting_at(self, batch_id: int) -> DataFrame | None:
         """Orphans left by an earlier batch, ready to be tried again."""
         path = f"{self.store}/orphans/{self.contract.stem}/cycle={batch_id}"
-        if read_if_present(self.lake.spark, path) is None:
+        if batch_id < 0 or read_if_present(self.lake.spark, path) is None:
             return None
         return routing.read_waiting(self.lake.spark, f"{self.store}/orphans", self.contract.stem, batch_id)
 
+    def bronze(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """Archive the raw batch and read it back.
+
+        The steps that follow scan the batch several times: from Parquet instead of the text files,
+        and in the lake's own session, where plans adapt at run time (a streaming batch's session
+        does not).
+        """
+        path = f"{self.store}/bronze/{self.contract.stem}/batch={batch_id}"
+        if "date" in batch.columns and "hour" in batch.columns:
+            archive_raw(batch, path, "overwrite")
+        else:
+            batch.withColumn("_ingested_at", F.current_timestamp()).write.mode("overwrite").parquet(path)
+        stored = T.StructType([*batch.schema.fields, T.StructField("_ingested_at", T.TimestampType())])
+        return self.lake.spark.read.schema(stored).parquet(path)
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Body of ``foreachBatch``."""
         stem, run_id = self.contract.stem, f"batch-{batch_id}"
-        if self.archive and "hour" in batch.columns:
-            archive_raw(batch.withColumn("_batch_id", F.lit(batch_id)),
-                        f"{self.store}/bronze/{stem}/batch={batch_id}", "overwrite")
-        checked = validate(batch, self.contract, bounds=self.bounds, extra_types=self.extra_types)
+        raw = self.bronze(batch, batch_id).drop("_ingested_at")
         waiting = self.waiting_at(batch_id - 1)
         if waiting is not None:
-            again = validate(waiting, self.contract, bounds=self.bounds, extra_types=self.extra_types)
-            checked = checked.unionByName(again, allowMissingColumns=True)
+            raw = raw.unionByName(as_text_like(waiting, raw), allowMissingColumns=True)
+        checked = validate(raw, self.contract, bounds=self.bounds, extra_types=self.extra_types)
         marked = mark_orphans(checked, self._known_parents())
         routed = routing.route(marked, stem, run_id, self.max_retries,
                                f"{self.store}/staged/{stem}/batch={batch_id}")
@@ -87,7 +106,8 @@ class StreamLoader:
                                  self.process_date, run_id)
         routing.write_waiting(routed.waiting, f"{self.store}/orphans", stem, batch_id)
         clean = hash_columns(routed.valid, self.contract.pii_columns)
-        self.lake.insert_absent(self.table, clean, self.contract.primary_keys, self.partition_by)
+        self.lake.insert_absent(self.table, clean.drop("date", "hour"), self.contract.primary_keys,
+                                self.partition_by, unique=True)
 
     def start(self, source: DataFrame, every: str | None = None) -> StreamingQuery:
         """Run until the files on hand are read, or keep polling at an interval (``"1 hour"``)."""
