@@ -27,11 +27,19 @@ def percent(part: Column, whole: Column, places: int = 2) -> Column:
     return F.round(top / bottom, places).cast("double")
 
 
+def cents(c: Column) -> Column:
+    """Whole cents, null where they do not fit."""
+    return F.rint(c.try_cast("double") * 100).try_cast("bigint")
+
+
 def refund_pct(refund: Column, total: Column) -> Column:
-    """Refund as a percent of the order total, ``DECIMAL(5,2)``.
+    """Refund as a percent of the order total, ``DECIMAL(5,2)``, rounded half up.
 
-    Null when the total is missing or 0, and where the percentage does not fit the type.
+    Null when the total is missing or 0, and where the percentage does not fit the type. Runs once
+    per ticket, so it works on whole cents in 64-bit arithmetic.
     """
-    part = F.coalesce(refund.try_cast("decimal(20,6)"), F.lit(0))
-    share = part * 100 / F.nullif(total.try_cast("decimal(20,6)"), F.lit(0))
-    return F.round(share, 2).try_cast("decimal(5,2)")
+    part, whole = F.coalesce(cents(refund), F.lit(0)), F.nullif(cents(total), F.lit(0))
+    size = F.call_function("div", F.try_add(F.try_multiply(F.abs(part), F.lit(20_000)), F.abs(whole)),
+                           F.abs(whole) * 2)
+    hundredths = F.when((part < 0) != (whole < 0), -size).otherwise(size)
+    return (hundredths / 100).try_cast("decimal(5,2)")

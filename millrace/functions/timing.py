@@ -12,9 +12,8 @@ def as_timestamp(c: Column) -> Column:
 
 def minutes_between(start: Column, end: Column) -> Column:
     """Minute boundaries crossed from start to end (10:00:59 to 10:01:00 is one)."""
-    return F.timestamp_diff(
-        "MINUTE", F.date_trunc("minute", start), F.date_trunc("minute", end)
-    )
+    return (F.datediff(end, start).cast("bigint") * 1440
+            + (F.hour(end) - F.hour(start)) * 60 + (F.minute(end) - F.minute(start)))
 
 
 def elapsed_minutes(start: Column, end: Column) -> Column:

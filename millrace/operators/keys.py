@@ -42,6 +42,13 @@ def number_rows(df: DataFrame, order: str | Sequence[str], name: str,
     return numbered.select(key.alias(name), *df.columns)
 
 
+def number_by_key(df: DataFrame, key: str, name: str, base: DataFrame | int = 0) -> DataFrame:
+    """:func:`number_rows` for rows with a unique, non-null ``key``: only the keys are ranged and
+    checkpointed, and the rows get their number by a join on the key."""
+    numbers = number_rows(df.select(key), key, name, base)
+    return df.join(numbers, key).select(name, *df.columns)
+
+
 def max_key(df: DataFrame, name: str) -> DataFrame:
     """One row: the highest key in use, 0 for an empty table."""
     return df.agg(F.coalesce(F.max(name), F.lit(0)).cast("bigint").alias("base_sk"))
@@ -53,4 +60,4 @@ def stable_keys(rows: DataFrame, known: DataFrame, natural: str, name: str) -> D
     held = lookup_join(rows, known.select(natural, name), natural, "left")
     kept = held.filter(F.col(name).isNotNull()).select(name, *rows.columns)
     fresh = held.filter(F.col(name).isNull()).select(*rows.columns)
-    return kept.unionByName(number_rows(fresh, natural, name, max_key(known, name)))
+    return kept.unionByName(number_by_key(fresh, natural, name, max_key(known, name)))

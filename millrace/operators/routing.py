@@ -8,11 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.validation import (
-    INVALID, NO_REASONS, ORPHAN, REASONS, RETRIES, STATUS, VALID,
+    EXPIRED, INVALID, NO_REASONS, ORPHAN, REASONS, RETRIES, STATUS, VALID,
 )
 
 RUN_ID, PROCESSED_AT = "pipeline_run_id", "_processed_at"
-EXPIRED = "expired_orphan"
 
 
 @dataclass

@@ -16,6 +16,7 @@ from millrace.operators.joins import fits_broadcast, flag_members, spread_salt
 STATUS, REASONS, RETRIES = "_record_status", "_error_reasons", "_retry_count"
 VALID, INVALID, ORPHAN = "VALID", "INVALID", "ORPHAN"
 CATEGORIES = ("data_type", "not_allowed_nulls", "format", "range", "enum", "duplicated", "orphan")
+EXPIRED = "expired_orphan"
 NO_REASONS = "cast(map() as map<string,array<string>>)"
 
 
@@ -110,14 +111,22 @@ def _flag_losers(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column],
 # ---- row rules ------------------------------------------------------------------------------
 
 def _reason_map(checks: Mapping[str, Sequence[tuple[str, Column]]]) -> Column:
-    """``map<category, array<column>>`` holding only the categories that failed."""
-    entries = []
+    """``map<category, array<column>>`` holding only the categories that failed.
+
+    Built from conditionals over constant arrays, so it stays inside generated code.
+    """
+    none = F.expr("cast(array() as array<string>)")
+    found = []
     for category in CATEGORIES:
         hits = checks.get(category)
         if hits:
-            columns = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in hits]))
-            entries.append(F.struct(F.lit(category).alias("key"), columns.alias("value")))
-    return F.map_from_entries(F.filter(F.array(*entries), lambda e: F.size(e["value"]) > 0))
+            columns = F.concat(*[F.when(bad, F.array(F.lit(n))).otherwise(none) for n, bad in hits])
+            some = F.lit(False)
+            for _, bad in hits:
+                some = some | bad
+            found.append(F.when(some, F.create_map(F.lit(category), columns))
+                         .otherwise(F.expr(NO_REASONS)))
+    return F.map_concat(*found)
 
 
 def validate(df: DataFrame, contract: FileContract, *, bounds: str = "exclusive",
@@ -218,10 +227,10 @@ def valid_keys(df: DataFrame, contract: FileContract) -> DataFrame:
     return df.filter(F.col(STATUS) == VALID).select(*contract.primary_keys)
 
 
-def reasons_text(c: str | Column = REASONS) -> Column:
+def reasons_text(c: str = REASONS) -> Column:
     """Reasons as sorted ``category:column`` text, for reports and comparisons."""
-    pairs = F.flatten(F.transform(
-        F.map_entries(c),
-        lambda e: F.transform(e["value"], lambda n: F.concat_ws(":", e["key"], n)),
-    ))
-    return F.array_join(F.array_sort(pairs), ",")
+    parts = []
+    for category in sorted((*CATEGORIES, EXPIRED)):
+        columns = F.array_sort(F.col(c)[category])
+        parts.append(F.concat(F.lit(f"{category}:"), F.array_join(columns, f",{category}:")))
+    return F.concat_ws(",", *parts)

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from millrace.functions.masking import pii_hash
 from millrace.operators.joins import lookup_join
-from millrace.operators.keys import number_rows, stable_keys
+from millrace.operators.keys import number_by_key, stable_keys
 
 
 def _with_key(rows: DataFrame, natural: str, key: str, known: DataFrame | None) -> DataFrame:
     """Number the rows, or keep the keys an earlier version of the dimension gave them."""
     if known is None:
-        return number_rows(rows, natural, key)
+        return number_by_key(rows, natural, key)
     return stable_keys(rows, known, natural, key)
 
 

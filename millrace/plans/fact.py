@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from millrace.functions.money import money, money_or_zero, refund_pct
 from millrace.functions.timing import as_timestamp, date_key, elapsed_minutes, time_key
 from millrace.operators.joins import BROADCAST_ROWS, not_in_target, star_join
-from millrace.operators.keys import max_key, number_rows
+from millrace.operators.keys import max_key, number_by_key
 from millrace.plans.sla import RESOLUTION_LIMIT_MIN, RESPONSE_LIMIT_MIN, ticket_timing
 
 DIMENSION_KEYS = {
@@ -101,11 +101,12 @@ def fact_rows(tickets: DataFrame, orders: DataFrame, activity: DataFrame, batch_
     rows = timed.join(bought, "order_id", "left")
     zero = F.lit(0).cast("decimal(18,2)")
     naturals = [n for n, _ in DIMENSION_KEYS.values() if n in timed.columns]
+    numbered = [c for c in ("ticket_sk",) if c in timed.columns]
     ordered = as_timestamp(F.col("order_created_at"))
     delivered = as_timestamp(F.col("delivered_at"))
     reopens = F.coalesce("reopen_count", F.lit(0))
     return rows.select(
-        "ticket_id", "order_id", *naturals,
+        *numbered, "ticket_id", "order_id", *naturals,
         *[c.alias(n) for n, c in moment_keys().items()],
         F.col("status").alias("ticket_status"), "order_status",
         money(F.col("order_amount")).alias("order_subtotal"),
@@ -133,14 +134,14 @@ def fact_rows(tickets: DataFrame, orders: DataFrame, activity: DataFrame, batch_
     )
 
 
-def new_fact_rows(rows: DataFrame, existing: DataFrame | None,
-                  dims: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """Rows of tickets the fact does not hold yet, with dimension keys and numbered after the
-    highest ticket key in use, in ticket order."""
-    fresh = rows if existing is None else not_in_target(rows, existing, ["ticket_id"])
-    keyed = resolve_keys(fresh, dims or {})
-    base = max_key(existing, "ticket_sk") if existing is not None else 0
-    return number_rows(keyed, "ticket_id", "ticket_sk", base)
+def new_tickets(tickets: DataFrame, existing: DataFrame | None) -> DataFrame:
+    """Tickets the fact does not hold yet, numbered after the highest ticket key in use, in ticket
+    order. Narrowing and numbering come first: the later joins then only see new tickets."""
+    known = tickets.filter(F.col("ticket_id").isNotNull())
+    if existing is None:
+        return number_by_key(known, "ticket_id", "ticket_sk")
+    fresh = not_in_target(known, existing, ["ticket_id"])
+    return number_by_key(fresh, "ticket_id", "ticket_sk", max_key(existing, "ticket_sk"))
 
 
 def to_fact_schema(rows: DataFrame) -> DataFrame:

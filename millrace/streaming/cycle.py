@@ -20,7 +20,6 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.contract import FileContract
 from millrace.functions.masking import hash_columns
 from millrace.operators import routing
-from millrace.operators.joins import not_in_target
 from millrace.operators.loading import Lake
 from millrace.operators.validation import mark_orphans, validate
 from millrace.sources.files import archive_raw
@@ -120,15 +119,11 @@ def update_fact(lake: Lake, batch_id: str, dims: Mapping[str, DataFrame] | None
     """Append the tickets the fact does not hold yet. False when a Silver table is missing."""
     if lake.missing(facts.REQUIRED_TABLES):
         return False
-    tickets = lake.read("silver_tickets")
     existing = lake.read("fact_ticket_lifecycle") if lake.exists("fact_ticket_lifecycle") else None
-    if existing is not None:
-        # later steps then only touch the new tickets' events and orders
-        tickets = not_in_target(tickets, existing, ["ticket_id"])
+    tickets = facts.new_tickets(lake.read("silver_tickets"), existing)
     rows = facts.fact_rows(tickets, lake.read("silver_orders"),
                            sla.ticket_activity(lake.read("silver_ticket_events")), batch_id)
-    new = facts.new_fact_rows(rows, existing, dims)
-    lake.append("fact_ticket_lifecycle", facts.to_fact_schema(new))
+    lake.append("fact_ticket_lifecycle", facts.to_fact_schema(facts.resolve_keys(rows, dims or {})))
     return True
 
 

@@ -156,9 +156,9 @@ def existing_fact(spark, sf):
 
 def fact_ticket(spark, sf):
     """New tickets only, numbered after the highest key in use."""
-    rows = facts.fact_rows(m.tickets(spark, sf), m.orders(spark, sf), m.activity(spark, sf), "b1")
-    new = facts.new_fact_rows(rows, existing_fact(spark, sf))
-    return new.select(
+    fresh = facts.new_tickets(m.tickets(spark, sf), existing_fact(spark, sf))
+    rows = facts.fact_rows(fresh, m.orders(spark, sf), m.activity(spark, sf), "b1")
+    return rows.select(
         "ticket_sk", "ticket_id", "order_id", "ticket_status", "order_status", "order_subtotal",
         "order_discount_amount", "order_delivery_fee", "order_total_amount", "refund_amount",
         "compensation_amount", "credit_amount", "total_revenue_impact", "refund_impact_pct",
