@@ -82,7 +82,8 @@ def write_quarantine(df: DataFrame, root: str, table_name: str, process_date: st
 
 
 def read_quarantine(spark: SparkSession, root: str, table_name: str) -> DataFrame:
-    stored = spark.read.parquet(root).filter(F.col("table_name") == table_name)
+    """Everything quarantined for one table; folders of other tables are not listed."""
+    stored = spark.read.option("basePath", root).parquet(f"{root}/table_name={table_name}")
     return stored.withColumns({c: F.col(c).cast("string") for c in ("process_date", RUN_ID)})
 
 
