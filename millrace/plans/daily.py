@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -60,12 +61,24 @@ def load_batch_file(lake: Lake, path: str, contract: FileContract, store: str, r
         return FileOutcome(contract.file_name, "FAILED", str(exc))
 
 
+def by_dependency(contracts: Sequence[FileContract]) -> list[list[FileContract]]:
+    """Contracts in levels: a file comes after the files its foreign keys name."""
+    left, levels = list(contracts), []
+    while left:
+        open_names = {c.file_name for c in left}
+        ready = [c for c in left
+                 if not any(fk.ref_table in open_names - {c.file_name} for fk in c.foreign_keys)]
+        levels.append(ready or left)  # a circle of references is loaded together
+        left = [c for c in left if c not in levels[-1]]
+    return levels
+
+
 def load_batch_folder(lake: Lake, folder: str, contracts: Sequence[FileContract], store: str,
                       run_id: str, process_date: str, max_attempts: int = 3) -> list[FileOutcome]:
     """All known files of a folder that changed since their last successful load.
 
-    Contracts are given parents first. Each file is one Spark job over its own partitions; the
-    tracking table holds one row per file and run.
+    Parents are loaded before the files that refer to them. The tracking table holds one row per
+    file and run.
     """
     book = ContractBook(list(contracts))
     files = known_files(hash_files(lake.spark, folder), book)
@@ -75,16 +88,22 @@ def load_batch_folder(lake: Lake, folder: str, contracts: Sequence[FileContract]
     paths = {p.rsplit("/", 1)[-1].rsplit(".", 1)[0]: p
              for (p,) in lake.read(TRACKING).filter(F.col("pipeline_run_id") == run_id)
              .select("file_path").collect()}
+
+    def load(contract: FileContract) -> tuple[FileOutcome, int]:
+        if contract.stem not in paths:
+            return FileOutcome(contract.file_name, "SKIPPED"), 0
+        outcome = load_batch_file(lake, paths[contract.stem], contract, store, run_id, process_date)
+        return outcome, lake.read(contract.silver_table).count() if outcome.ok else 0
+
     outcomes, told = [], []
-    for contract in contracts:
-        path = paths.get(contract.stem)
-        if path is None:
-            outcomes.append(FileOutcome(contract.file_name, "SKIPPED"))
-            continue
-        outcome = load_batch_file(lake, path, contract, store, run_id, process_date)
-        outcomes.append(outcome)
-        rows = lake.read(contract.silver_table).count() if outcome.ok else 0
-        told.append((path, tracking.SUCCESS if outcome.ok else tracking.FAILED, outcome.stage, rows))
+    for level in by_dependency(contracts):
+        # files of one level do not refer to each other: their jobs share the cluster
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            for contract, (outcome, rows) in zip(level, pool.map(load, level)):
+                outcomes.append(outcome)
+                if outcome.stage != "SKIPPED":
+                    status = tracking.SUCCESS if outcome.ok else tracking.FAILED
+                    told.append((paths[contract.stem], status, outcome.stage, rows))
     if told:
         news = lake.spark.createDataFrame(
             told, "file_path string, status string, current_stage string, record_count int")
@@ -155,9 +174,8 @@ def quality_run(sources: dict[str, dict[str, DataFrame]], book: ContractBook, ru
 def run_day(lake: Lake, folders: Sequence[str], book: ContractBook, store: str, run_id: str,
             process_date: str, streams: Callable[[dict[str, DataFrame]], bool] | None = None) -> bool:
     """Master folder, then batch folder, then dimensions, then the streams; stops at a failure."""
-    parents_first = sorted(book.section("batch"), key=lambda c: (c.target_dimension is not None))
     for folder in folders:
-        outcomes = load_batch_folder(lake, folder, parents_first, store, f"{run_id}-{folder.rsplit('/', 1)[-1]}",
+        outcomes = load_batch_folder(lake, folder, book.section("batch"), store, f"{run_id}-{folder.rsplit('/', 1)[-1]}",
                                      process_date)
         if not all(o.ok for o in outcomes):
             return False
