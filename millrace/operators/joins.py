@@ -125,3 +125,9 @@ def not_in_target(batch: DataFrame, target: DataFrame, keys: Sequence[str],
         return batch.join(target.select(*keys), keys, "left_anti")
     present = target.select(*keys).join(F.broadcast(wanted), keys, "left_semi").distinct()
     return batch.join(F.broadcast(present), keys, "left_anti")
+
+
+def only_for(df: DataFrame, wanted: DataFrame, key: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Rows of a large table whose key occurs in ``wanted``: few keys are sent to the scan."""
+    keys = wanted.select(key).filter(F.col(key).isNotNull()).distinct()
+    return lookup_join(df, keys, key, "left_semi", max_rows)

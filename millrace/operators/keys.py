@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import lookup_join
-from millrace.session import shared_root
+from millrace.session import staged
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
@@ -18,15 +18,13 @@ def number_rows(df: DataFrame, order: str | Sequence[str], name: str,
     """``base + row_number() over (order by ...)`` computed range by range.
 
     Rows are range partitioned and sorted, numbered inside each range, and shifted by the number of
-    rows in earlier ranges. The ranges come from sampling, so the numbered rows are checkpointed
-    once: both passes and any retry then see the same ranges. The offset table has one row per range.
+    rows in earlier ranges. The ranges come from sampling, so the numbered rows are written once:
+    both passes and any retry then see the same ranges. The offset table has one row per range.
     ``base`` is a number or a one-row DataFrame.
     """
-    shared_root(df.sparkSession)
     order = [order] if isinstance(order, str) else list(order)
-    ranged = (df.repartitionByRange(*order).sortWithinPartitions(*order)
-              .withColumn("_pos", F.monotonically_increasing_id())
-              .checkpoint())
+    ranged = staged(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                    .withColumn("_pos", F.monotonically_increasing_id()), "ranges")
     part = F.shiftright("_pos", _ROW_BITS)
     sizes = ranged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -44,7 +42,7 @@ def number_rows(df: DataFrame, order: str | Sequence[str], name: str,
 
 def number_by_key(df: DataFrame, key: str, name: str, base: DataFrame | int = 0) -> DataFrame:
     """:func:`number_rows` for rows with a unique, non-null ``key``: only the keys are ranged and
-    checkpointed, and the rows get their number by a join on the key."""
+    written, and the rows get their number by a join on the key."""
     numbers = number_rows(df.select(key), key, name, base)
     return df.join(numbers, key).select(name, *df.columns)
 

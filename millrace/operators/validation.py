@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from millrace.contract import FileContract
 from millrace.functions import rules
 from millrace.operators.joins import fits_broadcast, flag_members, spread_salt
+from millrace.session import staged
 
 STATUS, REASONS, RETRIES = "_record_status", "_error_reasons", "_retry_count"
 VALID, INVALID, ORPHAN = "VALID", "INVALID", "ORPHAN"
@@ -76,8 +77,8 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str], order_by: Sequence[Colum
     then among the salts' winners; no task sees a whole hot key.
     """
     keys = list(keys)
-    repeated = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-                .select(*[F.col(k).alias(f"_k_{k}") for k in keys]))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    repeated = staged(counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys]), "repeated")
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))

@@ -17,6 +17,7 @@ from millrace.operators import routing, tracking
 from millrace.operators.loading import Lake
 from millrace.operators.validation import check_columns, mark_orphans, validate
 from millrace.plans import dimensions as d
+from millrace.session import staged
 from millrace.sources.files import hash_files, known_files, read_source
 
 TRACKING = "file_tracking"
@@ -150,7 +151,7 @@ def quality_run(sources: dict[str, dict[str, DataFrame]], book: ContractBook, ru
     """Count issues in every file of every partition, write the run's report, return it.
 
     Files are measured one after the other so that each has its own latency; a measurement is one
-    aggregated row, checkpointed so that it is not computed again for the report.
+    aggregated row, written out so that it is not computed again for the report.
     """
     measured = None
     for files in sources.values():
@@ -159,14 +160,14 @@ def quality_run(sources: dict[str, dict[str, DataFrame]], book: ContractBook, ru
             if contract is None:
                 continue
             began = time.perf_counter()
-            issues = qr.column_issues(df, contract).checkpoint()
+            issues = staged(qr.column_issues(df, contract), "issues")
             spent = (time.perf_counter() - began) * 1000
             row = qr.per_file_metrics(issues, run_id, elapsed_ms=F.lit(spent))
             measured = row if measured is None else measured.unionByName(row)
     if measured is None:
         raise ValueError("no source file has a contract")
-    report = qr.run_snapshot(measured).withColumn(
-        "recorded_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")).checkpoint()
+    report = staged(qr.run_snapshot(measured).withColumn(
+        "recorded_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")), "report")
     qr.write_report(report, root)
     return report
 

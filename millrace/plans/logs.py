@@ -38,7 +38,7 @@ def timeline(events: DataFrame, at: str = "timestamp") -> DataFrame:
     counts = stamped.groupBy(_minute("_at").alias("minute")).agg(F.count(F.lit(1)).alias("count"))
     span = counts.agg(F.min("minute").alias("first"), F.max("minute").alias("last"))
     days = span.select("first", "last", F.explode(F.sequence(
-        F.to_date("first"), F.to_date("last"), F.expr("interval 1 day"))).alias("day"))
+        F.to_date("first"), F.to_date("last"), F.expr("interval 1 day"))).alias("day")).repartition("day")
     spine = (days.select("first", "last", "day",
                          F.explode(F.sequence(F.lit(0), F.lit(1439))).alias("m"))
              .select("first", "last", F.timestamp_add(

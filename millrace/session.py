@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on. Cluster values (executors, memory, shuffle partitions) belong
 # to spark-submit; nothing here fixes them.
@@ -54,3 +54,11 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; never reused, so nothing has to be cleared."""
     return f"{shared_root(spark)}/work/{label}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once under the shared folder and read it back: the lineage ends there, a lost
+    executor cannot change what was written, and the optimizer knows its size."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

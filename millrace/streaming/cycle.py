@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.contract import FileContract
 from millrace.functions.masking import hash_columns
 from millrace.operators import routing
+from millrace.operators.joins import only_for
 from millrace.operators.loading import Lake
 from millrace.operators.validation import mark_orphans, validate
 from millrace.sources.files import archive_raw
@@ -116,13 +117,18 @@ class StreamLoader:
 
 
 def update_fact(lake: Lake, batch_id: str, dims: Mapping[str, DataFrame] | None = None) -> bool:
-    """Append the tickets the fact does not hold yet. False when a Silver table is missing."""
+    """Append the tickets the fact does not hold yet. False when a Silver table is missing.
+
+    A cycle brings few new tickets to large tables: orders and events are cut down to the new
+    tickets' rows before they are aggregated and joined.
+    """
     if lake.missing(facts.REQUIRED_TABLES):
         return False
     existing = lake.read("fact_ticket_lifecycle") if lake.exists("fact_ticket_lifecycle") else None
     tickets = facts.new_tickets(lake.read("silver_tickets"), existing)
-    rows = facts.fact_rows(tickets, lake.read("silver_orders"),
-                           sla.ticket_activity(lake.read("silver_ticket_events")), batch_id)
+    events = only_for(lake.read("silver_ticket_events"), tickets, "ticket_id")
+    orders = only_for(lake.read("silver_orders"), tickets, "order_id")
+    rows = facts.fact_rows(tickets, orders, sla.ticket_activity(events), batch_id)
     lake.append("fact_ticket_lifecycle", facts.to_fact_schema(facts.resolve_keys(rows, dims or {})))
     return True
 

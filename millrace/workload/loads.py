@@ -473,10 +473,10 @@ QUERIES: dict[str, tuple[m.Query, str | None]] = {
            from (select distinct cast(substr(o_orderpriority, 1, 1) as bigint) as p,
                         substr(o_orderpriority, 3) as name from orders)"""),
     "dim_channel": (
-        lambda s, sf: d.dim_channel(m.channels(s, sf)),
-        """select row_number() over (order by event_type) as channel_sk,
-               row_number() over (order by event_type) as channel_id, event_type as channel_name,
-               cast(null as varchar) as channel_type from (select distinct event_type from events)"""),
+        lambda s, sf: d.dim_channel(m.table(s, sf, "part").select(
+            F.col("p_partkey").alias("channel_id"), F.col("p_type").alias("channel_name"))),
+        """select row_number() over (order by p_partkey) as channel_sk, p_partkey as channel_id,
+               p_type as channel_name, cast(null as varchar) as channel_type from part"""),
     "dim_date": (dim_date, DIM_DATE_SQL),
     "dim_time": (dim_time, DIM_TIME_SQL),
     "stable_keys": (kept_keys, KEPT_KEYS_SQL),

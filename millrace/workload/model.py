@@ -67,7 +67,7 @@ def tickets(spark: SparkSession, sf: str) -> DataFrame:
         F.when(status == "O", "Open").when(status == "P", "InProgress").otherwise("Closed")
         .alias("status"),
         F.substring("o_orderpriority", 1, 1).cast("bigint").alias("priority_id"),
-        (F.weekday("o_orderdate") + 1).cast("bigint").alias("channel_id"),
+        (F.weekday("o_orderdate") + 21).cast("bigint").alias("channel_id"),
         F.quarter("o_orderdate").cast("bigint").alias("reason_id"),
         F.when(status == "F", F.col("o_totalprice")).when(status == "P", 0.0).alias("refund_amount"),
         F.col("o_orderdate").alias("created_at"),
@@ -80,7 +80,7 @@ tk as (
            case o_orderstatus when 'O' then 'Open' when 'P' then 'InProgress' else 'Closed' end
                as status,
            cast(substr(o_orderpriority, 1, 1) as bigint) as priority_id,
-           cast(isodow(o_orderdate) as bigint) as channel_id,
+           cast(isodow(o_orderdate) + 20 as bigint) as channel_id,
            cast(quarter(o_orderdate) as bigint) as reason_id,
            case o_orderstatus when 'F' then o_totalprice when 'P' then 0.0 end as refund_amount,
            o_orderdate as created_at
@@ -194,11 +194,9 @@ def customers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def channels(spark: SparkSession, sf: str) -> DataFrame:
-    """Event types, numbered by name. There are as many as the table has kinds of event."""
-    kinds = table(spark, sf, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    ranked = kinds.agg(F.sort_array(F.collect_set("event_type")).alias("names"))
-    return ranked.select(F.posexplode("names").alias("pos", "channel_name")).select(
-        (F.col("pos") + 1).cast("bigint").alias("channel_id"), "channel_name")
+    """Nations as channels; tickets name keys 21 to 27, so some have no channel."""
+    return table(spark, sf, "nation").select(
+        F.col("n_nationkey").cast("bigint").alias("channel_id"), F.col("n_name").alias("channel_name"))
 
 
 def priorities(spark: SparkSession, sf: str) -> DataFrame:
@@ -222,10 +220,7 @@ outlet as (
     from supplier left join place on s_nationkey = n_nationkey
 ),
 cust as (select c_custkey as sk, r_name as city_name from customer left join place on c_nationkey = n_nationkey),
-chan as (
-    select cast(row_number() over (order by event_type) as bigint) as sk, event_type as channel_name
-    from (select distinct event_type from events)
-),
+chan as (select cast(n_nationkey as bigint) as sk, n_name as channel_name from nation),
 prio as (
     select distinct cast(substr(o_orderpriority, 1, 1) as bigint) as sk,
            substr(o_orderpriority, 3) as priority_name

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.contract import ColumnRule, FileContract
 from millrace.plans.logs import windowed_counts
-from millrace.session import scratch_path
+from millrace.session import scratch_path, staged
 from millrace.sources.standard_contracts import STANDARD, TICKET_EXTRAS
 from millrace.streaming.cycle import StreamLoader, update_fact
 from millrace.workload import model as m
@@ -136,7 +136,7 @@ def stream_orphan_retry(spark, sf):
             waiting.agg(F.count(F.lit(1)).alias("waiting"))).select(
             F.lit(step).alias("step"), "loaded", "waiting")
 
-    first = standing(0).checkpoint()
+    first = staged(standing(0), "standing")
     lake.refresh("silver_customer", everyone)
     nothing_new = m.table(spark, sf, "orders").select(*PLAIN_ORDERS.names).limit(0)
     loader.process(nothing_new, 1)
