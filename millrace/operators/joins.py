@@ -33,10 +33,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> Data
     Counting combines on the map side, so a hot key costs one row per input partition.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
-    return (counts.crossJoin(F.broadcast(total))
-            .filter(F.col("_n") * share > F.col("_total"))
-            .select(*keys))
+    total = counts.agg(F.sum("_n")).scalar()
+    return counts.filter(F.col("_n") * share > total).select(*keys)
 
 
 def spread_salt(df: DataFrame, salts: int = SALTS) -> Column:

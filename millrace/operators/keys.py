@@ -20,7 +20,7 @@ def number_rows(df: DataFrame, order: str | Sequence[str], name: str,
     Rows are range partitioned and sorted, numbered inside each range, and shifted by the number of
     rows in earlier ranges. The ranges come from sampling, so the numbered rows are written once:
     both passes and any retry then see the same ranges. The offset table has one row per range.
-    ``base`` is a number or a one-row DataFrame.
+    ``base`` is a number or a one-row DataFrame, read as a scalar subquery.
     """
     order = [order] if isinstance(order, str) else list(order)
     ranged = staged(df.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -31,11 +31,7 @@ def number_rows(df: DataFrame, order: str | Sequence[str], name: str,
     offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     local = F.col("_pos").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + 1
     numbered = ranged.withColumn("_part", part).join(F.broadcast(offsets), "_part")
-    if isinstance(base, DataFrame):
-        numbered = numbered.crossJoin(F.broadcast(base.toDF("_base")))
-        start = F.col("_base")
-    else:
-        start = F.lit(base)
+    start = base.scalar() if isinstance(base, DataFrame) else F.lit(base)
     key = (start + F.col("_offset") + local).cast("bigint")
     return numbered.select(key.alias(name), *df.columns)
 

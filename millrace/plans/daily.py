@@ -43,9 +43,14 @@ def load_batch_file(lake: Lake, path: str, contract: FileContract, store: str, r
                     process_date: str, max_retries: int = 3) -> FileOutcome:
     """One master or batch file: read, check columns, validate rows, route, replace Silver."""
     try:
-        raw = read_source(lake.spark, path, contract)
-        if not check_columns(raw, contract).ok:
+        source = read_source(lake.spark, path, contract)
+        if not check_columns(source, contract).ok:
             return FileOutcome(contract.file_name, "FAILED_SCHEMA", "column_mismatch")
+        # the raw copy; later steps scan it instead of parsing the text again
+        bronze = f"{store}/bronze/{contract.stem}/run={run_id}"
+        (source.withColumns({"_source_file": F.lit(path), "_ingested_at": F.current_timestamp()})
+         .write.mode("overwrite").parquet(bronze))
+        raw = lake.spark.read.schema(source.schema).parquet(bronze)
         parents = {
             fk.column: (lake.read(table), fk.ref_column)
             for fk in contract.foreign_keys

@@ -182,14 +182,14 @@ def places(spark: SparkSession, sf: str) -> DataFrame:
 def outlets(spark: SparkSession, sf: str, key: str) -> DataFrame:
     """Suppliers as restaurants or drivers, keyed by ``key``."""
     return table(spark, sf, "supplier").join(
-        F.broadcast(places(spark, sf)), F.col("s_nationkey") == F.col("n_nationkey"), "left").select(
+        places(spark, sf), F.col("s_nationkey") == F.col("n_nationkey"), "left").select(
         F.col("s_suppkey").alias(key), F.col("s_name").alias("restaurant_name"),
         F.col("r_name").alias("city_name"))
 
 
 def customers(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").join(
-        F.broadcast(places(spark, sf)), F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
+        places(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
         F.col("c_custkey").alias("customer_sk"), F.col("r_name").alias("city_name"))
 
 

@@ -131,10 +131,9 @@ def stream_orphan_retry(spark, sf):
     loader.start(source).awaitTermination()
 
     def standing(step: int) -> DataFrame:
-        waiting = loader.waiting_at(step)
-        return lake.read(loader.table).agg(F.count(F.lit(1)).alias("loaded")).crossJoin(
-            waiting.agg(F.count(F.lit(1)).alias("waiting"))).select(
-            F.lit(step).alias("step"), "loaded", "waiting")
+        waiting = loader.waiting_at(step).agg(F.count(F.lit(1)))
+        return lake.read(loader.table).agg(F.count(F.lit(1)).alias("loaded")).select(
+            F.lit(step).alias("step"), "loaded", waiting.scalar().alias("waiting"))
 
     first = staged(standing(0), "standing")
     lake.refresh("silver_customer", everyone)

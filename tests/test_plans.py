@@ -30,7 +30,7 @@ def read_schemas(text):
 def test_no_python_rows_and_no_cartesian_product(spark, query):
     text = plan(query(spark, SF))
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text and "MapInPandas" not in text
-    assert "CartesianProduct" not in text
+    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
 
 
 def test_dashboard_reads_only_its_columns(spark):
