@@ -28,15 +28,16 @@ REPORT = T.StructType([
 ])
 
 
-def read_log_text(spark: SparkSession, root: str, tail: int | None = None) -> DataFrame:
-    """Raw lines of every ``*.log`` under ``root`` with ``source_file``; ``tail`` keeps the last
+def read_log_text(spark: SparkSession, root: str, tail: int | None = None,
+                  glob: str = "*.log") -> DataFrame:
+    """Raw lines of every log file under ``root`` with ``source_file``; ``tail`` keeps the last
     lines of each file.
 
     Lines are placed by split start and position inside the split, both known to the scan; the
     tail is cut inside every input partition before rows are exchanged, so a huge file does not
     travel.
     """
-    lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.log").text(root)
+    lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root)
              .select("value", F.col("_metadata.file_name").alias("source_file"),
                      F.col("_metadata.file_path").alias("_path"),
                      F.col("_metadata.file_block_start").alias("_split"),
@@ -47,9 +48,9 @@ def read_log_text(spark: SparkSession, root: str, tail: int | None = None) -> Da
     return lines.select("value", "source_file")
 
 
-def read_logs(spark: SparkSession, root: str, tail: int | None = None) -> DataFrame:
+def read_logs(spark: SparkSession, root: str, tail: int | None = None, glob: str = "*.log") -> DataFrame:
     """Parsed log lines, newest first."""
-    return parse_lines(read_log_text(spark, root, tail)).orderBy(F.col("timestamp").desc_nulls_last())
+    return parse_lines(read_log_text(spark, root, tail, glob)).orderBy(F.col("timestamp").desc_nulls_last())
 
 
 def read_json_lines(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:

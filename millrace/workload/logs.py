@@ -67,9 +67,8 @@ def parsed(spark, sf):
 def log_files(spark, sf):
     """Lines written to text files, every line scanned back, counted by level."""
     path = scratch_path(spark, "logs")
-    log_text(spark, sf).select("value").write.text(f"{path}/part.log")
-    # Spark names the part files itself; read_logs looks for *.log, so the folder is read as text
-    return logs.count_by_level(parse_lines(spark.read.text(f"{path}/part.log")))
+    log_text(spark, sf).select("value").write.text(path)
+    return logs.count_by_level(read_logs(spark, path, glob="part-*"))
 
 
 def log_filter(spark, sf):
