@@ -7,11 +7,14 @@ character outside ASCII are alike, so rules over ASCII characters can be applied
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 CHUNK_BYTES = 1 << 20
 
@@ -77,6 +80,12 @@ class Chunk:
         return mix((sums[ends] - sums[starts]) * _power_table(_INVERSE, n)[starts])
 
 
+def hash_of(word: bytes) -> np.uint64:
+    data = LOWER[np.frombuffer(word, np.uint8)]
+    chunk = Chunk(0, data, np.array([0, len(data)]))
+    return chunk.hashes(np.array([0]), np.array([len(data)]))[0]
+
+
 def utf8(column: pa.Array) -> pa.Array:
     return column.cast(pa.large_binary())
 
@@ -113,3 +122,19 @@ def ngrams(hashes: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray,
     for i in range(n):
         out = np.where(i < length, mix(out * np.uint64(0x9FB21C651E98DF25) + padded[at + i]), out)
     return out, text
+
+
+def over_texts(docs: DataFrame, key: str, text: str, outputs: str,
+               work: Callable[[pa.Array], list]) -> DataFrame:
+    """``key`` and the columns ``outputs`` (DDL) that ``work`` makes of a batch's texts, one value
+    for each text. Only the two named columns are read; a null text stays null for ``work``."""
+    rows = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
+    made = _parse_datatype_string(outputs)
+    schema = StructType([StructField(key, rows.schema[0].dataType), *made.fields])
+    names = [f.name for f in schema.fields]
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), *work(batch.column(1))], names)
+
+    return rows.mapInArrow(run, schema)

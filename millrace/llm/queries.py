@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import url_rules
+from millrace.llm import licenses, secret_scan, url_rules
 
 
 def table(spark, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_license_templates(spark, sf):
+    found = licenses.scan_licenses(table(spark, sf, "documents"), licenses.PHRASES, licenses.TEMPLATES)
+    return licenses.license_report(found).drop("template_hits")
+
+
+def op5_secret_scan(spark, sf):
+    return secret_scan.secret_report(secret_scan.scan_secrets(table(spark, sf, "documents")))
+
+
 def op8_url_rules(spark, sf):
     return url_rules.judge_pages(table(spark, sf, "pages"), url_rules.LISTED + url_rules.SPAM)
 
@@ -35,5 +44,7 @@ select page_id, host, path, hit.n as rule,
 from judged"""
 
 QUERIES = {
+    "op1_license_templates": (op1_license_templates, None),
+    "op5_secret_scan": (op5_secret_scan, None),
     "op8_url_rules": (op8_url_rules, OP8_SQL),
 }
