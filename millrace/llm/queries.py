@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import licenses, secret_scan, url_rules
+from millrace.llm import licenses, permutation_index, secret_scan, url_rules
 
 
 def table(spark, sf: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op5_secret_scan(spark, sf):
     return secret_scan.secret_report(secret_scan.scan_secrets(table(spark, sf, "documents")))
 
 
+def op6_permutation_index(spark, sf):
+    return permutation_index.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op8_url_rules(spark, sf):
     return url_rules.judge_pages(table(spark, sf, "pages"), url_rules.LISTED + url_rules.SPAM)
 
@@ -46,5 +50,6 @@ from judged"""
 QUERIES = {
     "op1_license_templates": (op1_license_templates, None),
     "op5_secret_scan": (op5_secret_scan, None),
+    "op6_permutation_index": (op6_permutation_index, None),
     "op8_url_rules": (op8_url_rules, OP8_SQL),
 }
