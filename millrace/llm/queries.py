@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import licenses, permutation_index, secret_scan, url_rules
+from millrace.llm import decontaminate, licenses, permutation_index, secret_scan, url_rules
 
 
 def table(spark, sf: str, name: str) -> DataFrame:
@@ -25,6 +25,40 @@ def op6_permutation_index(spark, sf):
     return permutation_index.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op7_decontamination(spark, sf):
+    return decontaminate.report(decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")))
+
+
+OP7_SQL = r"""
+with tok as (
+    select doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+    from documents),
+item as (
+    select item_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+    from benchmark),
+win as (
+    select distinct item_id, least(13, len(w)) as n, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') as g
+    from (select *, unnest(range(1, len(w) - least(13, len(w)) + 2)) as i from item where len(w) > 0)),
+size as (select distinct n from win),
+place as (
+    select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as g
+    from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from tok, size where len(w) >= n)),
+hit as (select doc_id, item_id, i, place.n from place join win on place.g = win.g and place.n = win.n),
+word as (select doc_id, count(distinct j) as n_hit
+         from (select doc_id, unnest(range(i, i + n)) as j from hit) group by doc_id),
+named as (select doc_id, count(distinct item_id) as n_items,
+                 string_agg(distinct cast(item_id as varchar), ',' order by cast(item_id as varchar)) as items
+          from hit group by doc_id)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(items, '')) as items_sha256,
+       coalesce(n_hit > 0 and 20 * n_hit >= len(w), false) as contaminated
+from tok left join word using (doc_id) left join named using (doc_id)"""
+
+
 def op8_url_rules(spark, sf):
     return url_rules.judge_pages(table(spark, sf, "pages"), url_rules.LISTED + url_rules.SPAM)
 
@@ -51,5 +85,6 @@ QUERIES = {
     "op1_license_templates": (op1_license_templates, None),
     "op5_secret_scan": (op5_secret_scan, None),
     "op6_permutation_index": (op6_permutation_index, None),
+    "op7_decontamination": (op7_decontamination, OP7_SQL),
     "op8_url_rules": (op8_url_rules, OP8_SQL),
 }
