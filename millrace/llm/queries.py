@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, licenses, permutation_index, secret_scan, url_rules
+from millrace.llm import decontaminate, jaccard_join, licenses, permutation_index, secret_scan, url_rules
 
 
 def table(spark, sf: str, name: str) -> DataFrame:
@@ -81,10 +81,38 @@ select page_id, host, path, hit.n as rule,
            then 'block' else 'allow' end) as verdict
 from judged"""
 
+def op9_jaccard_join(spark, sf):
+    return jaccard_join.similar_documents(table(spark, sf, "documents"))
+
+
+OP9_SQL = r"""
+with recursive word as (
+    select doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+    from documents),
+shingle as (
+    select distinct doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') as s
+    from (select *, unnest(range(1, len(w) - least(5, len(w)) + 2)) as i from word where len(w) > 0)),
+size as (select doc_id, count(*) as n from shingle group by doc_id),
+linked as (
+    select x.doc_id as a, y.doc_id as b
+    from (select l.doc_id as x, r.doc_id as y, count(*) as c
+          from shingle l join shingle r on l.s = r.s and l.doc_id <> r.doc_id group by all) p
+    join size x on x.doc_id = p.x join size y on y.doc_id = p.y
+    where 100 * c >= 80 * (x.n + y.n - c)),
+reach as (
+    select doc_id as a, doc_id as b from documents
+    union
+    select reach.a, linked.b from reach join linked on reach.b = linked.a)
+select d.doc_id, coalesce(n, 0) as n_shingles, (select min(b) from reach where a = d.doc_id) as component_id
+from documents d left join size on size.doc_id = d.doc_id"""
+
 QUERIES = {
     "op1_license_templates": (op1_license_templates, None),
     "op5_secret_scan": (op5_secret_scan, None),
     "op6_permutation_index": (op6_permutation_index, None),
     "op7_decontamination": (op7_decontamination, OP7_SQL),
     "op8_url_rules": (op8_url_rules, OP8_SQL),
+    "op9_jaccard_join": (op9_jaccard_join, OP9_SQL),
 }
