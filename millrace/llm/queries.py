@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, jaccard_join, licenses, permutation_index, secret_scan, url_rules
+from millrace.llm import decontaminate, jaccard_join, licenses, packing, permutation_index, secret_scan, url_rules
 
 
 def table(spark, sf: str, name: str) -> DataFrame:
@@ -108,7 +108,21 @@ reach as (
 select d.doc_id, coalesce(n, 0) as n_shingles, (select min(b) from reach where a = d.doc_id) as component_id
 from documents d left join size on size.doc_id = d.doc_id"""
 
+TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+
+
+def encoder() -> packing.Encoder:
+    import public_tokenizers
+
+    return packing.Encoder(public_tokenizers.path(TOKENIZER), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
+def op10_hilbert_packing(spark, sf):
+    return packing.report(packing.pack(table(spark, sf, "documents"), encoder()))
+
+
 QUERIES = {
+    "op10_hilbert_packing": (op10_hilbert_packing, None),
     "op1_license_templates": (op1_license_templates, None),
     "op5_secret_scan": (op5_secret_scan, None),
     "op6_permutation_index": (op6_permutation_index, None),
