@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, jaccard_join, licenses, packing, permutation_index, secret_scan, url_rules
+from millrace.llm import (decontaminate, jaccard_join, licenses, packing, permutation_index, quality, secret_scan, toxicity,
+                          url_rules)
 
 
 def table(spark, sf: str, name: str) -> DataFrame:
@@ -17,6 +18,26 @@ def op1_license_templates(spark, sf):
     return licenses.license_report(found).drop("template_hits")
 
 
+def scored(spark, sf, label: str, operator, threshold: float) -> DataFrame:
+    """Scores of all documents by a model that learnt from the labels outside the held-out fold."""
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    model = operator.fit(docs, labels.filter(~quality.held_out(F.col("doc_id"))), label)
+    return operator.score(docs, model).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
+
+
+QUALITY_THRESHOLD, TOXIC_THRESHOLD = 0.3, 0.5
+
+
+def op3_quadratic_discriminant(spark, sf):
+    return scored(spark, sf, "quality", quality, QUALITY_THRESHOLD)
+
+
+def op4_factorization_machine(spark, sf):
+    return scored(spark, sf, "toxic", toxicity, TOXIC_THRESHOLD)
+
+
 def op5_secret_scan(spark, sf):
     return secret_scan.secret_report(secret_scan.scan_secrets(table(spark, sf, "documents")))
 
@@ -124,6 +145,8 @@ def op10_hilbert_packing(spark, sf):
 QUERIES = {
     "op10_hilbert_packing": (op10_hilbert_packing, None),
     "op1_license_templates": (op1_license_templates, None),
+    "op3_quadratic_discriminant": (op3_quadratic_discriminant, None),
+    "op4_factorization_machine": (op4_factorization_machine, None),
     "op5_secret_scan": (op5_secret_scan, None),
     "op6_permutation_index": (op6_permutation_index, None),
     "op7_decontamination": (op7_decontamination, OP7_SQL),

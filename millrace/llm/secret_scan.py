@@ -146,6 +146,29 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", mark:
     return over_texts(docs, key, text, "spans array<struct<kind:string,start:bigint,end:bigint>>, clean string", work)
 
 
+def redacted(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", length: str | None = None) -> DataFrame:
+    """All rows and columns of ``docs``, secrets in ``text`` replaced by ``mark``; the column ``length``, if
+    named, becomes the number of characters of changed texts."""
+    at, size_at = docs.columns.index(text), docs.columns.index(length) if length else -1
+
+    def run(batches):
+        for batch in batches:
+            automaton = _automaton()
+            columns = list(batch.columns)
+            values, sizes = columns[at].to_pylist(), columns[size_at].to_pylist() if length else []
+            for i, value in enumerate(values):
+                if value and (found := find_secrets(value, automaton)):
+                    values[i] = redact(value, found, mark)
+                    if length:
+                        sizes[i] = len(values[i])
+            columns[at] = pa.array(values, columns[at].type)
+            if length:
+                columns[size_at] = pa.array(sizes, columns[size_at].type)
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def secret_report(scan: DataFrame, key: str = "doc_id") -> DataFrame:
     """Counts per base kind, the digest of the base spans, and all spans as text."""
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(
