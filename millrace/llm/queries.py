@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import (decontaminate, jaccard_join, licenses, packing, permutation_index, quality, secret_scan, toxicity,
-                          url_rules)
+from millrace.llm import (decontaminate, jaccard_join, licenses, packing, permutation_index, quality, quotes, secret_scan,
+                          toxicity, url_rules)
 
 
 def table(spark, sf: str, name: str) -> DataFrame:
@@ -18,6 +18,50 @@ def op1_license_templates(spark, sf):
     return licenses.license_report(found).drop("template_hits")
 
 
+def mails(turns: DataFrame) -> DataFrame:
+    """Conversation turns written as mails: each quotes the turn before it and, one level deeper, the one
+    before that. Only their text tells which mail answers which."""
+    ids = (F.col("conv_id") * 100_000 + F.col("turn")).alias("message_id")
+    text = F.coalesce("text", F.lit(""))
+    marked = lambda marks, column: F.concat(F.lit(marks), F.replace(column, F.lit("\n"), F.lit("\n" + marks)), F.lit("\n"))
+    before = lambda n: turns.select("conv_id", (F.col("turn") + n).alias("turn"), text.alias(f"back{n}"))
+    return (turns.join(before(1), ["conv_id", "turn"], "left").join(before(2), ["conv_id", "turn"], "left")
+            .select(ids, F.concat(F.coalesce(marked(">> ", F.col("back2")), F.lit("")),
+                                  F.coalesce(marked("> ", F.col("back1")), F.lit("")), text).alias("text")))
+
+
+def op2_quotation_linking(spark, sf):
+    return quotes.conversations(mails(table(spark, sf, "conversations")))
+
+
+OP2_SQL = r"""
+with recursive turns as (
+    select conv_id, turn, conv_id * 100000 + turn as id, coalesce(text, '') as text from conversations),
+line as (
+    select id, unnest(string_split(text, chr(10))) as raw from turns),
+clean as (
+    select id, trim(regexp_replace(lower(raw), '\s+', ' ', 'g')) as line from line),
+owner as (select line, min(id) as owner from clean where line <> '' group by line),
+back as (
+    select m.id, d.depth, c.line
+    from turns m, (values (1), (2)) d(depth)
+    join turns q on q.conv_id = m.conv_id and q.turn = m.turn - d.depth
+    join clean c on c.id = q.id and c.line <> ''),
+quoted as (
+    select b.id, depth, owner, sum(length(b.line)) as size
+    from back b join owner using (line) where owner < b.id group by all),
+parent as (
+    select id, arg_min(owner, {'d': depth, 's': -size, 'o': owner}) as parent_id from quoted group by id),
+thread as (
+    select id, id as root_id, 0 as depth from turns where id not in (select id from parent)
+    union all
+    select p.id, t.root_id, t.depth + 1 from thread t join parent p on p.parent_id = t.id)
+select id as message_id, parent_id, root_id, depth,
+       row_number() over (partition by root_id order by depth, id) as position,
+       regexp_replace(text, '\A\s+|\s+\z', '', 'g') as body
+from turns join thread using (id) left join parent using (id)"""
+
+
 def scored(spark, sf, label: str, operator, threshold: float) -> DataFrame:
     """Scores of all documents by a model that learnt from the labels outside the held-out fold."""
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
@@ -145,6 +189,7 @@ def op10_hilbert_packing(spark, sf):
 QUERIES = {
     "op10_hilbert_packing": (op10_hilbert_packing, None),
     "op1_license_templates": (op1_license_templates, None),
+    "op2_quotation_linking": (op2_quotation_linking, OP2_SQL),
     "op3_quadratic_discriminant": (op3_quadratic_discriminant, None),
     "op4_factorization_machine": (op4_factorization_machine, None),
     "op5_secret_scan": (op5_secret_scan, None),
