@@ -120,8 +120,7 @@ def without_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id",
     """``docs`` without the contaminated documents, all columns kept."""
     bad = staged(contamination(docs, items, key, text).filter("contaminated")
                  .select(F.col(key).alias("_k"), F.col("_copy").alias("_c")).distinct(), "contaminated")
-    same = F.col(key).eqNullSafe(F.col("_k")) & (F.xxhash64(F.col(text)) == F.col("_c"))
-    return docs.join(_small(bad), same, "left_anti")
+    return docs.join(_small(bad), docs[key].eqNullSafe(bad["_k"]) & (F.xxhash64(docs[text]) == bad["_c"]), "left_anti")
 
 
 def report(found: DataFrame, key: str = "doc_id") -> DataFrame:
