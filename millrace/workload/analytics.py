@@ -38,34 +38,28 @@ def dashboard(spark: SparkSession, sf: str) -> DataFrame:
     return sla.sla_dashboard(metrics(spark, sf)).drop("view_refreshed_at")
 
 
-METRICS_SQL = m.PREFIX + """,
+def _named(column: str, lookup: str, key: str, other: str) -> str:
+    return f"coalesce((select any_value({column}) from {lookup} where sk = {key}), '{other}')"
+
+
+METRICS_SQL = m.PREFIX + f""",
 metrics as (
-    select f.ticket_sk, em.ticket_id, em.order_id, em.ticket_created_ts, em.first_response_ts,
-           em.resolved_ts, em.first_response_time, em.resolution_time, em.first_response_breached,
-           em.resolution_breached, em.is_reopened,
-           cast(strftime(f.created_at, '%Y%m%d') as integer) as ticket_created_date_sk,
-           cast(hour(f.created_at) * 60 + minute(f.created_at) as integer) as ticket_created_time_sk,
-           cast(strftime(f.order_created_at, '%Y%m%d') as integer) as order_date_sk,
-           cast(hour(f.order_created_at) * 60 + minute(f.order_created_at) as integer) as order_time_sk,
-           f.ticket_status, f.order_status, false as is_escalated,
-           cast(f.reopen_count as integer) as reopen_count,
-           f.refund_amount, f.compensation_amount, f.credit_amount, f.total_revenue_impact,
-           'b1' as batch_id, cast(f.total_event_count as integer) as total_event_count,
-           coalesce(c.city_name, 'UNKNOWN') as customer_city,
-           coalesce(d.city_name, 'UNKNOWN') as driver_city,
-           coalesce(r.restaurant_name, 'UNKNOWN') as restaurant_name,
-           coalesce(r.city_name, 'UNKNOWN') as restaurant_city,
-           coalesce(ch.channel_name, 'UNKNOWN') as channel_name,
-           coalesce(p.priority_name, 'STANDARD') as priority_name,
-           coalesce(rs.reason_name, 'OTHER') as reason_name
-    from timing em
-    left join fact f on f.ticket_id = em.ticket_id
-    left join cust c on f.customer_sk = c.sk
-    left join outlet d on f.driver_sk = d.sk
-    left join outlet r on f.restaurant_sk = r.sk
-    left join chan ch on f.channel_sk = ch.sk
-    left join prio p on f.priority_sk = p.sk
-    left join reas rs on f.reason_sk = rs.sk
+    select timing.*, fact.ticket_sk,
+           {", ".join(f"cast(strftime({t}, '%Y%m%d') as integer) as {n}_date_sk, "
+                      f"cast(date_part('hour', {t}) * 60 + date_part('minute', {t}) as integer) as {n}_time_sk"
+                      for t, n in (("fact.created_at", "ticket_created"), ("fact.order_created_at", "order")))},
+           fact.ticket_status, fact.order_status, false as is_escalated,
+           cast(fact.reopen_count as integer) as reopen_count, fact.refund_amount, fact.compensation_amount,
+           fact.credit_amount, fact.total_revenue_impact, 'b1' as batch_id,
+           cast(fact.total_event_count as integer) as total_event_count,
+           {_named('city_name', 'cust', 'fact.customer_sk', 'UNKNOWN')} as customer_city,
+           {_named('city_name', 'outlet', 'fact.driver_sk', 'UNKNOWN')} as driver_city,
+           {_named('restaurant_name', 'outlet', 'fact.restaurant_sk', 'UNKNOWN')} as restaurant_name,
+           {_named('city_name', 'outlet', 'fact.restaurant_sk', 'UNKNOWN')} as restaurant_city,
+           {_named('channel_name', 'chan', 'fact.channel_sk', 'UNKNOWN')} as channel_name,
+           {_named('priority_name', 'prio', 'fact.priority_sk', 'STANDARD')} as priority_name,
+           {_named('reason_name', 'reas', 'fact.reason_sk', 'OTHER')} as reason_name
+    from timing join fact using (ticket_id)
 )"""
 
 BOARD_SQL = METRICS_SQL + f""",
@@ -135,13 +129,9 @@ def event_rollup(spark, sf):
 
 
 EVENT_ROLLUP_SQL = "with " + ",".join([m.EVENTS_SQL, m.ACTIVITY_SQL]) + """
-select c.ticket_id, c.total_event_count, cast(c.reopen_count as bigint) as reopen_count,
-       a.first_response_ts, b.resolved_ts, o.reopened_ts, l.last_event_ts
-from rollup_counts c
-left join first_response a using (ticket_id)
-left join first_resolved b using (ticket_id)
-left join first_reopened o using (ticket_id)
-left join (select ticket_id, max(event_ts) as last_event_ts from ev group by ticket_id) l using (ticket_id)"""
+select ticket_id, total_event_count, reopen_count, answered as first_response_ts, solved as resolved_ts,
+       reopened_ts, last_seen as last_event_ts
+from life"""
 
 
 # ---- fact -----------------------------------------------------------------------------------
@@ -187,7 +177,7 @@ select base_sk + row_number() over (order by t.ticket_id) as ticket_sk, t.ticket
        coalesce(c.reopen_count, 0) > 0 as is_reopened, false as is_escalated, 'b1' as batch_id
 from tk t
 left join od o on o.order_id = t.order_id
-left join rollup_counts c on c.ticket_id = t.ticket_id
+left join life c on c.ticket_id = t.ticket_id
 cross join top
 where t.ticket_id is not null
   and not exists (select 1 from existing e where e.ticket_id = t.ticket_id)"""
@@ -220,7 +210,7 @@ select t.ticket_id, {_moment_sql('f.order_created_at', 'order')},
            as order_to_ticket_time_min,
        t.first_response_breached as sla_first_response_breached,
        t.resolution_breached as sla_resolution_breached
-from timing t join fact f using (ticket_id) left join first_reopened o using (ticket_id)"""
+from timing t join fact f using (ticket_id) left join life o using (ticket_id)"""
 
 
 def fact_keys(spark, sf):
@@ -501,11 +491,11 @@ QUERIES: dict[str, tuple[m.Query, str | None]] = {
     "tickets_by_restaurant": (
         by_restaurant,
         _BY_SQL + """ select restaurant_name, count(ticket_id) as total_tickets
-            from rollup_counts join outlet on restaurant_id = sk group by 1"""),
+            from life join outlet on restaurant_id = sk group by 1"""),
     "tickets_by_driver": (
         by_driver,
         _BY_SQL + """ select driver_id, count(ticket_id) as total_tickets
-            from rollup_counts join outlet on driver_id = sk group by 1"""),
+            from life join outlet on driver_id = sk group by 1"""),
     "minute_steps": (
         minute_steps,
         """select user_id, datediff('minute', min(ts), max(ts)) as minutes,
