@@ -41,6 +41,14 @@ def acquirable(arrived: DataFrame, tracking: DataFrame, max_attempts: int = 3) -
             .join(spent, "file_path", "left_anti"))
 
 
+def spent(arrived: DataFrame, tracking: DataFrame, max_attempts: int = 3) -> DataFrame:
+    """Arrived files that used up their attempts and were never loaded with their present content."""
+    done = tracking.filter(F.col("status") == SUCCESS).select("file_path", "last_hash").distinct()
+    tries = (tracking.groupBy("file_path").agg(F.sum("attempt_count").alias("_tries"))
+             .filter(F.col("_tries") >= max_attempts).select("file_path"))
+    return arrived.join(done, ["file_path", "last_hash"], "left_anti").join(tries, "file_path", "left_semi")
+
+
 def acquire(tracking: DataFrame, files: DataFrame, run_id: str) -> DataFrame:
     """Tracking after ``files`` are taken by a run; taking a file again raises its attempts."""
     before = tracking.filter(F.col("pipeline_run_id") == run_id).select(

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,10 +16,10 @@ from millrace.functions.masking import hash_columns
 from millrace.operators import quality_report as qr
 from millrace.operators import routing, tracking
 from millrace.operators.loading import Lake
-from millrace.operators.validation import check_columns, mark_orphans, validate
+from millrace.operators.validation import check_columns, check_files, mark_orphans, validate
 from millrace.plans import dimensions as d
 from millrace.session import staged
-from millrace.sources.files import hash_files, known_files, read_source
+from millrace.sources.files import fingerprint_files, known_files, read_source
 
 TRACKING = "file_tracking"
 DIMENSIONS = ("customer", "driver", "restaurant", "agent", "reason", "priority", "channel")
@@ -26,45 +27,68 @@ DIMENSIONS = ("customer", "driver", "restaurant", "agent", "reason", "priority",
 
 @dataclass
 class FileOutcome:
+    """``SKIPPED``: every file is unchanged since it was loaded. ``ABSENT``: no file came. ``SPENT``: a file
+    failed as often as it may and was not loaded."""
+
     file_name: str
-    stage: str  # VALIDATED, FAILED_SCHEMA, FAILED or SKIPPED
+    stage: str  # VALIDATED, FAILED_SCHEMA, FAILED, SKIPPED, ABSENT or SPENT
     error: str | None = None
+    path: str | None = None
+    required: bool = False
 
     @property
     def ok(self) -> bool:
-        return self.stage in ("VALIDATED", "SKIPPED")
+        return self.stage in ("VALIDATED", "SKIPPED") or self.stage == "ABSENT" and not self.required
 
 
 def _tracking(lake: Lake) -> DataFrame:
     return lake.read(TRACKING) if lake.exists(TRACKING) else tracking.empty_tracking(lake.spark)
 
 
-def load_batch_file(lake: Lake, path: str, contract: FileContract, store: str, run_id: str,
-                    process_date: str, max_retries: int = 3) -> FileOutcome:
-    """One master or batch file: read, check columns, validate rows, route, replace Silver."""
+def load_batch_files(lake: Lake, paths: Sequence[str], contract: FileContract, store: str, run_id: str,
+                     process_date: str, max_retries: int = 3) -> list[FileOutcome]:
+    """All files of one contract as one table: read each, check its columns, validate the rows of all
+    together, route, replace Silver. A file that cannot be read or lacks columns fails alone."""
+    outcomes, sources = [], []
+    for path in paths:
+        try:
+            source = read_source(lake.spark, path, contract)
+            if check_columns(source, contract).ok:
+                sources.append(source.withColumn("_source_file", F.lit(path)))
+                outcomes.append(FileOutcome(contract.file_name, "VALIDATED", path=path))
+            else:
+                outcomes.append(FileOutcome(contract.file_name, "FAILED_SCHEMA", "column_mismatch", path))
+        except Exception as exc:  # one bad file must not stop the others; the caller decides
+            outcomes.append(FileOutcome(contract.file_name, "FAILED", str(exc), path))
+    if not sources:
+        return outcomes
     try:
-        source = read_source(lake.spark, path, contract)
-        if not check_columns(source, contract).ok:
-            return FileOutcome(contract.file_name, "FAILED_SCHEMA", "column_mismatch")
+        source = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sources)
         # the raw copy; later steps scan it instead of parsing the text again
         bronze = f"{store}/bronze/{contract.stem}/run={run_id}"
-        (source.withColumns({"_source_file": F.lit(path), "_ingested_at": F.current_timestamp()})
-         .write.mode("overwrite").parquet(bronze))
-        raw = lake.spark.read.schema(source.schema).parquet(bronze)
-        parents = {
-            fk.column: (lake.read(table), fk.ref_column)
-            for fk in contract.foreign_keys
-            if lake.exists(table := f"silver_{fk.ref_table.rsplit('.', 1)[0].lower()}")
-        }
+        source.withColumn("_ingested_at", F.current_timestamp()).write.mode("overwrite").parquet(bronze)
+        raw = lake.spark.read.schema(source.drop("_source_file").schema).parquet(bronze)
+        parents = {fk.column: (_parent(lake, fk), fk.ref_column) for fk in contract.foreign_keys}
         marked = mark_orphans(validate(raw, contract), parents)
         routed = routing.route(marked, contract.stem, run_id, max_retries,
                                f"{store}/staged/{contract.stem}/{run_id}")
         routing.write_quarantine(routed.quarantine, f"{store}/quarantine", contract.stem, process_date, run_id)
         routing.write_quarantine(routed.waiting, f"{store}/orphans_batch", contract.stem, process_date, run_id)
         lake.refresh(contract.silver_table, hash_columns(routed.valid, contract.pii_columns))
-        return FileOutcome(contract.file_name, "VALIDATED")
-    except Exception as exc:  # one bad file must not stop the others; the caller decides
-        return FileOutcome(contract.file_name, "FAILED", str(exc))
+    except Exception as exc:
+        for outcome in outcomes:
+            if outcome.stage == "VALIDATED":
+                outcome.stage, outcome.error = "FAILED", str(exc)
+    return outcomes
+
+
+def _parent(lake: Lake, fk) -> DataFrame:
+    """The Silver table a key refers to. Without that table no key of it is known, so there is an empty one:
+    every value that is not null waits as an orphan."""
+    table = f"silver_{fk.ref_table.rsplit('.', 1)[0].lower()}"
+    if lake.exists(table):
+        return lake.read(table)
+    return lake.spark.createDataFrame([], f"`{fk.ref_column}` string")
 
 
 def by_dependency(contracts: Sequence[FileContract]) -> list[list[FileContract]]:
@@ -80,36 +104,44 @@ def by_dependency(contracts: Sequence[FileContract]) -> list[list[FileContract]]
 
 
 def load_batch_folder(lake: Lake, folder: str, contracts: Sequence[FileContract], store: str,
-                      run_id: str, process_date: str, max_attempts: int = 3) -> list[FileOutcome]:
-    """All known files of a folder that changed since their last successful load.
-
-    Parents are loaded before the files that refer to them. The tracking table holds one row per
-    file and run.
+                      run_id: str, process_date: str, max_attempts: int = 3,
+                      required: Collection[str] = ()) -> list[FileOutcome]:
+    """All known files of a folder, one logical table for each contract.
+
+    A contract is loaded when any of its files changed since it was last loaded; then all its files are,
+    as Silver is replaced. Parents are loaded before the files that refer to them. The tracking table
+    holds one row per file and run. A file that used up its attempts is left out and reported
+    as ``SPENT``; contracts named in ``required`` (stems) fail when no file came.
     """
     book = ContractBook(list(contracts))
-    files = known_files(hash_files(lake.spark, folder), book)
-    due = tracking.acquirable(files, _tracking(lake), max_attempts).select("file_path", "last_hash")
-    lake.refresh(TRACKING, tracking.acquire(_tracking(lake), due, run_id))
-    # one short row per contract file
-    paths = {p.rsplit("/", 1)[-1].rsplit(".", 1)[0]: p
-             for (p,) in lake.read(TRACKING).filter(F.col("pipeline_run_id") == run_id)
-             .select("file_path").collect()}
-
-    def load(contract: FileContract) -> tuple[FileOutcome, int]:
-        if contract.stem not in paths:
-            return FileOutcome(contract.file_name, "SKIPPED"), 0
-        outcome = load_batch_file(lake, paths[contract.stem], contract, store, run_id, process_date)
-        return outcome, lake.read(contract.silver_table).count() if outcome.ok else 0
+    files = staged(known_files(fingerprint_files(lake.spark, folder), book), "arrived")
+    before = _tracking(lake)
+    due = staged(tracking.acquirable(files, before, max_attempts).select("file_path", "last_hash"), "due")
+    spent = tracking.spent(files, before, max_attempts)
+    lake.refresh(TRACKING, tracking.acquire(before, due, run_id))
+    arrived = _by_stem(files)
+    due_paths = {p for paths in _by_stem(due).values() for p in paths}
+    spent_paths = {p for paths in _by_stem(spent).values() for p in paths}
+
+    def load(contract: FileContract) -> tuple[list[FileOutcome], int]:
+        paths = arrived.get(contract.stem, [])
+        worn = [FileOutcome(contract.file_name, "SPENT", "attempts used up", p) for p in paths if p in spent_paths]
+        if not paths:
+            return [FileOutcome(contract.file_name, "ABSENT", required=contract.stem in required)], 0
+        if not due_paths & set(paths):
+            return worn or [FileOutcome(contract.file_name, "SKIPPED")], 0
+        done = load_batch_files(lake, [p for p in paths if p not in spent_paths], contract, store, run_id, process_date)
+        loaded = any(o.stage == "VALIDATED" for o in done)
+        return done + worn, lake.read(contract.silver_table).count() if loaded else 0
 
     outcomes, told = [], []
     for level in by_dependency(contracts):
         # files of one level do not refer to each other: their jobs share the cluster
         with ThreadPoolExecutor(max_workers=4) as pool:
-            for contract, (outcome, rows) in zip(level, pool.map(load, level)):
-                outcomes.append(outcome)
-                if outcome.stage != "SKIPPED":
-                    status = tracking.SUCCESS if outcome.ok else tracking.FAILED
-                    told.append((paths[contract.stem], status, outcome.stage, rows))
+            for found, rows in pool.map(load, level):
+                outcomes += found
+                told += [(o.path, tracking.SUCCESS if o.ok else tracking.FAILED, o.stage, rows)
+                         for o in found if o.path in due_paths]
     if told:
         news = lake.spark.createDataFrame(
             told, "file_path string, status string, current_stage string, record_count int")
@@ -117,6 +149,14 @@ def load_batch_folder(lake: Lake, folder: str, contracts: Sequence[FileContract]
     return outcomes
 
 
+def _by_stem(files: DataFrame) -> dict[str, list[str]]:
+    """Paths by contract: one short row per file."""
+    found: dict[str, list[str]] = {}
+    for (path,) in files.select("file_path").distinct().orderBy("file_path").collect():
+        found.setdefault(path.rsplit("/", 1)[-1].rsplit(".", 1)[0], []).append(path)
+    return found
+
+
 def build_dimensions(lake: Lake) -> dict[str, DataFrame]:
     """Type-1 dimensions from Silver; keys given by an earlier version are kept."""
     s = {n: lake.read(f"silver_{n}") for n in (
@@ -178,8 +218,17 @@ def quality_run(sources: dict[str, dict[str, DataFrame]], book: ContractBook, ru
 
 
 def run_day(lake: Lake, folders: Sequence[str], book: ContractBook, store: str, run_id: str,
-            process_date: str, streams: Callable[[dict[str, DataFrame]], bool] | None = None) -> bool:
-    """Master folder, then batch folder, then dimensions, then the streams; stops at a failure."""
+            process_date: str, streams: Callable[[dict[str, DataFrame]], bool] | None = None,
+            required: Collection[str] = ()) -> bool:
+    """Master folder, then batch folder, then dimensions, then the streams; stops at a failure, also when
+    a contract in ``required`` (stems) has no file in any folder."""
+    names = [e for c in book.section("batch") if c.stem in required for e in (f"{c.stem}.csv", f"{c.stem}.json")]
+    if names:
+        arrived = reduce(DataFrame.union, [fingerprint_files(lake.spark, f) for f in folders]).select(F.col("file_path").alias("path"))
+        state = check_files(arrived, names).filter(F.col("state") == "found")
+        found = {r.file_name.rsplit(".", 1)[0] for r in state.collect()}
+        if set(required) - found:
+            return False
     for folder in folders:
         outcomes = load_batch_folder(lake, folder, book.section("batch"), store, f"{run_id}-{folder.rsplit('/', 1)[-1]}",
                                      process_date)

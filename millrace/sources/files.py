@@ -8,6 +8,8 @@ folders are not even listed.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -40,12 +42,34 @@ def clean_nulls(df: DataFrame, tokens: Sequence[str] = rules.BLANK_TOKENS,
     return df.withColumns({n: rules.null_tokens(F.col(n), tokens) for n in texts}) if texts else df
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header, every column text. A given schema is checked against the header."""
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
+             keep_file: bool = False) -> DataFrame:
+    """CSV with a header, every column text. A given schema is checked against the header.
+
+    Without a schema every file keeps the meaning of its own header: files are grouped by header, each
+    group is one scan, and columns are matched by name; a column that a file lacks is null there.
+    ``keep_file`` keeps ``_metadata`` through that, then as a column."""
     reader = spark.read.option("header", True).option("escape", '"')
     if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
-    return reader.csv(path)
+        return reader.schema(schema).option("enforceSchema", False).csv(path)
+    names = paths_of(spark, path)
+    if len(names) < 2:
+        return reader.csv(path)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(max_workers=8) as pool:  # only the first line of a file is read for its header
+        for name, header in zip(names, pool.map(lambda n: tuple(reader.csv(n).columns), names)):
+            by_header.setdefault(header, []).append(name)
+    # An empty file has no header and no rows.
+    scans = [reader.csv(group) for header, group in by_header.items() if header] or [reader.csv(names)]
+    if len(scans) > 1 and keep_file:
+        scans = [scan.select("*", "_metadata") for scan in scans]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+
+
+def paths_of(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The files a path, pattern or list names, by name only; one short string each."""
+    found = spark.read.format("binaryFile").load(path).select("path")
+    return sorted(r.path for r in found.collect())
 
 
 def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
@@ -61,14 +85,14 @@ def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType |
 
 def read_source(spark: SparkSession, path: str | list[str], contract: FileContract, *,
                 fmt: str | None = None, schema: T.StructType | None = None, array: bool = True,
-                tokens: Sequence[str] = rules.BLANK_TOKENS) -> DataFrame:
+                tokens: Sequence[str] = rules.BLANK_TOKENS, keep_file: bool = False) -> DataFrame:
     """Scan one contract file. Missing, empty and unsupported files give no rows."""
     first = path if isinstance(path, str) else (path[0] if path else "")
     kind = fmt or file_format(first)
     if kind is None or not first:
         return empty_source(spark, contract)
     try:
-        df = read_csv(spark, path, schema) if kind == "csv" else read_json(spark, path, schema, array)
+        df = read_csv(spark, path, schema, keep_file) if kind == "csv" else read_json(spark, path, schema, array)
     except AnalysisException as exc:
         if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return empty_source(spark, contract)
@@ -85,7 +109,7 @@ def with_source(df: DataFrame) -> DataFrame:
         "_source_file": path,
         "date": F.nullif(F.regexp_extract(path, FOLDERS, 1), F.lit("")),
         "hour": F.regexp_extract(path, FOLDERS, 2).try_cast("int"),
-    })
+    }).drop("_metadata")
 
 
 def read_folder(spark: SparkSession, root: str, contracts: Iterable[FileContract],
@@ -116,7 +140,8 @@ def read_stream_hour(spark: SparkSession, root: str, book: ContractBook, date: s
     folder = f"{int(hour):02d}" if hour is not None else "*"
     found = {}
     for contract in book.section("stream"):
-        df = read_source(spark, f"{root}/{date}/{folder}/{contract.file_name}", contract, tokens=tokens)
+        df = read_source(spark, f"{root}/{date}/{folder}/{contract.file_name}", contract, tokens=tokens,
+                         keep_file=True)
         if _hidden(df):
             found[contract.stem] = with_source(df)
     return found
@@ -169,7 +194,8 @@ def archive_raw(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def hash_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """SHA-256 of whole files: ``file_path, last_hash, length``."""
+    """SHA-256 of whole files, each read as one value, so for files well below 2 GB; see
+    :func:`fingerprint_files`. ``file_path, last_hash, length``."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -177,6 +203,17 @@ def hash_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
         F.col("path").alias("file_path"), F.sha2("content", 256).alias("last_hash"), "length")
 
 
+def fingerprint_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """``file_path, last_hash, length`` of every file below ``path``, from length and modification time:
+    no content is read, whatever the size. A file written again counts as changed."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(path).select(
+        F.col("path").alias("file_path"),
+        F.sha2(F.concat_ws("|", "length", F.unix_micros("modificationTime")), 256).alias("last_hash"), "length")
+
+
 def known_files(files: DataFrame, book: ContractBook, path: str = "file_path") -> DataFrame:
     """Files the contracts know, empty ones left out; a file may come as CSV or JSON."""
     name = F.element_at(F.split(path, "/"), -1)

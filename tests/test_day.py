@@ -180,3 +180,40 @@ def test_failures_are_reported(spark, day, tmp_path):
                for r in lake.read("file_tracking").filter("pipeline_run_id = 'r'").collect()}
     assert tracked["teams.csv"] == "FAILED_SCHEMA"
     assert not cycle.update_fact(lake, "x")  # Silver tables missing
+
+
+def test_all_files_of_a_contract_are_loaded(spark, day, tmp_path):
+    """Two files of one stem are one table; a bad one fails alone; spent and absent files are failures."""
+    lake = Lake(spark, f"{tmp_path}/lake", "day_lake_many")
+    folder = tmp_path / "in"
+    for part, rows in (("a", [dict(category_id=1, category_name="Grill")]), ("b", [dict(category_id=2, category_name="Fish")])):
+        (folder / part).mkdir(parents=True)
+        tree.write_csv(f"{folder}/{part}/categories.csv", rows)
+    contracts = [c for c in STANDARD.section("batch") if c.stem in ("categories", "teams")]
+
+    def load(run, **more):
+        return daily.load_batch_folder(lake, str(folder), contracts, f"{tmp_path}/s", run, "2024-01-05", **more)
+
+    first = load("r1")
+    assert [o.stage for o in first if o.file_name.startswith("categories")] == ["VALIDATED"] * 2
+    assert {r.category_name for r in lake.read("silver_categories").collect()} == {"Grill", "Fish"}
+    assert [o.stage for o in first if o.file_name.startswith("teams")] == ["ABSENT"] and all(o.ok for o in first)
+    assert {o.stage for o in load("r2")} == {"SKIPPED", "ABSENT"}
+    assert not all(o.ok for o in load("r3", required=["teams"]))
+    tree.write_csv(f"{folder}/b/teams.csv", [dict(team_id=1)])
+    for run in ("r4", "r5", "r6"):
+        assert [o.stage for o in load(run) if o.file_name.startswith("teams")] == ["FAILED_SCHEMA"]
+    spent = [o for o in load("r7") if o.file_name.startswith("teams")]
+    assert [o.stage for o in spent] == ["SPENT"] and not spent[0].ok
+    assert not daily.run_day(lake, [str(folder)], STANDARD, f"{tmp_path}/s", "r8", "2024-01-05", required=["drivers"])
+
+
+def test_without_the_parent_table_keys_wait(spark, tmp_path):
+    lake = Lake(spark, f"{tmp_path}/lake", "day_lake_orphans")
+    folder = tmp_path / "in"
+    folder.mkdir()
+    tree.write_csv(f"{folder}/regions.csv", [dict(region_id=1, region_name="R", city_id=77, delivery_base_fee="1.0")])
+    contracts = [c for c in STANDARD.section("batch") if c.stem == "regions"]
+    daily.load_batch_folder(lake, str(folder), contracts, f"{tmp_path}/s", "r", "2024-01-05")
+    assert lake.read("silver_regions").count() == 0
+    assert spark.read.parquet(f"{tmp_path}/s/orphans_batch/table_name=regions").count() == 1

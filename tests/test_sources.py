@@ -179,3 +179,15 @@ def test_gzip_csv(spark, tmp_path):
 def test_typed_schema_matches_contract():
     schema = STANDARD["tickets.csv"].typed_schema()
     assert schema["created_at"].dataType == T.TimestampNTZType() and schema["refund_amount"].dataType == T.DoubleType()
+
+
+def test_columns_follow_their_own_header(spark, tmp_path):
+    root = tmp_path / "stream" / "2024-01-05"
+    for hour, text in (("08", "region_id,region_name,city_id\n1,North,7\n"), ("09", "city_id,region_name,region_id\n8,South,2\n"),
+                       ("10", "")):
+        (root / hour).mkdir(parents=True)
+        (root / hour / "tickets.csv").write_text(text)
+    rows = files.read_csv(spark, f"{root}/*/tickets.csv").collect()
+    assert {(r.region_id, r.region_name, r.city_id) for r in rows} == {("1", "North", "7"), ("2", "South", "8")}
+    found = files.read_stream_hour(spark, f"{tmp_path}/stream", STANDARD, "2024-01-05")["tickets"]
+    assert {(r.city_id, r.hour) for r in found.collect()} == {("7", 8), ("8", 9)} and "_metadata" not in found.columns
