@@ -29,7 +29,7 @@ def percent(part: Column, whole: Column, places: int = 2) -> Column:
 
 def cents(c: Column) -> Column:
     """Whole cents, null where they do not fit."""
-    return F.rint(c.try_cast("double") * 100).try_cast("bigint")
+    return F.bround(c.try_cast("decimal(24,6)") * 100, 0).try_cast("bigint")
 
 
 def refund_pct(refund: Column, total: Column) -> Column:

@@ -8,16 +8,44 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A lookup is broadcast only after a count has shown it holds at most this many rows.
+from millrace.session import staged
+
+# A lookup is broadcast only after its rows and bytes have been counted: at most this many of either.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 # Beyond that, a key holding more than 1/HOT_SHARE of the left rows is spread over SALTS tasks.
 HOT_SHARE = 64
 SALTS = 64
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: text by its length, nested values by their JSON, others 8."""
+    size = F.lit(8 * len(df.columns))
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{name}`")))), F.lit(0))
+    return size
+
+
+def _measured(df: DataFrame, tag: int = 0) -> DataFrame:
+    """One row ``i, n, bytes``; every task sends one partial sum."""
+    return df.agg(F.lit(tag).alias("i"), F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes"))
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; stops counting just past the bound."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` is counted to have at most ``max_rows`` rows and ``BROADCAST_BYTES`` bytes."""
+    return which_fit([df], max_rows)[0]
+
+
+def which_fit(dfs: Sequence[DataFrame], max_rows: int = BROADCAST_ROWS) -> list[bool]:
+    """:func:`fits_broadcast` for several lookups in one job."""
+    if not dfs:
+        return []
+    rows = reduce(DataFrame.union, [_measured(d, i) for i, d in enumerate(dfs)]).collect()
+    sizes = {r["i"]: r for r in rows}
+    return [sizes[i]["n"] <= max_rows and sizes[i]["bytes"] <= BROADCAST_BYTES for i in range(len(dfs))]
 
 
 def _same_key(keys: Sequence[str]) -> Column:
@@ -37,6 +65,18 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> Data
     return counts.filter(F.col("_n") * share > total).select(*keys)
 
 
+def hot_values(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> dict[str, DataFrame]:
+    """:func:`hot_keys` of several single keys from one pass over ``df``, written: fewer than ``share`` rows
+    a key, which plans built on it read instead of ``df``."""
+    kinds = {k: df.schema[k].dataType for k in keys}
+    each = df.select(F.explode(F.array(*[
+        F.struct(F.lit(k).alias("name"), F.col(k).cast("string").alias("value")) for k in keys])).alias("p"))
+    counts = each.groupBy("p.name", "p.value").agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.filter(F.col("name") == keys[0]).agg(F.sum("_n")).scalar()
+    hot = staged(counts.filter(F.col("_n") * share > total), "hot-keys")
+    return {k: hot.filter(F.col("name") == k).select(F.col("value").cast(kinds[k]).alias(k)) for k in keys}
+
+
 def spread_salt(df: DataFrame, salts: int = SALTS) -> Column:
     """A salt that separates rows of one key: by map partition and by row content.
 
@@ -48,12 +88,15 @@ def spread_salt(df: DataFrame, salts: int = SALTS) -> Column:
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
-                share: int = HOT_SHARE, salts: int = SALTS) -> DataFrame:
+                share: int = HOT_SHARE, salts: int = SALTS, hot: DataFrame | None = None) -> DataFrame:
     """Equi-join for two large sides: hot left keys are spread, their right rows replicated.
 
-    Only the few hot keys are replicated. Null keys match nothing and are spread as well.
+    Only the few hot keys are replicated. Null keys match nothing and are spread as well. ``hot``
+    are the keys to spread where they are known; else they are counted and written first, so that
+    ``left`` stands once in the plan.
     """
-    hot = hot_keys(left, keys, share)
+    if hot is None:
+        hot = staged(hot_keys(left, keys, share), "hot-keys")
     marks = F.broadcast(hot.select(*[F.col(k).alias(f"_r_{k}") for k in keys])
                         .withColumn("_hot", F.lit(True)))
     no_key = F.lit(False)
@@ -71,13 +114,6 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return spread.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
-def which_fit(dfs: Sequence[DataFrame], max_rows: int = BROADCAST_ROWS) -> list[bool]:
-    """:func:`fits_broadcast` for several lookups in one job."""
-    tagged = [d.limit(max_rows + 1).select(F.lit(i).alias("i")) for i, d in enumerate(dfs)]
-    counts = dict(reduce(DataFrame.union, tagged).groupBy("i").count().collect())
-    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
-
-
 def lookup_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], how: str = "left",
                 max_rows: int = BROADCAST_ROWS, fits: bool | None = None) -> DataFrame:
     """Join ``left`` to a lookup with at most one row per key (``left``, ``inner``, ``left_semi``
@@ -93,11 +129,15 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], ho
 def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, dict[str, str]]],
               max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Left join a fact to dimensions. Each entry is (dimension, key, {column: output name});
-    only the named columns are read from the dimension."""
+    only the named columns are read from the dimension. The hot keys of all large dimensions come from
+    one pass over the fact, so every dimension adds one scan to the plan."""
     picked = [d.select(key, *[F.col(c).alias(n) for c, n in names.items()]) for d, key, names in dims]
+    fitting = which_fit(picked, max_rows)
+    large = sorted({key for fits, (_, key, _) in zip(fitting, dims) if not fits})
+    hot = hot_values(fact, large) if large else {}
     out = fact
-    for dim, fits, (_, key, _) in zip(picked, which_fit(picked, max_rows), dims):
-        out = lookup_join(out, dim, key, "left", max_rows, fits)
+    for dim, fits, (_, key, _) in zip(picked, fitting, dims):
+        out = out.join(F.broadcast(dim), key, "left") if fits else salted_join(out, dim, [key], hot=hot[key])
     return out
 
 

@@ -33,9 +33,8 @@ def read_log_text(spark: SparkSession, root: str, tail: int | None = None,
     """Raw lines of every log file under ``root`` with ``source_file``; ``tail`` keeps the last
     lines of each file.
 
-    Lines are placed by split start and position inside the split, both known to the scan; the
-    tail is cut inside every input partition before rows are exchanged, so a huge file does not
-    travel.
+    Lines are placed by split start and position inside the split, both known to the scan. The tail is
+    cut in every split first and then in the file, so no task orders a whole file, whatever the tail.
     """
     lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root)
              .select("value", F.col("_metadata.file_name").alias("source_file"),
@@ -43,8 +42,10 @@ def read_log_text(spark: SparkSession, root: str, tail: int | None = None,
                      F.col("_metadata.file_block_start").alias("_split"),
                      F.monotonically_increasing_id().alias("_line")))
     if tail is not None:
-        last = Window.partitionBy("_path").orderBy(F.col("_split").desc(), F.col("_line").desc())
-        lines = lines.withColumn("_back", F.row_number().over(last)).filter(F.col("_back") <= tail)
+        newest = (F.col("_split").desc(), F.col("_line").desc())
+        for place in (("_path", "_split"), ("_path",)):
+            last = Window.partitionBy(*place).orderBy(*newest)
+            lines = lines.withColumn("_back", F.row_number().over(last)).filter(F.col("_back") <= tail)
     return lines.select("value", "source_file")
 
 
@@ -53,10 +54,11 @@ def read_logs(spark: SparkSession, root: str, tail: int | None = None, glob: str
     return parse_lines(read_log_text(spark, root, tail, glob)).orderBy(F.col("timestamp").desc_nulls_last())
 
 
-def read_json_lines(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
-    """Every ``*.jsonl`` under ``root``: bad lines dropped, keys of all files merged, a
+def read_json_lines(spark: SparkSession, root: str, schema: T.StructType | None = None,
+                    glob: str = "*.jsonl") -> DataFrame:
+    """Every file named like ``glob`` under ``root``: bad lines dropped, keys of all files merged, a
     ``timestamp`` column parsed."""
-    reader = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl")
+    reader = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
               .option("mode", "DROPMALFORMED"))
     df = (reader.schema(schema) if schema is not None else reader).json(root)
     if "timestamp" in df.columns:

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.logtext import file_result, parse_lines, partition_name
 from millrace.plans import logs
 from millrace.session import scratch_path
-from millrace.sources.reports import read_logs
+from millrace.sources.reports import read_json_lines, read_logs
 from millrace.workload import model as m
 
 
@@ -120,7 +121,7 @@ def json_lines(spark, sf):
     """The JSON in the events table written as lines and scanned back with a schema."""
     path = scratch_path(spark, "props")
     m.table(spark, sf, "events").select("props").write.text(path)
-    back = spark.read.schema("k bigint").option("mode", "DROPMALFORMED").json(path)
+    back = read_json_lines(spark, path, T.StructType([T.StructField("k", T.LongType())]), glob="*")
     return back.groupBy("k").agg(F.count(F.lit(1)).alias("rows"))
 
 

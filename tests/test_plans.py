@@ -73,6 +73,28 @@ def test_large_lookups_are_salted_not_broadcast(spark):
         spark.conf.set(conf, before)
 
 
+def test_star_join_adds_one_scan_a_dimension(spark):
+    """Three salted dimensions: the fact's events are read once in the plan, hot keys come from a table."""
+    from millrace.workload import analytics
+
+    base = analytics.fact(spark, SF)
+    dims = [(d, k, {"city_name": n}) for d, k, n in (
+        (m.customers(spark, SF), "customer_sk", "a"), (m.outlets(spark, SF, "driver_sk"), "driver_sk", "b"),
+        (m.outlets(spark, SF, "restaurant_sk"), "restaurant_sk", "c"))]
+    text = plan(joins.star_join(base, dims, max_rows=3))
+    assert text.count("_salt") and text.count("lineitem.parquet") <= 2
+
+
+def test_log_tail_is_cut_by_split_first(spark, tmp_path):
+    from millrace.sources.reports import read_log_text
+
+    for name in ("a.log", "b.log"):
+        (tmp_path / name).write_text("".join(f"{name} {i}\n" for i in range(7000)))
+    lines = read_log_text(spark, str(tmp_path), tail=5000)
+    assert re.search(r"hashpartitioning\(_path#\d+, _split#\d+L?", plan(lines)) and lines.count() == 10_000
+    assert lines.filter("value in ('a.log 1999', 'b.log 6999')").collect()[0].value == "b.log 6999"
+
+
 def test_partitioned_archive_prunes(spark, tmp_path):
     from pyspark.sql import functions as F
 
