@@ -176,7 +176,9 @@ def validate(df: DataFrame, contract: FileContract, *, bounds: str = "exclusive"
     )
     if duplicates and contract.primary_keys:
         names = order_by or [n for n in ("updated_at",) if n in typed]
-        order = [F.col(n) for n in [*names, *[n for n in typed if n not in names]]]
+        # the contract's columns decide first; what else tells two rows apart makes the choice repeatable
+        rest = [n for n, t in shown.dtypes if n not in typed and not t.startswith("map")]
+        order = [F.col(n) for n in [*names, *[n for n in typed if n not in names], *rest]]
         shown = flag_duplicates(shown, contract.primary_keys, order, duplicates)
         checks["duplicated"] = [(k, F.col("_duplicated")) for k in contract.primary_keys]
 
