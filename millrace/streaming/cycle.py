@@ -8,6 +8,7 @@ run again after a failure therefore changes nothing.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -26,6 +27,7 @@ from millrace.operators.validation import mark_orphans, validate
 from millrace.sources.files import archive_raw
 from millrace.plans import fact as facts
 from millrace.plans import revenue, sla
+from millrace.session import staged
 
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
@@ -67,7 +69,19 @@ class StreamLoader:
         return self.contract.silver_table
 
     def _known_parents(self) -> dict[str, tuple[DataFrame, str]]:
-        return {c: (self.lake.read(t), k) for c, (t, k) in self.parents.items() if self.lake.exists(t)}
+        """Parent keys; a table that is not there yet knows none, so rows that name one wait for it."""
+        nobody = lambda k: self.lake.spark.createDataFrame([], f"`{k}` string")
+        return {c: (self.lake.read(t) if self.lake.exists(t) else nobody(k), k) for c, (t, k) in self.parents.items()}
+
+    def last_cycle(self) -> int:
+        """The latest batch that left a waiting room, -1 before the first."""
+        room = f"{self.store}/orphans/{self.contract.stem}"
+        if read_if_present(self.lake.spark, room) is None:
+            return -1
+        # by name: an empty room has a folder and no rows
+        paths = self.lake.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(room)
+        found = paths.select(F.max(F.regexp_extract("path", r"cycle=(\d+)", 1).cast("int"))).first()[0]
+        return -1 if found is None else int(found)
 
     def waiting_at(self, batch_id: int) -> DataFrame | None:
         """Orphans left by an earlier batch, ready to be tried again."""
@@ -93,21 +107,40 @@ class StreamLoader:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Body of ``foreachBatch``."""
-        stem, run_id = self.contract.stem, f"batch-{batch_id}"
         raw = self.bronze(batch, batch_id).drop("_ingested_at")
         waiting = self.waiting_at(batch_id - 1)
         if waiting is not None:
             raw = raw.unionByName(as_text_like(waiting, raw), allowMissingColumns=True)
+        self._load(raw, f"batch-{batch_id}", batch_id)
+
+    def retry(self) -> bool:
+        """Try the waiting rows again without new files; True if there were any.
+
+        The room of the latest batch is replaced by what still waits, so the next batch goes on from there. A
+        retry has a name of its own and never touches a batch's folders. Rows reach Silver before the room
+        is replaced: a retry that breaks off is repeated without harm."""
+        last = self.last_cycle()
+        waiting = self.waiting_at(last)
+        if waiting is None or waiting.isEmpty():
+            return False
+        kept = staged(waiting, "waiting")
+        text = {f.name: f.dataType.simpleString() for f in self.contract.read_schema(self.extra_types).fields}
+        raw = kept.select(*[F.col(c).cast(text.get(c, t)).alias(c) for c, t in kept.dtypes])
+        self._load(raw, f"retry-{last}-{uuid.uuid4().hex[:8]}", last)
+        return True
+
+    def _load(self, raw: DataFrame, run_id: str, cycle: int) -> None:
+        stem = self.contract.stem
         checked = validate(raw, self.contract, bounds=self.bounds, extra_types=self.extra_types)
         marked = mark_orphans(checked, self._known_parents())
         routed = routing.route(marked, stem, run_id, self.max_retries,
-                               f"{self.store}/staged/{stem}/batch={batch_id}")
+                               f"{self.store}/staged/{stem}/{run_id}")
         routing.write_quarantine(routed.quarantine, f"{self.store}/quarantine", stem,
                                  self.process_date, run_id)
-        routing.write_waiting(routed.waiting, f"{self.store}/orphans", stem, batch_id)
         clean = hash_columns(routed.valid, self.contract.pii_columns)
         self.lake.insert_absent(self.table, clean.drop("date", "hour"), self.contract.primary_keys,
                                 self.partition_by, unique=True)
+        routing.write_waiting(routed.waiting, f"{self.store}/orphans", stem, cycle)
 
     def start(self, source: DataFrame, every: str | None = None) -> StreamingQuery:
         """Run until the files on hand are read, or keep polling at an interval (``"1 hour"``)."""
@@ -165,9 +198,13 @@ def materialize_dashboard(lake: Lake, board: DataFrame, table: str = "mv_sla_das
 
 def run_cycle(loaders: Sequence[tuple[StreamLoader, DataFrame]], lake: Lake, cycle_id: str,
               dims: Mapping[str, DataFrame] | None = None) -> bool:
-    """One pass over all streams in write order, then the fact and the views."""
+    """One pass over all streams in write order, then the fact and the views. A stream without new files
+    tries its waiting rows again."""
     for loader, source in sorted(loaders, key=lambda pair: pair[0].contract.write_priority):
+        before = loader.last_cycle()
         loader.start(source).awaitTermination()
+        if loader.last_cycle() == before:
+            loader.retry()
     done = update_fact(lake, cycle_id, dims)
     if done and dims is not None:
         refresh_views(lake, dims)

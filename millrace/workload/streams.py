@@ -9,7 +9,7 @@ from millrace.contract import ColumnRule, FileContract
 from millrace.plans.logs import windowed_counts
 from millrace.session import scratch_path, staged
 from millrace.sources.standard_contracts import STANDARD, TICKET_EXTRAS
-from millrace.streaming.cycle import StreamLoader, update_fact
+from millrace.streaming.cycle import StreamLoader, run_cycle, update_fact
 from millrace.workload import model as m
 from millrace.workload.loads import fresh_lake, in_credit
 
@@ -121,24 +121,23 @@ def stream_dedup(spark, sf):
 
 
 def stream_orphan_retry(spark, sf):
-    """Orders of customers not known yet wait; after the customers arrive the next batch takes
-    them in. Shows what each step left in Silver and in the waiting room."""
+    """Orders of customers not known yet wait; after the customers arrive the next cycle takes them in, without new
+    files. Shows what each step left in Silver and in the waiting room."""
     lake, store = fresh_lake(spark, "late"), scratch_path(spark, "late-store")
     everyone = m.table(spark, sf, "customer").select("c_custkey", "c_acctbal")
     lake.refresh("silver_customer", in_credit(everyone))
     loader = StreamLoader(lake, PLAIN_ORDERS, store, {"o_custkey": ("silver_customer", "c_custkey")})
     source = stream_table(spark, sf, "orders").select(*PLAIN_ORDERS.names)
-    loader.start(source).awaitTermination()
+    run_cycle([(loader, source)], lake, "c0")
 
     def standing(step: int) -> DataFrame:
-        waiting = loader.waiting_at(step).agg(F.count(F.lit(1)))
+        waiting = loader.waiting_at(loader.last_cycle()).agg(F.count(F.lit(1)))
         return lake.read(loader.table).agg(F.count(F.lit(1)).alias("loaded")).select(
             F.lit(step).alias("step"), "loaded", waiting.scalar().alias("waiting"))
 
     first = staged(standing(0), "standing")
     lake.refresh("silver_customer", everyone)
-    nothing_new = m.table(spark, sf, "orders").select(*PLAIN_ORDERS.names).limit(0)
-    loader.process(nothing_new, 1)
+    run_cycle([(loader, source)], lake, "c1")
     return first.unionByName(standing(1))
 
 

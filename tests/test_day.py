@@ -217,3 +217,18 @@ def test_without_the_parent_table_keys_wait(spark, tmp_path):
     daily.load_batch_folder(lake, str(folder), contracts, f"{tmp_path}/s", "r", "2024-01-05")
     assert lake.read("silver_regions").count() == 0
     assert spark.read.parquet(f"{tmp_path}/s/orphans_batch/table_name=regions").count() == 1
+
+
+def test_waiting_rows_are_tried_without_new_files(spark, day, tmp_path):
+    root, lake = day
+    other = Lake(spark, f"{tmp_path}/lake", "day_lake_retry")
+    other.refresh("silver_restaurants", lake.read("silver_restaurants"))
+    other.refresh("silver_drivers", lake.read("silver_drivers"))
+    pair = loaders(spark, other, root, f"{tmp_path}/store")[0]  # customers are not there yet
+    cycle.run_cycle([pair], other, "c1")
+    loader = pair[0]
+    assert loader.waiting_at(loader.last_cycle()).count() > 0 and not other.read("silver_orders").count()
+    other.refresh("silver_customers", lake.read("silver_customers"))
+    cycle.run_cycle([pair], other, "c2")
+    assert {r.order_id for r in other.read("silver_orders").collect()} >= {"o1", "o2", "o3"}
+    assert loader.last_cycle() == 0
