@@ -12,7 +12,8 @@ so of the segments that are not empty at least one is alike in both sets.
 * Each of these is first compared with one set that shares many segments. What is linked this way
   needs no further comparison with its own group, so large groups of copies cost one pair a set.
 * Between groups, a set looks up its cheapest segments (those with the fewest postings) until the
-  differences proved by all others and these exceed H. Every pair found is verified on whole sets.
+  differences proved by all others and these exceed H. Pairs whose parity sketches
+  differ at more than H places are out; every other pair found is verified on whole sets.
 
 Sets are kept as 64-bit hashes of shingles, and documents with equal sets as one set with a 64-bit
 fingerprint.
@@ -21,12 +22,13 @@ fingerprint.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from itertools import count
 from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.bytewords import VISIBLE, chunks, mix, ngrams
@@ -34,9 +36,10 @@ from millrace.llm.components import components
 from millrace.session import staged
 
 BROADCAST_ROWS = 1_000_000  # rows of two numbers
-ENTRIES = 1_500_000         # postings a task sorts at once
+ENTRIES = 400_000           # postings a task sorts at once
 FLUSH_BYTES = 8 << 20       # text whose postings a task holds before passing them on
-STAR_ROUNDS = 3
+STAR_ROUNDS, STAR_PAIRS = 2, 6
+SKETCH = 1024               # bits of a sketch
 OWN, LOW = 0, 1             # a set in the scheme of its own size band, and of the band below
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 
@@ -131,6 +134,14 @@ class Scheme:
         return [np.concatenate(x) for x in zip(*parts)]
 
 
+def parity_sketches(elements: np.ndarray, owner: np.ndarray, sets: int) -> np.ndarray:
+    """``SKETCH`` bits for each set, as 64-bit words: whether an odd number of elements hash to a place. Two
+    sketches differ at no more places than the sets do in elements."""
+    place = owner * SKETCH + (mix(elements + np.uint64(5)) % np.uint64(SKETCH)).astype(np.int64)
+    odd = np.bincount(place, minlength=sets * SKETCH).reshape(sets, SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+
+
 def _summaries(docs: DataFrame, scheme: Scheme, words: int) -> DataFrame:
     """``id, copy, node, n`` and the segments filled at both levels, for each document."""
     fields = "node bigint, n bigint, own bigint, own_many bigint, low bigint, low_many bigint"
@@ -257,13 +268,47 @@ def _postings(sets: DataFrame, scheme: Scheme) -> DataFrame:
         run, "signature bigint, node bigint, n bigint, level int, segment bigint, weight int, deleted boolean")
 
 
+def _sketches(sets: DataFrame) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            column = batch.column("elements")
+            sizes = batch.column("n").to_numpy()
+            parts = [np.zeros((0, SKETCH // 64), np.int64)]
+            ends = np.cumsum(sizes)
+            elements = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            for at in range(0, len(sizes), 1000):
+                some = sizes[at:at + 1000]
+                parts.append(parity_sketches(elements[ends[at] - sizes[at]:ends[at + len(some) - 1]],
+                                             np.repeat(np.arange(len(some)), some), len(some)))
+            rows = np.concatenate(parts)
+            offsets = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("n"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel()))],
+                ["node", "n", "sketch"])
+
+    return sets.select("node", "n", "elements").mapInArrow(run, "node bigint, n bigint, sketch array<bigint>")
+
+
+def _apart(x: str, y: str) -> Column:
+    """Places at which two sketches differ."""
+    return reduce(lambda a, b: a + b, [F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(SKETCH // 64)])
+
+
+def _possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) whose sketches do not prove that they differ too much, written."""
+    side = lambda x: sketches.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"k_{x}"))
+    return staged(pairs.join(side("a"), "a").join(side("b"), "b").filter(
+        _apart("k_a", "k_b") * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)).select("a", "b"), "pairs")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose whole sets are similar enough."""
-    left = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("elements").alias("e_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("elements").alias("e_b"))
-    both = F.size(F.array_intersect("e_a", "e_b"))
-    return (pairs.join(left, "a").join(right, "b")
-            .filter(both * 100 >= (F.col("n_a") + F.col("n_b") - both) * percent).select("a", "b"))
+    """Those of the (written) pairs (a, b) whose whole sets are similar enough. Only sets of pairs travel."""
+    sides = _small(pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node")))
+    met = (sets.select("node", "elements").join(sides, "node").groupBy("a", "b")
+           .agg(F.collect_list("elements").alias("e")))
+    both = F.size(F.array_intersect(F.col("e")[0], F.col("e")[1]))
+    every = F.size(F.col("e")[0]) + F.size(F.col("e")[1])
+    return met.filter(both * 100 >= (every - both) * percent).select("a", "b")
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -273,9 +318,12 @@ def _small(df: DataFrame) -> DataFrame:
 def _with_groups(postings: DataFrame, groups: DataFrame | None) -> DataFrame:
     """Postings with the group their set belongs to so far; only signatures met in several groups."""
     if groups is None:
-        marked = postings.withColumn("comp", F.col("node"))
+        marked = postings.withColumn("comp", F.col("node")).withColumn("members", F.lit(1).cast("bigint"))
     else:
-        marked = postings.join(groups, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        sizes = groups.groupBy("comp").agg((F.count(F.lit(1)) + 1).alias("members"))
+        known = groups.select("node", "comp").union(groups.select(F.col("comp").alias("node"), "comp").distinct())
+        marked = (postings.join(known.join(sizes, "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+                  .withColumn("members", F.coalesce("members", F.lit(1).cast("bigint"))))
     mixed = (marked.groupBy("signature").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"),
                                              F.count(F.lit(1)).alias("cost"))
              .filter(F.col("_lo") < F.col("_hi")).select("signature", "cost"))
@@ -283,17 +331,20 @@ def _with_groups(postings: DataFrame, groups: DataFrame | None) -> DataFrame:
 
 
 def _star_pairs(mixed: DataFrame, attempt: int) -> DataFrame:
-    """For every set one set of another group: the one that leads most of its signatures."""
+    """For every set a few sets of other groups to compare with first. Every signature has one of its sets, drawn
+    by hash, as leader; a set takes the leaders it shares most signatures with."""
     leader = mixed.groupBy("signature").agg(
-        F.min(F.struct(F.xxhash64("comp", F.lit(attempt)), F.xxhash64("node", F.lit(attempt)), "node", "comp")).alias("l"))
+        F.min(F.struct(F.xxhash64("signature", "node", F.lit(attempt)).alias("h"), "node", "comp")).alias("l"))
     led = (mixed.join(leader, "signature").filter(F.col("l.comp") != F.col("comp"))
            .groupBy("node", F.col("l.node").alias("leader")).agg(F.count(F.lit(1)).alias("shared")))
-    best = led.groupBy("node").agg(F.max_by("leader", F.struct("shared", "leader")).alias("leader"))
+    order = Window.partitionBy("node").orderBy(F.desc("shared"), F.xxhash64("leader", F.lit(attempt)), "leader")
+    best = led.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= STAR_PAIRS)
     return best.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
-def _cross_pairs(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different groups found through each set's cheapest segments, as many as are needed."""
+def _cross_pairs(mixed: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different groups found through each set's cheapest segments, as many as are needed, whose
+    sketches do not prove that they differ too much."""
     segments = (mixed.groupBy("node", "level", "segment").agg(F.sum("cost").alias("cost"), F.max("weight").alias("weight")))
     order = Window.partitionBy("node", "level").orderBy("cost", "segment")
     whole = Window.partitionBy("node", "level")
@@ -306,12 +357,15 @@ def _cross_pairs(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
               .join(limits, ["node", "level"])
               .filter(F.col("total") - F.col("all") + F.col("before") <= F.col("most"))
               .select("node", "level", "segment"))
+    mixed = mixed.join(sketches.drop("n"), "node")
     asking = mixed.join(chosen, ["node", "level", "segment"]).select(
         "signature", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"),
-        F.col("deleted").alias("dx"))
-    fits = ((F.col("cx") != F.col("comp")) & ~(F.col("dx") & F.col("deleted"))
-            & (F.least("nx", "n") * 100 >= F.greatest("nx", "n") * percent))
-    return (asking.join(mixed.select("signature", "node", "comp", "n", "deleted"), "signature").filter(fits)
+        F.col("deleted").alias("dx"), F.col("members").alias("mx"), F.col("sketch").alias("kx"))
+    # A pair across groups shows from either side: the member of the smaller group asks.
+    fits = ((F.col("cx") != F.col("comp")) & (F.col("mx") <= F.col("members")) & ~(F.col("dx") & F.col("deleted"))
+            & (F.least("nx", "n") * 100 >= F.greatest("nx", "n") * percent)
+            & (_apart("kx", "sketch") * (100 + percent) <= (F.col("nx") + F.col("n")) * (100 - percent)))
+    return (asking.join(mixed.select("signature", "node", "comp", "n", "deleted", "members", "sketch"), "signature").filter(fits)
             .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct())
 
 
@@ -362,11 +416,13 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     read = _read_sets(again, words).dropDuplicates(["node"])
     elements = staged(open_sets.drop("n").join(read, "node"), "elements")
     postings = staged(_postings(elements, scheme), "postings")
+    sketches = staged(_sketches(elements), "sketches")
 
     links, groups = None, None
     for attempt in range(STAR_ROUNDS + 1):
         mixed = staged(_with_groups(postings, groups), "mixed-postings")
-        pairs = _star_pairs(mixed, attempt) if attempt < STAR_ROUNDS else _cross_pairs(mixed, elements, percent)
+        pairs = (_possible(_star_pairs(mixed, attempt), sketches, percent) if attempt < STAR_ROUNDS
+                 else staged(_cross_pairs(mixed, elements, sketches, percent), "pairs"))
         found = staged(_verified(pairs, elements, percent), "links")
         links = found if links is None else links.union(found)
         groups = components(links)
@@ -386,5 +442,5 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     kept. Rows without a key stay; of repeated rows one stays."""
     kept = staged(similar_documents(docs, key, text, words, percent)
                   .filter(F.col(key) == F.col("component_id")).select(F.col(key).alias("_k")).distinct(), "kept")
-    stays = docs.filter(F.col(key).isNotNull()).join(_small(kept), F.col(key) == F.col("_k"), "left_semi")
-    return stays.dropDuplicates([key]).unionByName(docs.filter(F.col(key).isNull()))
+    stays = docs.filter(F.col(key).isNotNull()).join(_small(kept), docs[key] == kept["_k"], "left_semi")
+    return stays.dropDuplicates([key]).union(docs.filter(F.col(key).isNull()))
