@@ -141,7 +141,8 @@ def pack(docs: DataFrame, encoder: Encoder, key: str = "doc_id", text: str = "te
 
     def cut(batches):
         offset, number = 0, 0
-        for batch in batches:
+        # a few hundred texts at a time: their ids take several times the space of the text
+        for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
             out: list[list] = [[] for _ in range(7)]
             keys = []
             for row, (value, part) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
