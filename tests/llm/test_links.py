@@ -180,3 +180,31 @@ def test_quotes(spark):
         1: (1, 0, 1), 2: (1, 1, 2), 4: (1, 1, 3), 8: (1, 1, 4), 3: (1, 2, 5), 9: (1, 2, 6)}
     assert got[3].body == "Me too" and got[9].body == "ends" and got[5].body == "" and got[None].body == "x"
     assert quotes.conversations(mail.limit(0)).count() == 0
+
+
+def test_quotes_in_copied_conversations(spark):
+    """Every copy of a conversation keeps its own links, and a common line does not draw replies elsewhere."""
+    turns = ["How do I\nopen this?\nThanks", "Turn the key\nThanks", "Yes\nThanks", "Good\nBye"]
+    rows, want = [(1, "Thanks\nBye")], {1: None}
+    for copy in range(1, 6):
+        for i, text in enumerate(turns):
+            key = copy * 10 + i
+            marked = "".join(f"> {line}\n" for line in turns[i - 1].split("\n")) if i else ""
+            rows.append((key, marked + text))
+            want[key] = key - 1 if i else None
+    # "Thanks" and "Yes" stand nearest in others, together last in 52; 103 quotes a part of 50
+    rows += [(100, "Yes"), (101, "Thanks"), (102, "> Yes\n> Thanks\nreply"), (103, "> open this?\n> Thanks\nand I"),
+             (104, "Thanks"), (105, "> Yes\nfoo\n> Thanks")]
+    want |= {100: None, 101: None, 102: 52, 103: 50, 104: None, 105: 104}
+    mail = spark.createDataFrame(rows, "message_id bigint, text string").repartition(3)
+    got = {r.message_id: r for r in quotes.conversations(mail).collect()}
+    assert {k: r.parent_id for k, r in got.items()} == want
+    assert all(got[c * 10 + i].root_id == c * 10 and got[c * 10 + i].depth == i for c in range(1, 6) for i in range(4))
+
+
+def test_nearest_author_across_stretches(spark, monkeypatch):
+    monkeypatch.setattr(quotes, "STRETCH", 3)
+    rows = [(i, "same line" if i % 7 == 0 else "> same line\nnew %d" % i) for i in range(40)]
+    mail = spark.createDataFrame(rows, "message_id bigint, text string")
+    got = {r.message_id: r.parent_id for r in quotes.conversations(mail).collect()}
+    assert got == {i: None if i % 7 == 0 else i - i % 7 for i in range(40)}
