@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from millrace.llm import (decontaminate, jaccard_join, licenses, packing, permutation_index, quality, quotes, secret_scan,
                           toxicity, url_rules)
+from millrace.operators.keys import number_rows
+from millrace.session import staged
 
 
 def table(spark, sf: str, name: str) -> DataFrame:
@@ -20,18 +22,48 @@ def op1_license_templates(spark, sf):
 
 def mails(turns: DataFrame) -> DataFrame:
     """Conversation turns written as mails: each quotes the turn before it and, one level deeper, the one
-    before that. Only their text tells which mail answers which."""
-    ids = (F.col("conv_id") * 100_000 + F.col("turn")).alias("message_id")
-    text = F.coalesce("text", F.lit(""))
+    before that. Only their text tells which mail answers which.
+
+    ``message_id`` is (conv_id, turn, row), another one for every row; null where conv_id or turn is. Of rows that
+    repeat a turn all are mails, and the first by text is the one quoted.
+    """
+    rows = staged(number_rows(turns.select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text")),
+                              ["conv_id", "turn", "text"], "row"), "turns")
+    first = rows.groupBy("conv_id", "turn").agg(F.min(F.struct("row", "text")).alias("first"))
+    ids = F.when(F.col("conv_id").isNotNull() & F.col("turn").isNotNull(), F.struct("conv_id", "turn", "row"))
     marked = lambda marks, column: F.concat(F.lit(marks), F.replace(column, F.lit("\n"), F.lit("\n" + marks)), F.lit("\n"))
-    before = lambda n: turns.select("conv_id", (F.col("turn") + n).alias("turn"), text.alias(f"back{n}"))
-    return (turns.join(before(1), ["conv_id", "turn"], "left").join(before(2), ["conv_id", "turn"], "left")
-            .select(ids, F.concat(F.coalesce(marked(">> ", F.col("back2")), F.lit("")),
-                                  F.coalesce(marked("> ", F.col("back1")), F.lit("")), text).alias("text")))
+    before = lambda n: first.select("conv_id", (F.col("turn") + n).alias("turn"), F.col("first.text").alias(f"back{n}"))
+    return (rows.join(before(1), ["conv_id", "turn"], "left").join(before(2), ["conv_id", "turn"], "left")
+            .select(ids.alias("message_id"), F.concat(F.coalesce(marked(">> ", F.col("back2")), F.lit("")),
+                                                      F.coalesce(marked("> ", F.col("back1")), F.lit("")), F.col("text")).alias("text")))
+
+
+TURNS = 100_000
+
+
+def mail_numbers(mails: DataFrame) -> DataFrame:
+    """``message_id, number``, no number twice: conv_id * TURNS + turn where both fit, for the first row of
+    a turn; below zero for other rows, which this number would mix up."""
+    ids = mails.filter(F.col("message_id").isNotNull()).select("message_id", "message_id.*")
+    first = ids.groupBy("conv_id", "turn").agg(F.min("row").alias("first"))
+    fits = (F.col("conv_id").between(0, (1 << 63) // TURNS - 1) & F.col("turn").between(0, TURNS - 1)
+            & (F.col("row") == F.col("first")))
+    return ids.join(first, ["conv_id", "turn"]).select(
+        "message_id", F.when(fits, F.col("conv_id") * TURNS + F.col("turn")).otherwise(-F.col("row")).alias("number"))
 
 
 def op2_quotation_linking(spark, sf):
-    return quotes.conversations(mails(table(spark, sf, "conversations")))
+    return linked_turns(table(spark, sf, "conversations"))
+
+
+def linked_turns(turns: DataFrame) -> DataFrame:
+    """One row for every turn, ids as ``mail_numbers`` gives them."""
+    written = staged(mails(turns), "mails")
+    out, numbers = quotes.conversations(written), staged(mail_numbers(written), "mail-numbers")
+    for name in ("message_id", "parent_id", "root_id"):
+        named = numbers.select(F.col("message_id").alias(name), F.col("number").alias(f"{name}_"))
+        out = out.join(named, name, "left").drop(name).withColumnRenamed(f"{name}_", name)
+    return out.select("message_id", "parent_id", "root_id", "depth", "position", "body")
 
 
 OP2_SQL = r"""

@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from millrace.llm import decontaminate, jaccard_join, quotes
+from millrace.llm import decontaminate, jaccard_join, queries, quotes
 from millrace.llm.components import components
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -208,3 +208,20 @@ def test_nearest_author_across_stretches(spark, monkeypatch):
     mail = spark.createDataFrame(rows, "message_id bigint, text string")
     got = {r.message_id: r.parent_id for r in quotes.conversations(mail).collect()}
     assert got == {i: None if i % 7 == 0 else i - i % 7 for i in range(40)}
+
+
+def test_long_conversations_and_repeated_turns(spark):
+    """Turns from 100000 on do not run into the next conversation, and repeated turns are all kept."""
+    rows = [(1, 99_999, "a1"), (1, 100_000, "a2"), (1, 100_001, "a3"), (2, 0, "b1"), (2, 1, "b2"), (3, 0, "c1"),
+            (3, 1, "c3"), (3, 1, "c2"), (3, 1, "c2"), (3, 2, "c4"), (None, 1, "d"), (1 << 60, 0, "e1"), (1 << 60, 1, None)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, text string").repartition(3)
+    got = queries.linked_turns(turns).collect()
+    assert sorted(r.body for r in got) == sorted(t or "" for _, _, t in rows)
+    ids = [r.message_id for r in got if r.message_id is not None]
+    assert len(set(ids)) == len(ids) == len(rows) - 1
+    body = {r.message_id: r.body for r in got}
+    links = sorted((r.body, body[r.parent_id] if r.parent_id is not None else "") for r in got)
+    assert links == sorted([("a1", ""), ("a2", "a1"), ("a3", "a2"), ("b1", ""), ("b2", "b1"), ("c1", ""), ("c3", "c1"),
+                            ("c2", "c1"), ("c2", "c1"), ("c4", "c2"), ("d", ""), ("e1", ""), ("", "e1")])
+    assert {r.body: r.message_id for r in got if r.body in ("a1", "b2", "c1", "c4")} == {
+        "a1": 199_999, "b2": 200_001, "c1": 300_000, "c4": 300_002}
