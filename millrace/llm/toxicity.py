@@ -111,11 +111,13 @@ def learn(found: np.ndarray, bounds: np.ndarray, label: np.ndarray, kept: int =
 def fit(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text",
         sample: int = 16_384, **settings) -> Machine:
     """Learn from at most ``sample`` labelled documents, those with the smallest hash of their key: the
-    bound of what the driver holds. Labels other than 0 and 1, null keys and null texts teach nothing."""
+    bound of what the driver holds: of documents that share a key one teaches, the one with the smallest hash of
+    its text. Labels other than 0 and 1, null keys and null texts teach nothing."""
     known = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(
-        key, F.col(label).cast("int").alias("label"))
+        key, F.col(label).cast("int").alias("label")).distinct()
     drawn = known.orderBy(F.xxhash64(key), key, "label").limit(sample)
     texts = docs.filter(F.col(text).isNotNull()).select(key, F.col(text).alias("text")).join(F.broadcast(drawn), key)
+    texts = texts.groupBy(key, "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def work(column: pa.Array) -> list:
         found, bounds = terms(column)

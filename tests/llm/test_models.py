@@ -68,6 +68,16 @@ def test_classifiers_with_few_labels(spark, odd_docs, no_docs, rows):
     assert quality.accepted(odd_docs, model, 0.0).count() == odd_docs.count()
 
 
+def test_repeated_keys_teach_once(spark, monkeypatch):
+    docs = [(1, f"text number {i}") for i in range(50)] + [(2, "another"), (3, "third")]
+    labels = [(1, 1), (1, 1), (2, 0), (2, 0), (3, 1)]
+    held = []
+    monkeypatch.setattr(toxicity, "learn", lambda found, bounds, label, **_: held.append((len(bounds) - 1, list(label))))
+    toxicity.fit(spark.createDataFrame(docs, "doc_id bigint, text string"),
+                 spark.createDataFrame(labels, "doc_id bigint, toxic int"), "toxic")
+    assert held == [(3, [1, 0, 1])]
+
+
 def plain_nearest(ids, vectors, asked, k):
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     out = {}
