@@ -369,16 +369,9 @@ def _cross_pairs(mixed: DataFrame, sets: DataFrame, sketches: DataFrame, percent
             .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct())
 
 
-def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
-                      percent: int = 80) -> DataFrame:
-    """One row per row of ``docs``: ``key, n_shingles, component_id``.
-
-    A text's set holds its distinct runs of ``words`` words between white space, A-Z in lower case; with
-    fewer words its whole sequence. Texts link when their sets' intersection is at least ``percent`` of
-    their union. ``component_id`` is the smallest key reachable by links. Null, empty and blank texts
-    have no shingles and their own key as component; a null key counts as no key (a component of such
-    rows alone is null). Repeated rows link like other copies.
-    """
+def _grouped(docs: DataFrame, key: str, text: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(texts, member): ``id, copy, node, n`` of every row, and ``node, comp, first_id, best`` of every set, ``best``
+    being the set's smallest (no key, id, copy)."""
     rows = docs.select(F.col(key).cast("bigint").alias("id"), F.xxhash64(F.col(text)).alias("copy"),
                        F.col(text).alias("text"))
     longest = docs.agg(F.max(F.octet_length(F.col(text)))).first()[0] or 1
@@ -399,6 +392,7 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
             break  # every set can prove what it must; else the elements are dealt anew
     sets = texts.filter("n > 0").groupBy("node").agg(
         F.min(F.struct("id", "copy")).alias("rep"), F.min("id").alias("first_id"),
+        F.min(F.struct(F.col("id").isNull().alias("no_key"), "id", "copy")).alias("best"),
         *[F.first(c).alias(c) for c in ("n", "own_weight", "own_most", "low_weight", "low_most", "band")])
     total = texts.agg(F.sum("n")).first()[0] or 0
     shares = max(8, ceil(total * 0.8 / ENTRIES))
@@ -427,8 +421,21 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
         links = found if links is None else links.union(found)
         groups = components(links)
     groups = groups.join(sets.select("node"), "node", "left_semi")
-    member = (sets.select("node", "first_id").join(groups, "node", "left")
-              .withColumn("comp", F.coalesce("comp", "node")))
+    return texts, (sets.select("node", "first_id", "best").join(groups, "node", "left")
+                   .withColumn("comp", F.coalesce("comp", "node")))
+
+
+def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
+                      percent: int = 80) -> DataFrame:
+    """One row per row of ``docs``: ``key, n_shingles, component_id``.
+
+    A text's set holds its distinct runs of ``words`` words between white space, A-Z in lower case; with
+    fewer words its whole sequence. Texts link when their sets' intersection is at least ``percent`` of
+    their union. ``component_id`` is the smallest key reachable by links. Null, empty and blank texts
+    have no shingles and their own key as component; a null key counts as no key (a component of such
+    rows alone is null). Repeated rows link like other copies.
+    """
+    texts, member = _grouped(docs, key, text, words, percent)
     least = member.groupBy("comp").agg(F.min("first_id").alias("component_id"))
     named = member.join(least, "comp").select("node", "component_id")
     out = texts.select("id", "node", "n").join(named, "node", "left")
@@ -438,9 +445,15 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
                 percent: int = 80) -> DataFrame:
-    """``docs`` with one document of every component, the one with the smallest key; all columns
-    kept. Rows without a key stay; of repeated rows one stays."""
-    kept = staged(similar_documents(docs, key, text, words, percent)
-                  .filter(F.col(key) == F.col("component_id")).select(F.col(key).alias("_k")).distinct(), "kept")
-    stays = docs.filter(F.col(key).isNotNull()).join(_small(kept), docs[key] == kept["_k"], "left_semi")
-    return stays.dropDuplicates([key]).union(docs.filter(F.col(key).isNull()))
+    """``docs`` with one document of every component, the one with the smallest key, then the smallest
+    hash of its text; all columns kept. Rows without a key take part, after all others. Texts without words
+    stay; of rows that repeat key and text one stays."""
+    texts, member = _grouped(docs, key, text, words, percent)
+    best = member.groupBy("comp").agg(F.min("best").alias("best"))
+    kept = staged(best.select(F.col("best.id").alias("_i"), F.col("best.copy").alias("_c"))
+                  .union(texts.filter("n = 0").select("id", "copy")).distinct(), "kept")
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                         F.col(key).cast("bigint").alias("id"), F.xxhash64(F.col(text)).alias("copy"))
+    kept = _small(kept)
+    stays = marked.join(kept, F.col("id").eqNullSafe(F.col("_i")) & (F.col("copy") == F.col("_c")), "left_semi")
+    return stays.dropDuplicates(["id", "copy"]).select("row.*")

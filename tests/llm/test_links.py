@@ -225,3 +225,13 @@ def test_long_conversations_and_repeated_turns(spark):
                             ("c2", "c1"), ("c2", "c1"), ("c4", "c2"), ("d", ""), ("e1", ""), ("", "e1")])
     assert {r.body: r.message_id for r in got if r.body in ("a1", "b2", "c1", "c4")} == {
         "a1": 199_999, "b2": 200_001, "c1": 300_000, "c4": 300_002}
+
+
+def test_one_of_each_with_clashing_and_missing_keys(spark):
+    words = lambda x, n=30: " ".join(f"{x}{i}" for i in range(n))
+    rows = [(1, words("a")), (1, words("b")), (2, words("b") + " more"), (None, words("a")), (None, words("c")),
+            (None, words("c")), (None, words("d")), (4, words("d")), (5, words("e")), (5, words("e")), (6, ""), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = jaccard_join.one_of_each(docs).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([
+        (1, words("a")), (1, words("b")), (None, words("c")), (4, words("d")), (5, words("e")), (6, ""), (6, None)], key=str)
