@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import (decontaminate, jaccard_join, licenses, packing, permutation_index, quality, quotes, secret_scan,
-                          toxicity, url_rules)
+from millrace.llm import (ball_tree, decontaminate, jaccard_join, lexical, licenses, merkle, packing, permutation_index, quality,
+                          quotes, secret_scan, toxicity, url_rules)
 from millrace.operators.keys import number_rows
 from millrace.session import staged
 
@@ -218,8 +218,125 @@ def op10_hilbert_packing(spark, sf):
     return packing.report(packing.pack(table(spark, sf, "documents"), encoder()))
 
 
+def op11_lexical_search(spark, sf):
+    return lexical.rank_documents(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+OP11_SQL = r"""
+with tok as (
+    select row_number() over () as r, doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+    from documents),
+whole as (select count(*) filter (len(w) > 0) as n_docs, sum(len(w))::bigint as n_terms from tok),
+item as (
+    select distinct item_id, unnest(list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')) as t
+    from benchmark where item_id is not null),
+word as (select r, t, count(*) as tf from (select r, unnest(w) as t from tok) group by all),
+weight as (
+    select t, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)::double))::bigint as weight
+    from word, whole where t in (select t from item) group by t, n_docs),
+doc as (select r, doc_id, 100 - 50 + ((50 * len(w) * n_docs) // n_terms) as m from tok, whole),
+scored as (
+    select item_id, r, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m)))::bigint as score
+    from item join weight using (t) join word using (t) join doc using (r) group by all),
+ranked as (
+    select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id nulls last) as integer) as rank,
+           doc_id, score
+    from scored join doc using (r) where score > 0)
+select * from ranked where rank <= 50"""
+
+
+def lowered(text):
+    """A-Z in lower case, all else as it is."""
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def op12_merkle_manifest(spark, sf):
+    return manifest_digest(table(spark, sf, "documents"))
+
+
+def manifest_digest(docs: DataFrame) -> DataFrame:
+    """The manifest of documents by lang; in every third row, by the checksum of its id, the text was changed."""
+    leaf = lambda text: merkle.leaf_digest(*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], text)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    made = merkle.manifest(docs, "doc_id", "lang", leaf(F.col("text")), F.when(tampered, leaf(lowered(F.col("text")))))
+    return made.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+OP12_SQL = r"""
+with recursive doc as (
+    select doc_id, coalesce('v' || lang, '') as g, text,
+           concat(coalesce(octet_length(encode(doc_id::varchar)) || ':' || doc_id, '-'),
+                  coalesce(octet_length(encode(source)) || ':' || source, '-'),
+                  coalesce(octet_length(encode(lang)) || ':' || lang, '-'),
+                  coalesce(octet_length(encode(n_chars::varchar)) || ':' || n_chars, '-')) as head,
+           xor(4294967295, list_reduce(list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint),
+               lambda a, b: list_reduce([i::bigint for i in range(8)], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(a, b)),
+               4294967295::bigint)) % 3 = 0 as tampered
+    from documents),
+leaf as (
+    select *, row_number() over (partition by g order by doc_id nulls first, leaf) - 1 as idx, count(*) over (partition by g) as n
+    from (select doc_id, g, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) as leaf,
+                 case when tampered then sha256(head || coalesce(octet_length(encode(text)) || ':' || translate(text,
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) end as forged from doc)),
+node as (
+    select g, n, 0 as level, idx, leaf as d from leaf
+    union all
+    select g, any_value((n + 7) // 8), level + 1, idx // 8, sha256(string_agg(d, '' order by idx))
+    from node where n > 1 group by g, level, idx // 8),
+subroot as (select g, d, row_number() over (order by g) - 1 as idx, count(*) over () as n from node where n = 1),
+top as (
+    select n, 0 as level, idx, d from subroot
+    union all
+    select any_value((n + 7) // 8), level + 1, idx // 8, sha256(string_agg(d, '' order by idx))
+    from top where n > 1 group by level, idx // 8),
+every as (select g, n, level, idx, d from node union all select '~', n, level, idx, d from top),
+side as (
+    select a.g, a.level, a.idx, coalesce(string_agg(b.d, '' order by b.idx) filter (b.idx < a.idx), '') as before,
+           coalesce(string_agg(b.d, '' order by b.idx) filter (b.idx > a.idx), '') as after
+    from every a left join every b on a.g = b.g and a.level = b.level and a.idx // 8 = b.idx // 8 and a.idx <> b.idx
+    where a.n > 1 group by all),
+fold as (
+    select doc_id, leaf, g, idx as place, 0 as level, idx, coalesce(forged, leaf) as d, '' as proof from leaf
+    union all
+    select doc_id, leaf, f.g, place, f.level + 1, f.idx // 8, sha256(before || d || after), proof || before || after
+    from fold f join side s on f.g = s.g and f.level = s.level and f.idx = s.idx),
+up as (
+    select doc_id, leaf, s.d as subroot, f.g, place, 0 as level, s.idx, f.d, proof
+    from (select *, max(level) over (partition by g) as last from fold) f join subroot s using (g) where f.level = last
+    union all
+    select doc_id, leaf, subroot, f.g, place, f.level + 1, f.idx // 8, sha256(before || d || after), proof || before || after
+    from up f join side s on s.g = '~' and f.level = s.level and f.idx = s.idx)
+select doc_id, leaf, subroot, (select d from top where n = 1) as root, sha256(proof) as proof_sha256,
+       d as folded_root, d = (select d from top where n = 1) as verified
+from up where level = (select max(level) from top)"""
+
+
+def op13_ball_tree_search(spark, sf):
+    return ball_tree.largest_products(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP13_SQL = r"""
+with v as (
+    select distinct vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e
+    from embeddings
+    where vec_id is not null and embedding is not null and len(embedding) > 0
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+ranked as (
+    select q.vec_id as query_id, v.vec_id, cast(list_inner_product(q.e, v.e) as bigint) as score,
+           cast(row_number() over (partition by q.vec_id order by cast(list_inner_product(q.e, v.e) as bigint) desc, v.vec_id)
+                as integer) as rank
+    from v q join v on q.vec_id <> v.vec_id where q.vec_id % 50 = 0)
+select query_id, rank, vec_id, score from ranked where rank <= 5"""
+
 QUERIES = {
     "op10_hilbert_packing": (op10_hilbert_packing, None),
+    "op11_lexical_search": (op11_lexical_search, OP11_SQL),
+    "op12_merkle_manifest": (op12_merkle_manifest, OP12_SQL),
+    "op13_ball_tree_search": (op13_ball_tree_search, OP13_SQL),
     "op1_license_templates": (op1_license_templates, None),
     "op2_quotation_linking": (op2_quotation_linking, OP2_SQL),
     "op3_quadratic_discriminant": (op3_quadratic_discriminant, None),
