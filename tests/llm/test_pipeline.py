@@ -25,7 +25,7 @@ def test_registered(spark):
 
     names = set(entry.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
-    assert [n for n in range(1, 11) if not any(x.startswith(f"op{n}_") for x in names)] == []
+    assert [n for n in range(1, 14) if not any(x.startswith(f"op{n}_") for x in names)] == []
 
 
 def test_stages(spark):
