@@ -151,17 +151,18 @@ def flag_members(df: DataFrame, members: DataFrame, column: str, ref_column: str
 
 
 def not_in_target(batch: DataFrame, target: DataFrame, keys: Sequence[str],
-                  max_rows: int = BROADCAST_ROWS) -> DataFrame:
+                  max_rows: int = BROADCAST_ROWS, wanted: DataFrame | None = None) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``target`` yet.
 
     The target is usually far larger than the batch. A small batch is sent to the target scan to
     find the keys already there (at most one row per batch key), so the target is not shuffled.
+    ``wanted`` is a cheaper table with the keys of ``batch`` (or more), where there is one.
     """
     keys = list(keys)
-    wanted = batch.select(*keys).distinct()
+    wanted = (batch if wanted is None else wanted).select(*keys).distinct()
     if not fits_broadcast(wanted, max_rows):
         return batch.join(target.select(*keys), keys, "left_anti")
-    present = target.select(*keys).join(F.broadcast(wanted), keys, "left_semi").distinct()
+    present = staged(target.select(*keys).join(F.broadcast(wanted), keys, "left_semi").distinct(), "present")
     return batch.join(F.broadcast(present), keys, "left_anti")
 
 

@@ -65,14 +65,28 @@ class Lake:
 
     def refresh(self, table: str, df: DataFrame, version: str | None = None,
                 partition_by: Sequence[str] = ()) -> None:
-        """Replace the whole table."""
+        """Replace the whole table. The rows go to a folder of their own first; then one change of the catalog points
+        the table there, so a reader finds the old rows or the new ones. Old folders stay for those who still read them.
+
+        Only a table that gets other columns, or is partitioned, has to be dropped and created."""
         path = f"{self.root}/{table.lower()}/{version or uuid.uuid4().hex}"
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-        self.spark.sql(f"drop table if exists {self.name(table)}")  # external: data stays
+        if self.exists(table):
+            if not partition_by and not self._partitions(table) and self._same_columns(table, df):
+                self.spark.sql(f"alter table {self.name(table)} set location '{path}'")
+                self.spark.catalog.refreshTable(self.name(table))
+                return
+            self.spark.sql(f"drop table {self.name(table)}")  # external: data stays
         self.spark.sql(f"create table {self.name(table)} using parquet location '{path}'")
         if partition_by:
             self.spark.catalog.recoverPartitions(self.name(table))
 
+    def _partitions(self, table: str) -> list[str]:
+        return [c.name for c in self.spark.catalog.listColumns(self.name(table)) if c.isPartition]
+
+    def _same_columns(self, table: str, df: DataFrame) -> bool:
+        return [(f.name, f.dataType) for f in self.read(table).schema.fields] == [(f.name, f.dataType) for f in df.schema.fields]
+
     def append(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         if not self.exists(table):
             self.refresh(table, df, "first", partition_by)
@@ -84,13 +98,15 @@ class Lake:
                       partition_by: Sequence[str] = (), unique: bool = False) -> LoadResult:
         """First load, or append of the keys not held yet; running it again adds nothing.
 
-        ``unique`` says the batch holds every key once (validated rows do)."""
-        fresh = one_per_key(df, keys) if keys and not unique else df
+        The batch is evaluated once and counted on the way. ``unique`` says that it holds every key once
+        and is a written table already (validated rows are)."""
+        seen, added = Observation(), Observation()
+        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        fresh = one_per_key(counted, keys) if keys and not unique else counted
         if keys and self.exists(table):
-            fresh = not_in_target(fresh, self.read(table), keys)
-        added = Observation()
+            fresh = not_in_target(fresh, self.read(table), keys, wanted=df if unique else fresh)
         self.append(table, fresh.observe(added, F.count(F.lit(1)).alias("rows")), partition_by)
-        return LoadResult(table, df.count(), added.get["rows"])
+        return LoadResult(table, seen.get["rows"], added.get["rows"])
 
     def upsert(self, table: str, df: DataFrame, keys: Sequence[str], version: str | None = None) -> None:
         """Insert new keys and overwrite known ones."""

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,20 +89,62 @@ def read_quarantine(spark: SparkSession, root: str, table_name: str) -> DataFram
     return stored.withColumns({c: F.col(c).cast("string") for c in ("process_date", RUN_ID)})
 
 
-def write_waiting(df: DataFrame, root: str, table_name: str, cycle: int) -> None:
-    """Orphans after cycle ``cycle``: the complete waiting room, one folder per cycle.
+class WaitingRoom:
+    """Orphans of one contract under ``folder``, complete after every cycle: ``cycle=../state=..``.
 
-    The next cycle reads this folder and writes the next one, so nothing is removed before the
-    cycle that consumed it has been committed, and a replayed cycle reads the same input.
+    A cycle reads what an earlier one left and writes a folder of its own; one that is tried again, or replayed, adds
+    a further state. Nothing is overwritten or removed, so whoever reads a room goes on undisturbed and a
+    replayed cycle reads the same input. Streams number cycles by batch, batch loads one after the other.
     """
-    df.write.mode("overwrite").parquet(f"{root}/{table_name}/cycle={cycle}")
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def _highest(self, folder: str, step: str, before: int | None = None) -> int:
+        """The highest number of a step in the paths below ``folder``, -1 without any. By path: an empty room has no rows."""
+        try:
+            listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return -1
+        number = F.regexp_extract("path", rf"/{step}=(\d+)/", 1).try_cast("int")
+        found = listed.select(number.alias("c")).filter(F.col("c") < before if before is not None else F.lit(True))
+        highest = found.agg(F.max("c")).first()[0]
+        return -1 if highest is None else int(highest)
+
+    def last(self, before: int | None = None) -> int:
+        """The latest cycle that left a room (below ``before``), -1 without any."""
+        return self._highest(self.folder, "cycle", before)
+
+    def left_by(self, cycle: int) -> DataFrame | None:
+        """Orphans left by a cycle, the retry counter raised and the audit columns removed; None if it left no room."""
+        folder = f"{self.folder}/cycle={cycle}"
+        state = self._highest(folder, "state")
+        if state < 0:
+            return None
+        waiting = self.spark.read.parquet(f"{folder}/state={state}")
+        return (waiting.withColumn(RETRIES, F.col(RETRIES) + 1)
+                .drop(RUN_ID, PROCESSED_AT, STATUS, REASONS))
+
+    def leave(self, df: DataFrame, cycle: int) -> None:
+        folder = f"{self.folder}/cycle={cycle}"
+        df.write.mode("overwrite").parquet(f"{folder}/state={self._highest(folder, 'state') + 1}")
+
+
+def write_waiting(df: DataFrame, root: str, table_name: str, cycle: int) -> None:
+    """Orphans after cycle ``cycle``: the complete waiting room (see :class:`WaitingRoom`)."""
+    WaitingRoom(df.sparkSession, f"{root}/{table_name}").leave(df, cycle)
 
 
 def read_waiting(spark: SparkSession, root: str, table_name: str, cycle: int) -> DataFrame:
     """Orphans left by ``cycle``, with the retry counter raised and the audit columns removed."""
-    waiting = spark.read.parquet(f"{root}/{table_name}/cycle={cycle}")
-    return (waiting.withColumn(RETRIES, F.col(RETRIES) + 1)
-            .drop(RUN_ID, PROCESSED_AT, STATUS, REASONS))
+    return WaitingRoom(spark, f"{root}/{table_name}").left_by(cycle)
+
+
+def as_text_like(waiting: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
+    """Typed waiting rows in the column types of the raw source, so they are validated like it."""
+    return waiting.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in waiting.columns])
 
 
 def with_reasons(df: DataFrame, status: str = VALID) -> DataFrame:

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.contract import FileContract
 from millrace.functions import rules
-from millrace.operators.joins import fits_broadcast, flag_members, spread_salt
+from millrace.operators.joins import fits_broadcast, flag_members, lookup_join
 from millrace.session import staged
 
 STATUS, REASONS, RETRIES = "_record_status", "_error_reasons", "_retry_count"
@@ -72,41 +72,16 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str], order_by: Sequence[Colum
     """Mark repeated keys. ``keep_last`` spares the row that ``order_by`` puts last, ``all`` marks
     every copy. Null keys are copies of each other.
 
-    Most keys occur once: when the repeated keys are few, only their rows are shuffled. A key may
-    hold any share of the rows, so the survivor is picked in two rounds, first per key and salt,
-    then among the salts' winners; no task sees a whole hot key.
+    ``df`` is evaluated once and written with a number for every row. Keys, order and number alone are
+    aggregated, combined on the map side, so a key may hold any share of the rows; only repeated keys come out,
+    with the number of the row to spare. While these are few they are broadcast and no row is shuffled.
     """
-    keys = list(keys)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    repeated = staged(counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys]), "repeated")
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    if policy == "all":
-        marks = repeated.withColumn(flag, F.lit(True))
-        if fits_broadcast(repeated):
-            marks = F.broadcast(marks)
-        return (df.join(marks, same, "left").drop(*marks.columns[:-1])
-                .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
-    if fits_broadcast(repeated):
-        few = F.broadcast(repeated)
-        single = df.join(few, same, "left_anti").withColumn(flag, F.lit(False))
-        return single.unionByName(_flag_losers(df.join(few, same, "left_semi"), keys, order_by, flag))
-    return _flag_losers(df, keys, order_by, flag)
-
-
-def _flag_losers(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column],
-                 flag: str) -> DataFrame:
-    last_first = [c.desc_nulls_last() for c in order_by]
-    salted = df.withColumn("_salt", spread_salt(df, 256))
-    heat = Window.partitionBy(*keys, "_salt").orderBy(*last_first)
-    heats = salted.withColumn("_place", F.row_number().over(heat))
-    # losers of a heat keep their salt, so the final only brings together one row per salt
-    final = Window.partitionBy(*keys, F.when(F.col("_place") == 1, -1).otherwise(F.col("_salt"))
-                               ).orderBy(*last_first)
-    return (heats.withColumn("_final", F.row_number().over(final))
-            .withColumn(flag, (F.col("_place") > 1) | (F.col("_final") > 1))
-            .drop("_salt", "_place", "_final"))
+    rows = staged(df.withColumn("_row", F.monotonically_increasing_id()), "numbered").withColumn("_key", F.struct(*keys))
+    spared = F.lit(None).cast("bigint") if policy == "all" else F.max_by("_row", F.struct(*order_by, "_row"))
+    repeated = staged(rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), spared.alias("_spared"))
+                      .filter("_n > 1").drop("_n").withColumn("_again", F.lit(True)), "repeated")
+    lost = F.coalesce(F.col("_again"), F.lit(False)) & ~F.col("_row").eqNullSafe(F.col("_spared"))
+    return lookup_join(rows, repeated, "_key", fits=fits_broadcast(repeated)).select(*[f"`{c}`" for c in df.columns], lost.alias(flag))
 
 
 # ---- row rules ------------------------------------------------------------------------------

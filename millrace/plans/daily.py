@@ -15,11 +15,14 @@ from millrace.contract import ContractBook, FileContract
 from millrace.functions.masking import hash_columns
 from millrace.operators import quality_report as qr
 from millrace.operators import routing, tracking
+from millrace.operators.joins import not_in_target
+from millrace.operators.ledger import FileLedger
 from millrace.operators.loading import Lake
-from millrace.operators.validation import check_columns, check_files, mark_orphans, validate
+from millrace.operators.validation import check_files, mark_orphans, validate
 from millrace.plans import dimensions as d
 from millrace.session import staged
-from millrace.sources.files import fingerprint_files, known_files, read_source
+from millrace.sources.arrivals import SOURCE, archived
+from millrace.sources.files import delivered_name, fingerprint_files, known_files
 
 TRACKING = "file_tracking"
 DIMENSIONS = ("customer", "driver", "restaurant", "agent", "reason", "priority", "channel")
@@ -41,40 +44,61 @@ class FileOutcome:
         return self.stage in ("VALIDATED", "SKIPPED") or self.stage == "ABSENT" and not self.required
 
 
-def _tracking(lake: Lake) -> DataFrame:
-    return lake.read(TRACKING) if lake.exists(TRACKING) else tracking.empty_tracking(lake.spark)
+def file_ledger(lake: Lake) -> FileLedger:
+    return FileLedger(lake.spark, f"{lake.root}/file_ledger")
+
+
+def batch_room(lake: Lake, store: str, contract: FileContract) -> routing.WaitingRoom:
+    """Orphans of batch files; one room for each contract, as for streams."""
+    return routing.WaitingRoom(lake.spark, f"{store}/orphans_batch/table_name={contract.stem}")
+
+
+def _bronze(store: str, contract: FileContract, run_id: str) -> str:
+    return f"{store}/bronze/{contract.stem}/run={run_id}"
+
+
+def _last_good(lake: Lake, paths: Collection[str], contract: FileContract, store: str) -> list[DataFrame]:
+    """Raw rows of files as they were last loaded, from the raw copies: a file that fails now does not take
+    its earlier rows out of Silver."""
+    wanted = lake.spark.createDataFrame([(p,) for p in paths], "file_path string")
+    last = (file_ledger(lake).state().filter(F.col("status") == tracking.SUCCESS).join(wanted, "file_path", "left_semi")
+            .groupBy("file_path").agg(F.max_by("pipeline_run_id", F.struct("processed_at", "pipeline_run_id")).alias("run")))
+    by_run: dict[str, list[str]] = {}
+    for path, run in last.collect():
+        by_run.setdefault(run, []).append(path)
+    return [lake.spark.read.parquet(_bronze(store, contract, run)).filter(F.col(SOURCE).isin(files)) for run, files in by_run.items()]
 
 
 def load_batch_files(lake: Lake, paths: Sequence[str], contract: FileContract, store: str, run_id: str,
-                     process_date: str, max_retries: int = 3) -> list[FileOutcome]:
-    """All files of one contract as one table: read each, check its columns, validate the rows of all
-    together, route, replace Silver. A file that cannot be read or lacks columns fails alone."""
-    outcomes, sources = [], []
-    for path in paths:
-        try:
-            source = read_source(lake.spark, path, contract)
-            if check_columns(source, contract).ok:
-                sources.append(source.withColumn("_source_file", F.lit(path)))
-                outcomes.append(FileOutcome(contract.file_name, "VALIDATED", path=path))
-            else:
-                outcomes.append(FileOutcome(contract.file_name, "FAILED_SCHEMA", "column_mismatch", path))
-        except Exception as exc:  # one bad file must not stop the others; the caller decides
-            outcomes.append(FileOutcome(contract.file_name, "FAILED", str(exc), path))
-    if not sources:
+                     process_date: str, max_retries: int = 3, spent: Collection[str] = ()) -> list[FileOutcome]:
+    """All files of one contract as one table: judge each by its columns, validate the rows of all
+    together, route, replace Silver. A file that cannot be read or lacks columns fails alone, and the rows it had
+    when it was last loaded stay, as do those of ``spent`` files. Rows waiting for a parent are tried again,
+    unless the files bring a row with their key."""
+    spark = lake.spark
+    try:
+        rows, problems = archived(spark, paths, contract, _bronze(store, contract, run_id))
+        bad = {r.file_path: r for r in problems.collect()}
+    except Exception as exc:  # one contract must not stop the others; the caller decides
+        return [FileOutcome(contract.file_name, "FAILED", str(exc), p) for p in paths]
+    outcomes = [FileOutcome(contract.file_name, bad[p].current_stage, bad[p].error, p) if p in bad
+                else FileOutcome(contract.file_name, "VALIDATED", path=p) for p in paths]
+    if rows is None:
         return outcomes
     try:
-        source = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sources)
-        # the raw copy; later steps scan it instead of parsing the text again
-        bronze = f"{store}/bronze/{contract.stem}/run={run_id}"
-        source.withColumn("_ingested_at", F.current_timestamp()).write.mode("overwrite").parquet(bronze)
-        raw = lake.spark.read.schema(source.drop("_source_file").schema).parquet(bronze)
-        parents = {fk.column: (_parent(lake, fk), fk.ref_column) for fk in contract.foreign_keys}
-        marked = mark_orphans(validate(raw, contract), parents)
-        routed = routing.route(marked, contract.stem, run_id, max_retries,
-                               f"{store}/staged/{contract.stem}/{run_id}")
-        routing.write_quarantine(routed.quarantine, f"{store}/quarantine", contract.stem, process_date, run_id)
-        routing.write_quarantine(routed.waiting, f"{store}/orphans_batch", contract.stem, process_date, run_id)
+        parts = [rows, *_last_good(lake, {*bad, *spent}, contract, store)]
+        raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).drop("_ingested_at", SOURCE)
+        checked = validate(raw, contract)
+        room = batch_room(lake, store, contract)
+        cycle = room.last()
+        waiting = room.left_by(cycle) if cycle >= 0 else None
+        if waiting is not None and contract.primary_keys:
+            checked = staged(checked, "checked")
+            again = validate(_as_text(waiting, contract), contract, duplicates=None)
+            checked = checked.unionByName(not_in_target(again, checked, contract.primary_keys), allowMissingColumns=True)
+        routed = _routed(lake, checked, contract, store, run_id, process_date, max_retries)
         lake.refresh(contract.silver_table, hash_columns(routed.valid, contract.pii_columns))
+        room.leave(routed.waiting, cycle + 1)
     except Exception as exc:
         for outcome in outcomes:
             if outcome.stage == "VALIDATED":
@@ -82,6 +106,37 @@ def load_batch_files(lake: Lake, paths: Sequence[str], contract: FileContract, s
     return outcomes
 
 
+def _as_text(waiting: DataFrame, contract: FileContract) -> DataFrame:
+    return routing.as_text_like(waiting, {f.name: "string" for f in contract.read_schema().fields})
+
+
+def _routed(lake: Lake, checked: DataFrame, contract: FileContract, store: str, run_id: str, process_date: str,
+            max_retries: int) -> routing.Routed:
+    parents = {fk.column: (_parent(lake, fk), fk.ref_column) for fk in contract.foreign_keys}
+    routed = routing.route(mark_orphans(checked, parents), contract.stem, run_id, max_retries,
+                           f"{store}/staged/{contract.stem}/{run_id}")
+    routing.write_quarantine(routed.quarantine, f"{store}/quarantine", contract.stem, process_date, run_id)
+    return routed
+
+
+def retry_batch_orphans(lake: Lake, contract: FileContract, store: str, run_id: str, process_date: str,
+                        max_retries: int = 3) -> int:
+    """Try the waiting rows of a contract without new files: those whose parents are there now are added to Silver, the
+    others wait on or expire. Returns how many were added. Silver has them before the room is replaced, and adds only
+    absent keys: a retry that breaks off is repeated without harm."""
+    room = batch_room(lake, store, contract)
+    cycle = room.last()
+    waiting = room.left_by(cycle) if cycle >= 0 else None
+    if waiting is None or waiting.isEmpty():
+        return 0
+    checked = validate(_as_text(waiting, contract), contract, duplicates=None)
+    routed = _routed(lake, checked, contract, store, f"{run_id}-retry", process_date, max_retries)
+    added = lake.insert_absent(contract.silver_table, hash_columns(routed.valid, contract.pii_columns),
+                               contract.primary_keys, unique=True)
+    room.leave(routed.waiting, cycle + 1)
+    return added.inserted
+
+
 def _parent(lake: Lake, fk) -> DataFrame:
     """The Silver table a key refers to. Without that table no key of it is known, so there is an empty one:
     every value that is not null waits as an orphan."""
@@ -109,30 +164,32 @@ def load_batch_folder(lake: Lake, folder: str, contracts: Sequence[FileContract]
     """All known files of a folder, one logical table for each contract.
 
     A contract is loaded when any of its files changed since it was last loaded; then all its files are,
-    as Silver is replaced. Parents are loaded before the files that refer to them. The tracking table
-    holds one row per file and run. A file that used up its attempts is left out and reported
+    as Silver is replaced. Else its waiting rows are tried again. Parents are loaded before the files that refer to
+    them. The ledger gets an event for each file taken and reported; the tracking view shows one row per file and run. A file that used up its attempts is left out and reported
     as ``SPENT``; contracts named in ``required`` (stems) fail when no file came.
     """
     book = ContractBook(list(contracts))
+    ledger = file_ledger(lake)
     files = staged(known_files(fingerprint_files(lake.spark, folder), book), "arrived")
-    before = _tracking(lake)
-    due = staged(tracking.acquirable(files, before, max_attempts).select("file_path", "last_hash"), "due")
-    spent = tracking.spent(files, before, max_attempts)
-    lake.refresh(TRACKING, tracking.acquire(before, due, run_id))
+    due = staged(ledger.due(files, max_attempts).select("file_path", "last_hash"), "due")
+    spent_paths = {p for paths in _by_stem(ledger.spent(files, max_attempts)).values() for p in paths}
+    ledger.take(due, run_id)
+    ledger.publish(lake.name(TRACKING))
     arrived = _by_stem(files)
     due_paths = {p for paths in _by_stem(due).values() for p in paths}
-    spent_paths = {p for paths in _by_stem(spent).values() for p in paths}
 
     def load(contract: FileContract) -> tuple[list[FileOutcome], int]:
         paths = arrived.get(contract.stem, [])
         worn = [FileOutcome(contract.file_name, "SPENT", "attempts used up", p) for p in paths if p in spent_paths]
+        if due_paths & set(paths):
+            done = load_batch_files(lake, [p for p in paths if p not in spent_paths], contract, store, run_id, process_date,
+                                    spent=[p for p in paths if p in spent_paths])
+            loaded = any(o.stage == "VALIDATED" for o in done)
+            return done + worn, lake.read(contract.silver_table).count() if loaded else 0
+        retry_batch_orphans(lake, contract, store, run_id, process_date)
         if not paths:
             return [FileOutcome(contract.file_name, "ABSENT", required=contract.stem in required)], 0
-        if not due_paths & set(paths):
-            return worn or [FileOutcome(contract.file_name, "SKIPPED")], 0
-        done = load_batch_files(lake, [p for p in paths if p not in spent_paths], contract, store, run_id, process_date)
-        loaded = any(o.stage == "VALIDATED" for o in done)
-        return done + worn, lake.read(contract.silver_table).count() if loaded else 0
+        return worn or [FileOutcome(contract.file_name, "SKIPPED")], 0
 
     outcomes, told = [], []
     for level in by_dependency(contracts):
@@ -140,20 +197,20 @@ def load_batch_folder(lake: Lake, folder: str, contracts: Sequence[FileContract]
         with ThreadPoolExecutor(max_workers=4) as pool:
             for found, rows in pool.map(load, level):
                 outcomes += found
-                told += [(o.path, tracking.SUCCESS if o.ok else tracking.FAILED, o.stage, rows)
+                told += [(o.path, tracking.SUCCESS if o.ok else tracking.FAILED, o.stage, rows, o.error)
                          for o in found if o.path in due_paths]
     if told:
-        news = lake.spark.createDataFrame(
-            told, "file_path string, status string, current_stage string, record_count int")
-        lake.refresh(TRACKING, tracking.mark(_tracking(lake), news, run_id))
+        ledger.report(lake.spark.createDataFrame(
+            told, "file_path string, status string, current_stage string, record_count int, error string"), run_id)
     return outcomes
 
 
 def _by_stem(files: DataFrame) -> dict[str, list[str]]:
     """Paths by contract: one short row per file."""
     found: dict[str, list[str]] = {}
-    for (path,) in files.select("file_path").distinct().orderBy("file_path").collect():
-        found.setdefault(path.rsplit("/", 1)[-1].rsplit(".", 1)[0], []).append(path)
+    stem = F.regexp_extract(delivered_name(F.col("file_path")), r"^(.*)\.", 1)
+    for path, name in files.select("file_path", stem.alias("stem")).distinct().orderBy("file_path").collect():
+        found.setdefault(name, []).append(path)
     return found
 
 

@@ -8,16 +8,15 @@ folders are not even listed.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.contract import ContractBook, FileContract
 from millrace.functions import rules
+from millrace.sources.headers import read_by_header
 
 SUPPORTED = ("csv", "json")
 FOLDERS = r"(\d{4}-\d{2}-\d{2})/(\d{1,2})/[^/]+\z"
@@ -46,41 +45,26 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
              keep_file: bool = False) -> DataFrame:
     """CSV with a header, every column text. A given schema is checked against the header.
 
-    Without a schema every file keeps the meaning of its own header: files are grouped by header, each
-    group is one scan, and columns are matched by name; a column that a file lacks is null there.
-    ``keep_file`` keeps ``_metadata`` through that, then as a column."""
+    Without a schema every file keeps the meaning of its own header: columns are matched by name, a column that
+    a file lacks is null there, and the number of jobs does not grow with the files (see
+    :mod:`millrace.sources.headers`). ``keep_file`` keeps ``_metadata`` as a column."""
     reader = spark.read.option("header", True).option("escape", '"')
     if schema is not None:
         return reader.schema(schema).option("enforceSchema", False).csv(path)
-    names = paths_of(spark, path)
-    if len(names) < 2:
-        return reader.csv(path)
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(max_workers=8) as pool:  # only the first line of a file is read for its header
-        for name, header in zip(names, pool.map(lambda n: tuple(reader.csv(n).columns), names)):
-            by_header.setdefault(header, []).append(name)
-    # An empty file has no header and no rows.
-    scans = [reader.csv(group) for header, group in by_header.items() if header] or [reader.csv(names)]
-    if len(scans) > 1 and keep_file:
-        scans = [scan.select("*", "_metadata") for scan in scans]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
-
-
-def paths_of(spark: SparkSession, path: str | list[str]) -> list[str]:
-    """The files a path, pattern or list names, by name only; one short string each."""
-    found = spark.read.format("binaryFile").load(path).select("path")
-    return sorted(r.path for r in found.collect())
+    rows = read_by_header(spark, path)
+    return rows if keep_file else rows.drop("_metadata")
 
 
 def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
-              array: bool = True) -> DataFrame:
+              array: bool = True, keep_file: bool = False) -> DataFrame:
     """JSON with every value as text: one array (or object) per file, or one object per line.
 
     Without a schema the column names are discovered by a first pass over the files.
     """
     reader = (spark.read.option("multiLine", array).option("allowNonNumericNumbers", True)
               .option("primitivesAsString", True))
-    return (reader.schema(schema) if schema is not None else reader).json(path)
+    rows = (reader.schema(schema) if schema is not None else reader).json(path)
+    return rows.select("*", "_metadata") if keep_file else rows
 
 
 def read_source(spark: SparkSession, path: str | list[str], contract: FileContract, *,
@@ -92,7 +76,8 @@ def read_source(spark: SparkSession, path: str | list[str], contract: FileContra
     if kind is None or not first:
         return empty_source(spark, contract)
     try:
-        df = read_csv(spark, path, schema, keep_file) if kind == "csv" else read_json(spark, path, schema, array)
+        df = (read_csv(spark, path, schema, keep_file) if kind == "csv"
+              else read_json(spark, path, schema, array, keep_file))
     except AnalysisException as exc:
         if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return empty_source(spark, contract)
@@ -118,21 +103,12 @@ def read_folder(spark: SparkSession, root: str, contracts: Iterable[FileContract
     found = {}
     for contract in contracts:
         for ext in SUPPORTED:
-            df = read_source(spark, f"{root}/{contract.stem}.{ext}", contract, tokens=tokens)
-            if "_metadata" in _hidden(df):
-                found[contract.stem] = df
+            df = read_source(spark, f"{root}/{contract.stem}.{ext}", contract, tokens=tokens, keep_file=True)
+            if "_metadata" in df.columns:  # not an empty stand-in
+                found[contract.stem] = df.drop("_metadata")
     return found
 
 
-def _hidden(df: DataFrame) -> list[str]:
-    """``_metadata`` when the DataFrame comes from files, nothing for an empty stand-in."""
-    try:
-        df.select("_metadata")
-        return ["_metadata"]
-    except AnalysisException:
-        return []
-
-
 def read_stream_hour(spark: SparkSession, root: str, book: ContractBook, date: str,
                      hour: int | None = None, tokens: Sequence[str] = rules.NULL_TOKENS
                      ) -> dict[str, DataFrame]:
@@ -142,7 +118,7 @@ def read_stream_hour(spark: SparkSession, root: str, book: ContractBook, date: s
     for contract in book.section("stream"):
         df = read_source(spark, f"{root}/{date}/{folder}/{contract.file_name}", contract, tokens=tokens,
                          keep_file=True)
-        if _hidden(df):
+        if "_metadata" in df.columns:
             found[contract.stem] = with_source(df)
     return found
 
@@ -214,9 +190,16 @@ def fingerprint_files(spark: SparkSession, path: str, glob: str | None = None) -
         F.sha2(F.concat_ws("|", "length", F.unix_micros("modificationTime")), 256).alias("last_hash"), "length")
 
 
+def delivered_name(path: Column) -> Column:
+    """Name of the delivered file a path belongs to: its last part, or the folder of a part that Spark wrote
+    (``orders.csv/part-00000-..``)."""
+    steps = F.split(path, "/")
+    last = F.element_at(steps, -1)
+    return F.when(last.startswith("part-") & (F.size(steps) > 1), F.element_at(steps, -2)).otherwise(last)
+
+
 def known_files(files: DataFrame, book: ContractBook, path: str = "file_path") -> DataFrame:
     """Files the contracts know, empty ones left out; a file may come as CSV or JSON."""
-    name = F.element_at(F.split(path, "/"), -1)
     stems = [c.stem for c in book.contracts]
-    return files.filter(F.regexp_extract(name, r"^(.*)\.(csv|json)\z", 1).isin(*stems)
+    return files.filter(F.regexp_extract(delivered_name(F.col(path)), r"^(.*)\.(csv|json)\z", 1).isin(*stems)
                         & (F.col("length") > 0))

@@ -9,10 +9,10 @@ run again after a failure therefore changes nothing.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from fnmatch import fnmatch, translate
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,32 +20,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.contract import FileContract
 from millrace.functions.masking import hash_columns
-from millrace.operators import routing
+from millrace.operators import routing, tracking
 from millrace.operators.joins import only_for
+from millrace.operators.ledger import FileLedger
 from millrace.operators.loading import Lake
 from millrace.operators.validation import mark_orphans, validate
+from millrace.sources.arrivals import SOURCE, archived, arriving_files
 from millrace.sources.files import archive_raw
 from millrace.plans import fact as facts
 from millrace.plans import revenue, sla
 from millrace.session import staged
 
 
-def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as exc:
-        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
-def as_text_like(waiting: DataFrame, raw: DataFrame) -> DataFrame:
-    """Typed waiting rows in the column types of the raw source, so both are validated together."""
-    kinds = dict(raw.dtypes)
-    return waiting.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c)
-                            for c in waiting.columns])
-
-
 @dataclass
 class StreamLoader:
     """Loads one stream file into its Silver table, batch by batch.
@@ -73,22 +59,17 @@ class StreamLoader:
         nobody = lambda k: self.lake.spark.createDataFrame([], f"`{k}` string")
         return {c: (self.lake.read(t) if self.lake.exists(t) else nobody(k), k) for c, (t, k) in self.parents.items()}
 
+    @property
+    def room(self) -> routing.WaitingRoom:
+        return routing.WaitingRoom(self.lake.spark, f"{self.store}/orphans/{self.contract.stem}")
+
     def last_cycle(self) -> int:
         """The latest batch that left a waiting room, -1 before the first."""
-        room = f"{self.store}/orphans/{self.contract.stem}"
-        if read_if_present(self.lake.spark, room) is None:
-            return -1
-        # by name: an empty room has a folder and no rows
-        paths = self.lake.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(room)
-        found = paths.select(F.max(F.regexp_extract("path", r"cycle=(\d+)", 1).cast("int"))).first()[0]
-        return -1 if found is None else int(found)
+        return self.room.last()
 
     def waiting_at(self, batch_id: int) -> DataFrame | None:
         """Orphans left by an earlier batch, ready to be tried again."""
-        path = f"{self.store}/orphans/{self.contract.stem}/cycle={batch_id}"
-        if batch_id < 0 or read_if_present(self.lake.spark, path) is None:
-            return None
-        return routing.read_waiting(self.lake.spark, f"{self.store}/orphans", self.contract.stem, batch_id)
+        return self.room.left_by(batch_id) if batch_id >= 0 else None
 
     def bronze(self, batch: DataFrame, batch_id: int) -> DataFrame:
         """Archive the raw batch and read it back.
@@ -110,7 +91,7 @@ class StreamLoader:
         raw = self.bronze(batch, batch_id).drop("_ingested_at")
         waiting = self.waiting_at(batch_id - 1)
         if waiting is not None:
-            raw = raw.unionByName(as_text_like(waiting, raw), allowMissingColumns=True)
+            raw = raw.unionByName(routing.as_text_like(waiting, dict(raw.dtypes)), allowMissingColumns=True)
         self._load(raw, f"batch-{batch_id}", batch_id)
 
     def retry(self) -> bool:
@@ -125,7 +106,7 @@ class StreamLoader:
             return False
         kept = staged(waiting, "waiting")
         text = {f.name: f.dataType.simpleString() for f in self.contract.read_schema(self.extra_types).fields}
-        raw = kept.select(*[F.col(c).cast(text.get(c, t)).alias(c) for c, t in kept.dtypes])
+        raw = routing.as_text_like(kept, text)
         self._load(raw, f"retry-{last}-{uuid.uuid4().hex[:8]}", last)
         return True
 
@@ -149,6 +130,106 @@ class StreamLoader:
         return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
+@dataclass
+class FileLoader(StreamLoader):
+    """Loads a stream of files (see :meth:`arriving`) file by file: a bad one fails alone.
+
+    Every file is entered in a ledger before and after. One that was loaded with the same content is not loaded
+    again, whoever delivers it. One that failed comes again with the next batch or tick until its attempts are used up.
+    """
+
+    max_attempts: int = 3
+    pattern: str = ""  # of file paths, by default the contract's name with any ending
+
+    def mine(self, path: str) -> bool:
+        return fnmatch(path, self.paths)
+
+    @property
+    def paths(self) -> str:
+        return f"*/{self.pattern or self.contract.stem + '.*'}"
+
+    @property
+    def ledger(self) -> FileLedger:
+        return FileLedger(self.lake.spark, f"{self.store}/ledger")
+
+    def arriving(self, root: str, layout: str = "*/*", max_files: int = 10_000) -> DataFrame:
+        return arriving_files(self.lake.spark, root, self.paths.rsplit("/", 1)[-1], layout, max_files)
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        """Body of ``foreachBatch`` over :meth:`arriving`."""
+        files = [tuple(r) for r in batch.select("file_path", "last_hash").collect()]
+        self.load_files(files, f"batch-{batch_id}", batch_id)
+
+    def load_files(self, files: Sequence[tuple[str, str]], run_id: str, cycle: int) -> bool:
+        """Load ``files`` (path and hash; a batch's, which the source bounds) and those that failed before, with the waiting
+        rows; True if Silver may have changed. A batch that runs again takes only what it had not finished."""
+        spark, stem, ledger = self.lake.spark, self.contract.stem, self.ledger
+        files = spark.createDataFrame(files, "file_path string, last_hash string")
+        failed = ledger.failed(translate(self.paths), self.max_attempts)
+        wanted = files.unionByName(failed.join(files, "file_path", "left_anti"))
+        due = staged(ledger.due(wanted, self.max_attempts).select("file_path", "last_hash"), "due")
+        paths = [r.file_path for r in due.collect()]
+        if not paths:
+            return self.retry()
+        ledger.take(due, f"{stem}-{run_id}")
+        rows, problems = archived(spark, paths, self.contract, f"{self.store}/bronze/{stem}/batch={cycle}",
+                                  [*self.contract.names, *self.extra_types])
+        changed = False
+        if rows is not None:
+            raw = rows.drop("_ingested_at", SOURCE)
+            waiting = self.waiting_at(self.room.last(before=cycle))
+            if waiting is not None:
+                raw = raw.unionByName(routing.as_text_like(waiting, dict(raw.dtypes)), allowMissingColumns=True)
+            self._load(raw, run_id, cycle)
+            changed = True
+        else:
+            changed = self.retry()
+        counts = rows.groupBy(F.col(SOURCE).alias("file_path")).agg(F.count(F.lit(1)).alias("record_count")) if rows is not None else None
+        told = due.select("file_path").join(F.broadcast(problems), "file_path", "left")
+        told = told.join(counts, "file_path", "left") if counts is not None else told.withColumn("record_count", F.lit(0))
+        ledger.report(told.select(
+            "file_path", F.when(F.col("current_stage").isNull(), tracking.SUCCESS).otherwise(tracking.FAILED).alias("status"),
+            F.coalesce("current_stage", F.lit("VALIDATED")).alias("current_stage"),
+            F.coalesce("record_count", F.lit(0)).alias("record_count"), "error"), f"{stem}-{run_id}")
+        return changed
+
+
+@dataclass
+class CycleJob:
+    """One streaming query that does the whole cycle with every batch: all files in write order, rows that wait,
+    then fact and views. ``dims`` gives the dimensions when it is called."""
+
+    lake: Lake
+    loaders: Sequence[FileLoader]
+    store: str
+    dims: Callable[[], Mapping[str, DataFrame]] | None = None
+
+    def step(self, batch: DataFrame, batch_id: int) -> None:
+        """Body of ``foreachBatch``; a batch without files is a tick that tries what waits and what failed."""
+        files = [tuple(r) for r in batch.filter("file_path is not null").select("file_path", "last_hash").collect()]
+        changed = False
+        for loader in sorted(self.loaders, key=lambda x: x.contract.write_priority):
+            mine = [f for f in files if loader.mine(f[0])]
+            changed = loader.load_files(mine, f"cycle-{batch_id}", batch_id) or changed
+        if changed:
+            dims = self.dims() if self.dims else None
+            if update_fact(self.lake, f"cycle-{batch_id}", dims) and dims is not None:
+                refresh_views(self.lake, dims)
+
+    def start(self, root: str, every: str | None = None, layout: str = "*/*", max_files: int = 10_000) -> StreamingQuery:
+        """Run until the files on hand are loaded, or keep on at an interval (``"1 hour"``). Then ticks of
+        a rate source start a cycle also where no file came."""
+        spark = self.lake.spark
+        names = ",".join(sorted({x.paths.rsplit("/", 1)[-1] for x in self.loaders}))
+        source = arriving_files(spark, root, f"{{{names}}}", layout, max_files).select("file_path", "last_hash")
+        nothing = F.lit(None).cast("string")
+        ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load().select(
+            nothing.alias("file_path"), nothing.alias("last_hash"))
+        writer = source.unionByName(ticks).writeStream.foreachBatch(self.step).option(
+            "checkpointLocation", f"{self.store}/checkpoints/cycle")
+        return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
 def update_fact(lake: Lake, batch_id: str, dims: Mapping[str, DataFrame] | None = None) -> bool:
     """Append the tickets the fact does not hold yet. False when a Silver table is missing.
 

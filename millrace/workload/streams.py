@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.contract import ColumnRule, FileContract
+from millrace.contract import ColumnRule, FileContract, ForeignKey
+from millrace.operators.loading import Lake
+from millrace.operators.routing import WaitingRoom
+from millrace.plans.daily import batch_room, load_batch_folder
 from millrace.plans.logs import windowed_counts
 from millrace.session import scratch_path, staged
 from millrace.sources.standard_contracts import STANDARD, TICKET_EXTRAS
-from millrace.streaming.cycle import StreamLoader, run_cycle, update_fact
+from millrace.streaming.cycle import CycleJob, FileLoader, StreamLoader, run_cycle, update_fact
 from millrace.workload import model as m
 from millrace.workload.loads import fresh_lake, in_credit
 
@@ -151,6 +156,121 @@ select cast(0 as integer) as step, known as loaded, everything - known as waitin
 union all select cast(1 as integer), everything, cast(0 as bigint) from n"""
 
 
+# ---- streams of files, judged one by one -------------------------------------------------------
+
+CUSTOMER_FILES = FileContract("customers.csv", (
+    ColumnRule("c_custkey", "integer", pk=True, nullable=False),
+    ColumnRule("c_name", "varchar"),
+    ColumnRule("c_acctbal", "float"),
+), "stream")
+
+
+def delivered_customers(spark: SparkSession, sf: str) -> str:
+    """Customers as CSV files in three hours: hour 1 in the contract's order of columns, hour 2 in another one with a further
+    column, hour 3 without the balance."""
+    root = scratch_path(spark, "customer-files")
+    kept = m.table(spark, sf, "customer").select(
+        F.pmod("c_custkey", F.lit(3)).alias("part"), "c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    orders = [["c_custkey", "c_name", "c_acctbal"], ["c_acctbal", "c_mktsegment", "c_name", "c_custkey"], ["c_custkey", "c_name"]]
+    for hour, columns in enumerate(orders, 1):
+        kept.filter(F.col("part") == hour - 1).select(*columns).write.csv(f"{root}/2024-01-05/{hour:02d}/customers.csv", header=True)
+    return root
+
+
+def customer_loader(spark: SparkSession, label: str) -> FileLoader:
+    return FileLoader(fresh_lake(spark, label), CUSTOMER_FILES, scratch_path(spark, f"{label}-store"),
+                      pattern="customers.csv/part-*.csv")
+
+
+def stream_mixed_headers(spark, sf):
+    """Files with two orders of columns and files that lack one: the rows of the good ones, under their own names."""
+    loader = customer_loader(spark, "mixed")
+    loader.start(loader.arriving(delivered_customers(spark, sf), "*/*/customers.csv")).awaitTermination()
+    return loader.lake.read(loader.table)
+
+
+def stream_file_ledger(spark, sf):
+    """The same files delivered to five runs: good ones are loaded once, bad ones tried three times. One row an outcome:
+    rows loaded, most attempts of a file, and what Silver holds in the end."""
+    loader, root = customer_loader(spark, "ledger"), delivered_customers(spark, sf)
+    files = spark.read.format("binaryFile").load(f"{root}/*/*/customers.csv").select("path", "length").collect()
+    for run in range(5):
+        loader.load_files([(f.path, str(f.length)) for f in files], f"run-{run}", run)
+    tries = loader.ledger.state().groupBy("file_path").agg(
+        F.sum("attempt_count").alias("attempts"), F.sum("record_count").alias("records"), F.max("current_stage").alias("current_stage"))
+    errors = loader.ledger.events().filter("error is not null").select("file_path", "error").distinct()
+    return tries.join(errors, "file_path", "left").groupBy("current_stage", "error").agg(
+        F.sum("records").alias("records"), F.max("attempts").alias("attempts")).withColumn(
+        "loaded", loader.lake.read(loader.table).agg(F.count(F.lit(1)).alias("n")).scalar())
+
+
+STREAM_LEDGER_SQL = """
+with n as (select count(*) as good from customer where c_custkey % 3 < 2)
+select 'VALIDATED' as current_stage, cast(null as varchar) as error, good as records, cast(1 as bigint) as attempts, good as loaded from n
+union all
+select 'FAILED_SCHEMA', 'column_mismatch: c_acctbal', cast(0 as bigint), cast(3 as bigint), good from n"""
+
+ORDER_FILES = FileContract("plain_orders.csv", (
+    ColumnRule("o_orderkey", "integer", pk=True, nullable=False),
+    ColumnRule("o_custkey", "integer", fk=ForeignKey("o_custkey", "c_custkey", "customer.csv")),
+    ColumnRule("o_orderstatus", "varchar"),
+), "batch")
+PATIENCE = 300  # seconds
+
+
+def delivered_orders(spark: SparkSession, sf: str, folder: str) -> str:
+    root = scratch_path(spark, "order-files")
+    m.table(spark, sf, "orders").select(*ORDER_FILES.names).write.csv(f"{root}/{folder}plain_orders.csv", header=True)
+    return root
+
+
+def _standing(lake: Lake, room: WaitingRoom, step: int) -> DataFrame:
+    """Rows in Silver and in the waiting room, written down."""
+    waiting = room.left_by(room.last()).agg(F.count(F.lit(1)).alias("n"))
+    return staged(lake.read("silver_plain_orders").agg(F.count(F.lit(1)).alias("loaded")).select(
+        F.lit(step).alias("step"), "loaded", waiting.scalar().alias("waiting")), "standing")
+
+
+def polling_cycle(spark, sf):
+    """A polling job over order files. Customers in debt become known while it runs; the next tick takes their orders in,
+    without a new file. Shows what there was before and after."""
+    lake, store = fresh_lake(spark, "polling"), scratch_path(spark, "polling-store")
+    everyone = m.table(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    lake.refresh("silver_customer", in_credit(everyone))
+    loader = FileLoader(lake, ORDER_FILES, store, {"o_custkey": ("silver_customer", "c_custkey")}, max_retries=1_000_000,
+                        pattern="plain_orders.csv/part-*.csv")
+    query = CycleJob(lake, [loader], store).start(delivered_orders(spark, sf, "2024-01-05/08/"), "1 second", "*/*/plain_orders.csv")
+
+    def wait_until(done) -> None:
+        ends = time.monotonic() + PATIENCE
+        while not done():
+            if query.exception() or not query.isActive or time.monotonic() > ends:
+                raise RuntimeError(f"the polling job did not get there: {query.exception()}")
+            time.sleep(0.5)
+
+    try:
+        wait_until(lambda: loader.last_cycle() >= 0)
+        first = _standing(lake, loader.room, 0)
+        lake.refresh("silver_customer", everyone)
+        wait_until(lambda: loader.waiting_at(loader.last_cycle()).isEmpty())
+    finally:
+        query.stop()
+    return first.unionByName(_standing(lake, loader.room, 1))
+
+
+def batch_orphan_retry(spark, sf):
+    """Batch counterpart of ``stream_orphan_retry``: the same unchanged files in a second run, after the parents came."""
+    lake, store = fresh_lake(spark, "late-batch"), scratch_path(spark, "late-batch-store")
+    everyone = m.table(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    folder = delivered_orders(spark, sf, "")
+    steps = []
+    for step, known in enumerate((in_credit(everyone), everyone)):
+        lake.refresh("silver_customer", known)
+        load_batch_folder(lake, folder, [ORDER_FILES], store, f"run-{step}", "2024-01-05")
+        steps.append(_standing(lake, batch_room(lake, store, ORDER_FILES), step))
+    return steps[0].unionByName(steps[1])
+
+
 def stream_minutes(spark, sf):
     """Events per minute as a streaming aggregation; the sink keeps the complete result."""
     path = scratch_path(spark, "minutes")
@@ -170,6 +290,11 @@ QUERIES: dict[str, tuple[m.Query, str | None]] = {
     "stream_cycle": (stream_cycle, STREAM_CYCLE_SQL),
     "stream_dedup": (stream_dedup, "select o_orderkey, o_custkey, o_orderstatus from orders"),
     "stream_orphan_retry": (stream_orphan_retry, STREAM_ORPHAN_SQL),
+    "stream_mixed_headers": (
+        stream_mixed_headers, "select c_custkey, c_name, c_acctbal from customer where c_custkey % 3 < 2"),
+    "stream_file_ledger": (stream_file_ledger, STREAM_LEDGER_SQL),
+    "polling_cycle": (polling_cycle, STREAM_ORPHAN_SQL),
+    "batch_orphan_retry": (batch_orphan_retry, STREAM_ORPHAN_SQL),
     "stream_minutes": (
         stream_minutes,
         "select date_trunc('minute', ts) as minute, count(*) as count from events group by 1"),
