@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
@@ -124,6 +124,17 @@ def ngrams(hashes: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray,
     return out, text
 
 
+BATCH_BYTES = 4 << 20
+_BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def modest_batches(spark: SparkSession) -> None:
+    """Arrow batches of ``BATCH_BYTES`` from now on, unless the session names a bound of its own: a batch exists several
+    times over in the JVM, the socket and the worker, beside whatever else the stage holds."""
+    if spark.conf.get(_BATCHES).rstrip("b") == str(64 << 20):
+        spark.conf.set(_BATCHES, str(BATCH_BYTES))
+
+
 def over_texts(docs: DataFrame, key: str, text: str, outputs: str,
                work: Callable[[pa.Array], list]) -> DataFrame:
     """``key`` and the columns ``outputs`` (DDL) that ``work`` makes of a batch's texts, one value

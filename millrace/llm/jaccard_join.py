@@ -6,7 +6,8 @@ so of the segments that are not empty at least one is alike in both sets.
 
 * Every set posts a signature of each of its segments. In bands where some set fills too few
   segments, segments of two or more elements also post their one-deletion neighbourhood, and then
-  count twice: without a match there they differ in two elements at least.
+  count twice: without a match there they differ in two elements at least. A set that even so fills too few
+  is compared with all others by counting common elements.
 * A set whose segments without any match already prove more than H differences has no partner.
   Most sets end here; only the others are read again.
 * Each of these is first compared with one set that shares many segments. What is linked this way
@@ -23,7 +24,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from itertools import count
 from math import ceil, sqrt
 
 import numpy as np
@@ -31,15 +31,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.bytewords import VISIBLE, chunks, mix, ngrams
+from millrace.llm.bytewords import VISIBLE, chunks, mix, modest_batches, ngrams
 from millrace.llm.components import components
 from millrace.session import staged
 
 BROADCAST_ROWS = 1_000_000  # rows of two numbers
 ENTRIES = 400_000           # postings a task sorts at once
 FLUSH_BYTES = 8 << 20       # text whose postings a task holds before passing them on
+POSTED = 500_000            # sets a task remembers to have posted
 STAR_ROUNDS, STAR_PAIRS = 2, 6
 SKETCH = 1024               # bits of a sketch
+SALT = 0
 OWN, LOW = 0, 1             # a set in the scheme of its own size band, and of the band below
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 
@@ -176,10 +178,20 @@ def _matched_weight(docs: DataFrame, scheme: Scheme, words: int, shares: int) ->
     Postings travel as packed arrays, one row for a run of texts and a share of the signatures, and
     are sorted in the task that gets the share."""
     def post(batches):
+        posted: set[int] = set()  # sets this task has posted: copies add nothing
         for batch in batches:
             held, size = [], 0
             for _, elements, owner, sizes in sets_of(batch.column("text"), words):
                 node = nodes_of(elements, sizes)
+                if len(posted) > POSTED:
+                    posted.clear()
+                fresh = np.zeros(len(node), bool)
+                for i, x in enumerate(node.tolist()):
+                    if x not in posted:
+                        posted.add(x)
+                        fresh[i] = True
+                elements, owner = elements[fresh[owner]], (np.cumsum(fresh) - 1)[owner[fresh[owner]]]
+                node, sizes = node[fresh], sizes[fresh]
                 for level in (OWN, LOW):
                     own, _, signature, weight, deleted = scheme.postings(elements, owner, sizes, level)
                     held.append((signature, node[own], (weight - 1 + 2 * deleted + 4 * level).astype(np.uint8)))
@@ -206,25 +218,31 @@ def _matched_weight(docs: DataFrame, scheme: Scheme, words: int, shares: int) ->
     def match(group: pa.Table) -> pa.Table:
         joined = lambda name, kind: np.frombuffer(b"".join(group.column(name).to_pylist()), kind)
         signature, node, code = joined("signature", np.uint32), joined("node", np.int64), joined("code", np.uint8)
-        order = np.argsort(signature, kind="stable")
+        order = np.lexsort((code, node, signature))
         signature, node, code = signature[order], node[order], code[order]
+        # copies of one set post alike: each posting counts once
+        new = np.ones(len(node), bool)
+        new[1:] = (signature[1:] != signature[:-1]) | (node[1:] != node[:-1]) | (code[1:] != code[:-1])
+        signature, node, code = signature[new], node[new], code[new]
         first = np.flatnonzero(np.append(True, signature[1:] != signature[:-1]))
-        run = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(signature))))
+        last = np.append(first[1:], len(signature)) - 1
+        run = np.repeat(np.arange(len(first)), last - first + 1)
+        lowest, highest = node[first], node[last]
         deleted = (code & 2) > 0
-        lowest, highest = np.minimum.reduceat(node, first), np.maximum.reduceat(node, first)
         top, bottom = np.iinfo(np.int64).max, np.iinfo(np.int64).min
         low_whole = np.minimum.reduceat(np.where(deleted, top, node), first)
         high_whole = np.maximum.reduceat(np.where(deleted, bottom, node), first)
-        other = np.where(deleted, (low_whole[run] < node) | ((high_whole[run] > node)),
+        other = np.where(deleted, (low_whole[run] < node) | (high_whole[run] > node),
                          (lowest[run] < node) | (highest[run] > node))
         node, code = node[other], code[other]
-        level, weight = (code >> 2).astype(np.int64), (code & 1).astype(np.int64) + 1
-        # copies of one set post alike: each posting counts once
-        keep = np.unique(np.stack([signature[other].astype(np.int64), node, code.astype(np.int64)]), axis=1, return_index=True)[1] if len(node) else []
-        node, level, weight = node[keep], level[keep], weight[keep]
-        key, where = np.unique(np.stack([node, level]), axis=1, return_inverse=True)
-        total = np.bincount(where.ravel(), weights=weight, minlength=key.shape[1]).astype(np.int64)
-        return pa.table({"node": key[0], "level": key[1].astype(np.int32), "matched": total})
+        found = []
+        for level in (OWN, LOW):
+            mine = (code >> 2) == level
+            key, where = np.unique(node[mine], return_inverse=True)
+            total = np.bincount(where, weights=(code[mine] & 1) + 1.0, minlength=len(key)).astype(np.int64)
+            found.append((key, np.full(len(key), level, np.int32), total))
+        key, level, total = (np.concatenate(x) for x in zip(*found))
+        return pa.table({"node": key, "level": level, "matched": total})
 
     posted = docs.select("text").mapInArrow(post, "share int, signature binary, node binary, code binary")
     return (posted.groupBy("share").applyInArrow(match, "node bigint, level int, matched bigint")
@@ -369,27 +387,41 @@ def _cross_pairs(mixed: DataFrame, sets: DataFrame, sketches: DataFrame, percent
             .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct())
 
 
+def _links_of(unproven: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame | None:
+    """Links (a, b) of the given sets with any others, by counting common elements; None without such sets. All
+    texts are read again, and only their elements that one of these sets holds go on."""
+    if unproven.isEmpty():
+        return None
+    wanted = _small(unproven.select(F.col("rep.id").alias("_i"), F.col("rep.copy").alias("_c")))
+    own = rows.join(wanted, F.col("id").eqNullSafe(F.col("_i")) & (F.col("copy") == F.col("_c")), "left_semi")
+    held = staged(_read_sets(own, words).dropDuplicates(["node"])
+                  .select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.explode("elements").alias("element")), "unproven-elements")
+    every = _read_sets(rows, words).select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.explode("elements").alias("element"))
+    met = (every.join(_small(held), "element").filter("a != b").select("a", "n_a", "b", "n_b", "element").distinct()
+           .groupBy("a", "n_a", "b", "n_b").agg(F.count(F.lit(1)).alias("both")))
+    alike = F.col("both") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("both")) * percent
+    return staged(met.filter(alike).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+
+
 def _grouped(docs: DataFrame, key: str, text: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(texts, member): ``id, copy, node, n`` of every row, and ``node, comp, first_id, best`` of every set, ``best``
     being the set's smallest (no key, id, copy)."""
+    modest_batches(docs.sparkSession)
     rows = docs.select(F.col(key).cast("bigint").alias("id"), F.xxhash64(F.col(text)).alias("copy"),
                        F.col(text).alias("text"))
     longest = docs.agg(F.max(F.octet_length(F.col(text)))).first()[0] or 1
     bands = Bands.up_to(longest // 2 + 1, percent)
     weights = lambda level: F.col(level) + F.when(F.col("deletes_" + level), F.col(level + "_many")).otherwise(0)
-    for salt in count():
-        texts = staged(_summaries(rows, Scheme(bands, salt), words).selectExpr("*", *_allowed(bands)), "text-sets")
-        # Bands in which some set fills too few segments post deletions as well.
-        few = (texts.filter("n > 0 and own <= own_most").select("band")
-               .union(texts.filter("n > 0 and band > 0 and low <= low_most").select((F.col("band") - 1).alias("band"))))
-        deleting = frozenset(r["band"] for r in few.distinct().collect())
-        scheme = Scheme(bands, salt, deleting)
-        listed = [F.lit(int(b)) for b in sorted(deleting)] or [F.lit(-9)]
-        texts = texts.withColumn("deletes_own", F.col("band").isin(*listed)).withColumn(
-            "deletes_low", (F.col("band") - 1).isin(*listed))
-        texts = texts.withColumn("own_weight", weights("own")).withColumn("low_weight", weights("low"))
-        if texts.filter("n > 0 and (own_weight <= own_most or (band > 0 and low_weight <= low_most))").isEmpty():
-            break  # every set can prove what it must; else the elements are dealt anew
+    texts = staged(_summaries(rows, Scheme(bands, SALT), words).selectExpr("*", *_allowed(bands)), "text-sets")
+    # Bands in which some set fills too few segments post deletions as well.
+    few = (texts.filter("n > 0 and own <= own_most").select("band")
+           .union(texts.filter("n > 0 and band > 0 and low <= low_most").select((F.col("band") - 1).alias("band"))))
+    deleting = frozenset(r["band"] for r in few.distinct().collect())
+    scheme = Scheme(bands, SALT, deleting)
+    listed = [F.lit(int(b)) for b in sorted(deleting)] or [F.lit(-9)]
+    texts = texts.withColumn("deletes_own", F.col("band").isin(*listed)).withColumn(
+        "deletes_low", (F.col("band") - 1).isin(*listed))
+    texts = texts.withColumn("own_weight", weights("own")).withColumn("low_weight", weights("low"))
     sets = texts.filter("n > 0").groupBy("node").agg(
         F.min(F.struct("id", "copy")).alias("rep"), F.min("id").alias("first_id"),
         F.min(F.struct(F.col("id").isNull().alias("no_key"), "id", "copy")).alias("best"),
@@ -412,7 +444,9 @@ def _grouped(docs: DataFrame, key: str, text: str, words: int, percent: int) ->
     postings = staged(_postings(elements, scheme), "postings")
     sketches = staged(_sketches(elements), "sketches")
 
-    links, groups = None, None
+    # The few sets that cannot prove what they must even so are compared by their elements.
+    unproven = sets.filter("own_weight <= own_most or (band > 0 and low_weight <= low_most)")
+    links, groups = _links_of(staged(unproven.select("rep"), "unproven-sets"), rows, words, percent), None
     for attempt in range(STAR_ROUNDS + 1):
         mixed = staged(_with_groups(postings, groups), "mixed-postings")
         pairs = (_possible(_star_pairs(mixed, attempt), sketches, percent) if attempt < STAR_ROUNDS

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.bytewords import VISIBLE, _BYTES, chunks, over_texts
+from millrace.llm.bytewords import VISIBLE, _BYTES, chunks, modest_batches, over_texts
 
 _LETTERS = ((_BYTES >= 65) & (_BYTES <= 90), (_BYTES >= 97) & (_BYTES <= 122), _BYTES >= 128)
 # Bytes counted against the number of words, by class.
@@ -155,13 +155,14 @@ def score(docs: DataFrame, model: Discriminant, key: str = "doc_id", text: str =
 
 def accepted(docs: DataFrame, model: Discriminant, threshold: float, text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text scores at least ``threshold``, all columns kept."""
-    at = docs.columns.index(text)
+    modest_batches(docs.sparkSession)
 
-    def run(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(model.score(statistics(batch.column(at))) >= threshold))
+    # only the texts go to the worker, and a flag comes back
+    @F.arrow_udf("boolean")
+    def accepts(texts: pa.Array) -> pa.Array:
+        return pa.array(model.score(statistics(texts)) >= threshold)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.filter(accepts(F.col(text)))
 
 
 def held_out(key: Column, folds: int = 5) -> Column:

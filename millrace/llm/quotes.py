@@ -14,14 +14,19 @@ from millrace.operators.keys import number_rows
 from millrace.session import staged
 
 STRETCH = 4096  # messages
-_MARKS = r"^([ \t]*>)*"
+_BLANKS = " \t\n\x0b\f\r"
+
+
+def _parsed(line: Column) -> Column:
+    # One run of blanks and marks; its last mark ends the marks. No pattern here repeats a group or looks back.
+    lead = F.rtrim(F.regexp_extract(line, r"^[ \t>]*+", 0), F.lit(" \t"))
+    depth = F.length(lead) - F.length(F.replace(lead, F.lit(">"), F.lit("")))
+    return F.struct(depth.alias("depth"), F.regexp_replace(F.substr(line, F.length(lead) + 1), "^[ \t]", "").alias("line"))
 
 
 def parsed_lines(text: Column) -> Column:
     """Lines of a text as (depth, line): the number of quote marks, and what follows them."""
-    return F.transform(F.split(F.coalesce(text, F.lit("")), "\r?\n"), lambda line: F.struct(
-        F.length(F.regexp_replace(F.regexp_extract(line, _MARKS, 0), "[^>]", "")).alias("depth"),
-        F.regexp_replace(line, _MARKS + "[ \t]?", "").alias("line")))
+    return F.transform(F.split(F.coalesce(text, F.lit("")), "\r?\n"), _parsed)
 
 
 def normalised(line: Column) -> Column:
@@ -31,7 +36,7 @@ def normalised(line: Column) -> Column:
 def own_text(lines: Column) -> Column:
     """The lines without quote marks, blank lines at both ends taken off."""
     own = F.transform(F.filter(lines, lambda p: p["depth"] == 0), lambda p: p["line"])
-    return F.regexp_replace(F.array_join(own, "\n"), r"\A\s+|\s+\z", "")
+    return F.trim(F.array_join(own, "\n"), F.lit(_BLANKS))
 
 
 def _passages(rows: DataFrame, numbers: DataFrame) -> DataFrame:

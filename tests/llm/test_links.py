@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, jaccard_join, queries, quotes
 from millrace.llm.components import components
@@ -235,3 +236,34 @@ def test_one_of_each_with_clashing_and_missing_keys(spark):
     got = jaccard_join.one_of_each(docs).collect()
     assert sorted(map(tuple, got), key=str) == sorted([
         (1, words("a")), (1, words("b")), (None, words("c")), (4, words("d")), (5, words("e")), (6, ""), (6, None)], key=str)
+
+
+def test_long_lines_are_parsed(spark):
+    """Very many marks or blanks end neither the job nor the day."""
+    texts = [(1, "> " * 100_000 + "deep"), (2, "a" + " " * 1_000_000 + "b"), (3, " \t> >x\n>\t y\n  plain \n>"), (4, None)]
+    rows = spark.createDataFrame(texts, "n int, text string").select("n", quotes.parsed_lines(F.col("text")).alias("p"))
+    got = {r.n: [tuple(x) for x in r.p] for r in rows.filter("n > 2").collect()}
+    assert got == {3: [(2, "x"), (1, " y"), (0, " plain "), (1, "")], 4: [(0, "")]}
+    assert rows.filter("n = 1").select("p.depth").first()[0] == [100_000]
+    assert rows.filter("n = 1").select("p.line").first()[0] == ["deep"]
+    assert rows.filter("n = 2").select(F.length(quotes.own_text(F.col("p")))).first()[0] == 1_000_002
+
+
+def test_sets_without_a_proof_are_compared_by_elements(spark, monkeypatch):
+    """With one segment a band hardly any set can prove that it differs: links must come all the same."""
+    monkeypatch.setattr(jaccard_join.Bands, "segments", lambda self: np.full(len(self.edges) - 1, 1, np.uint64))
+    rows = [(i, " ".join(f"w{j + (40 if j == i % 7 else 0)}" for j in range(30 + i % 3))) for i in range(40)]
+    rows += [(100 + i, f"other words number {i} of no likeness at all") for i in range(6)]
+    got = jaccard_join.similar_documents(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(map(tuple, got.collect())) == plain_components(rows)
+
+
+def test_a_hot_group_of_copies(spark):
+    """A third of all rows are one text, another third differ from it in a word."""
+    base = [f"t{j}" for j in range(60)]
+    near = lambda i: " ".join([*base[:59], f"u{i}"])
+    rows = ([(i, " ".join(base)) for i in range(400)] + [(400 + i, near(i)) for i in range(400)]
+            + [(800 + i, " ".join(f"v{i}_{j}" for j in range(20))) for i in range(400)])
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.similar_documents(docs).collect()}
+    assert all(got[i] == 0 for i in range(800)) and all(got[i] == i for i in range(800, 1200))
