@@ -9,8 +9,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.buckets import BUCKETS, BucketedTable
 from millrace.operators.joins import fits_broadcast, not_in_target
 from millrace.operators.validation import flag_duplicates
+from millrace.session import staged
+
+MOST_BUCKETS = 1024
 
 
 @dataclass
@@ -45,10 +49,11 @@ def upsert(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFram
 
 class Lake:
     """Named Parquet tables under one root. A rewrite goes to a new folder and the table is then
-    pointed at it, so readers and retried tasks never see a half-written table."""
+    pointed at it, so readers and retried tasks never see a half-written table. Tables that are upserted get a bucket for
+    about every ``bucket_rows`` rows."""
 
-    def __init__(self, spark: SparkSession, root: str, database: str = "millrace"):
-        self.spark, self.root, self.database = spark, root.rstrip("/"), database
+    def __init__(self, spark: SparkSession, root: str, database: str = "millrace", bucket_rows: int = 50_000):
+        self.spark, self.root, self.database, self.bucket_rows = spark, root.rstrip("/"), database, bucket_rows
         spark.sql(f"create database if not exists {database} location '{self.root}/_db'")
 
     def name(self, table: str) -> str:
@@ -71,7 +76,9 @@ class Lake:
         Only a table that gets other columns, or is partitioned, has to be dropped and created."""
         path = f"{self.root}/{table.lower()}/{version or uuid.uuid4().hex}"
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-        if self.exists(table):
+        if self.bucketed(table).exists():
+            self.spark.sql(f"drop view {self.name(table)}")
+        elif self.exists(table):
             if not partition_by and not self._partitions(table) and self._same_columns(table, df):
                 self.spark.sql(f"alter table {self.name(table)} set location '{path}'")
                 self.spark.catalog.refreshTable(self.name(table))
@@ -81,6 +88,9 @@ class Lake:
         if partition_by:
             self.spark.catalog.recoverPartitions(self.name(table))
 
+    def bucketed(self, table: str, keys: Sequence[str] = (), buckets: int = BUCKETS) -> BucketedTable:
+        return BucketedTable(self.spark, self.name(table), f"{self.root}/{table.lower()}/buckets", keys, buckets)
+
     def _partitions(self, table: str) -> list[str]:
         return [c.name for c in self.spark.catalog.listColumns(self.name(table)) if c.isPartition]
 
@@ -91,6 +101,10 @@ class Lake:
         if not self.exists(table):
             self.refresh(table, df, "first", partition_by)
             return
+        buckets = self.bucketed(table)
+        if buckets.exists():
+            buckets.append(df.select(*self.read(table).columns))
+            return
         (df.select(*self.read(table).columns).write.mode("append").format("parquet")
          .partitionBy(*partition_by).saveAsTable(self.name(table)))
 
@@ -108,10 +122,21 @@ class Lake:
         self.append(table, fresh.observe(added, F.count(F.lit(1)).alias("rows")), partition_by)
         return LoadResult(table, seen.get["rows"], added.get["rows"])
 
-    def upsert(self, table: str, df: DataFrame, keys: Sequence[str], version: str | None = None) -> None:
-        """Insert new keys and overwrite known ones."""
-        after = upsert(df, self.read(table), keys) if self.exists(table) else one_per_key(df, keys)
-        self.refresh(table, after, version)
+    def upsert(self, table: str, df: DataFrame, keys: Sequence[str]) -> None:
+        """Insert new keys and overwrite known ones.
+
+        The table is kept in hash buckets of its keys (see :mod:`millrace.operators.buckets`): only the buckets of the
+        batch's keys are read and written. A table written otherwise, or with other columns or keys, is
+        rewritten as such once."""
+        buckets = self.bucketed(table, keys)
+        if buckets.exists() and buckets.keys == list(keys) and self._same_columns(table, df.select(*self.read(table).columns)):
+            buckets.upsert(one_per_key(df.select(*self.read(table).columns), keys))
+            return
+        known = self.exists(table)
+        after = staged(upsert(df, self.read(table), keys) if known else one_per_key(df, keys), "upserted")
+        if known:
+            self.spark.sql(f"drop {'view' if buckets.exists() else 'table'} {self.name(table)}")  # the files stay
+        self.bucketed(table, keys, min(MOST_BUCKETS, after.count() // self.bucket_rows + 1)).create(after)
 
     def insert_ignore(self, table: str, df: DataFrame, keys: Sequence[str]) -> LoadResult:
         """Insert new keys and leave known ones as they are."""

@@ -32,12 +32,24 @@ from millrace.plans import revenue, sla
 from millrace.session import staged
 
 
+def without_repeats(source: DataFrame, columns: Sequence[str], within: str) -> DataFrame:
+    """A stream without rows that equal an earlier one in ``columns`` and arrived at most ``within`` after it.
+
+    Digests of the rows are kept in the state store, spread over all tasks, for that time and no longer, so
+    repeats are found without reading the target. Time is that of arrival: no row is ever late. Rows with
+    the same key and other values pass; the load decides between them."""
+    digest = F.sha2(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in columns]), {"ignoreNullFields": "false"}), 256)
+    return (source.withColumns({"_repeat": digest, "_seen_at": F.current_timestamp()}).withWatermark("_seen_at", within)
+            .dropDuplicatesWithinWatermark(["_repeat"]).drop("_repeat", "_seen_at"))
+
+
 @dataclass
 class StreamLoader:
     """Loads one stream file into its Silver table, batch by batch.
 
     ``parents`` maps a foreign-key column to (table name, parent key); tables are looked up when a
-    batch runs, so parents that arrive late are seen by the next retry.
+    batch runs, so parents that arrive late are seen by the next retry. ``repeats_within`` (``"2 days"``) drops rows
+    that came before within that time, see :func:`without_repeats`.
     """
 
     lake: Lake
@@ -49,6 +61,7 @@ class StreamLoader:
     bounds: str = "exclusive"
     process_date: str = "stream"
     partition_by: Sequence[str] = ()
+    repeats_within: str | None = None
 
     @property
     def table(self) -> str:
@@ -125,6 +138,8 @@ class StreamLoader:
 
     def start(self, source: DataFrame, every: str | None = None) -> StreamingQuery:
         """Run until the files on hand are read, or keep polling at an interval (``"1 hour"``)."""
+        if self.repeats_within:
+            source = without_repeats(source, [c for c in (*self.contract.names, *self.extra_types)], self.repeats_within)
         writer = (source.writeStream.foreachBatch(self.process)
                   .option("checkpointLocation", f"{self.store}/checkpoints/{self.contract.stem}"))
         return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()

@@ -125,6 +125,23 @@ def stream_dedup(spark, sf):
     return lake.read(PLAIN_ORDERS.silver_table)
 
 
+def stream_repeats(spark, sf):
+    """Three deliveries of all orders in files of their own, a few files a batch: repeats end in the state store. Shows how
+    many rows came, how many reached the load, and what Silver holds."""
+    lake, store = fresh_lake(spark, "repeats"), scratch_path(spark, "repeats-store")
+    rows = m.table(spark, sf, "orders").select(*PLAIN_ORDERS.names)
+    root = scratch_path(spark, "deliveries")
+    for delivery in range(3):
+        rows.write.parquet(f"{root}/delivery={delivery}")
+    loader = StreamLoader(lake, PLAIN_ORDERS, store, repeats_within="1 day")
+    source = (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/*"))
+    loader.start(source.select(*PLAIN_ORDERS.names)).awaitTermination()
+    passed = spark.read.parquet(f"{store}/bronze/{PLAIN_ORDERS.stem}/batch=*").agg(F.count(F.lit(1)).alias("n"))
+    came = spark.read.parquet(f"{root}/*").agg(F.count(F.lit(1)).alias("n"))
+    return lake.read(loader.table).agg(F.count(F.lit(1)).alias("loaded")).select(
+        came.scalar().alias("came"), passed.scalar().alias("passed"), "loaded")
+
+
 def stream_orphan_retry(spark, sf):
     """Orders of customers not known yet wait; after the customers arrive the next cycle takes them in, without new
     files. Shows what each step left in Silver and in the waiting room."""
@@ -290,6 +307,7 @@ QUERIES: dict[str, tuple[m.Query, str | None]] = {
     "stream_cycle": (stream_cycle, STREAM_CYCLE_SQL),
     "stream_dedup": (stream_dedup, "select o_orderkey, o_custkey, o_orderstatus from orders"),
     "stream_orphan_retry": (stream_orphan_retry, STREAM_ORPHAN_SQL),
+    "stream_repeats": (stream_repeats, "select 3 * count(*) as came, count(*) as passed, count(*) as loaded from orders"),
     "stream_mixed_headers": (
         stream_mixed_headers, "select c_custkey, c_name, c_acctbal from customer where c_custkey % 3 < 2"),
     "stream_file_ledger": (stream_file_ledger, STREAM_LEDGER_SQL),

@@ -239,3 +239,28 @@ def test_a_batch_is_read_once(spark, tmp_path):
     done = lake.insert_absent("t", batch.union(batch.limit(0)), ["id"])
     assert (done.attempted, done.inserted, done.skipped, counted.value) == (100, 50, 50, 100)
     assert lake.read("t").filter("v = 'new'").count() == 50
+
+
+def test_an_upsert_rewrites_few_files(spark, tmp_path):
+    lake = Lake(spark, f"{tmp_path}/lake", "bucket_lake", bucket_rows=16)
+    rows = lambda ids, v: spark.createDataFrame([(i, v) for i in ids], "id bigint, v string")
+    lake.upsert("dim", rows(range(1000), "old"), ["id"])
+    files = lambda: {p for p in (tmp_path / "lake" / "dim").rglob("*.parquet") if "_bucket=" in str(p)}
+    before = files()
+    lake.upsert("dim", rows([*range(0, 1000, 100), 2000], "new"), ["id"])
+    written = files() - before
+    assert {int(str(p).split("_bucket=")[1].split("/")[0]) for p in written} == {
+        r[0] for r in lake.bucketed("dim").placed(rows([*range(0, 1000, 100), 2000], "x")).select("_bucket").distinct().collect()}
+    assert len(written) <= 11 < 0.25 * len(before) and before <= files()
+    got = {r.id: r.v for r in lake.read("dim").collect()}
+    assert got == {**{i: "old" for i in range(1000)}, **{i: "new" for i in range(0, 1000, 100)}, 2000: "new"}
+    assert lake.insert_ignore("dim", rows([5, 3000], "ignored"), ["id"]).inserted == 1
+    assert {r.v for r in lake.read("dim").filter("id in (5, 3000)").collect()} == {"old", "ignored"}
+    lake.upsert("dim", rows([3000, 3000], "again"), ["id"])
+    assert lake.read("dim").filter("id = 3000").collect() == [(3000, "again")] and lake.read("dim").count() == 1002
+    lake.refresh("dim", rows([1], "whole"))
+    assert lake.read("dim").collect() == [(1, "whole")]
+    lake.upsert("dim", rows([1, 2], "back"), ["id"])  # a plain table is rewritten in buckets once
+    assert lake.bucketed("dim").exists() and sorted(lake.read("dim").collect()) == [(1, "back"), (2, "back")]
+    lake.upsert("empty", rows([], "x"), ["id"])
+    assert lake.read("empty").count() == 0
