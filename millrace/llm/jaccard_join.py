@@ -36,7 +36,7 @@ from millrace.llm.bytewords import VISIBLE, chunks, mix, modest_batches, ngrams
 from millrace.llm.components import components
 from millrace.session import staged
 
-BROADCAST_ROWS = 1_000_000  # rows of two numbers
+BROADCAST_ROWS = 1_000_000  # rows of two or three numbers
 ENTRIES = 400_000           # postings a task sorts at once
 FLUSH_BYTES = 8 << 20       # text whose postings a task holds before passing them on
 POSTED = 500_000            # sets a task remembers to have posted
@@ -358,7 +358,8 @@ def _with_groups(postings: DataFrame, groups: DataFrame | None) -> DataFrame:
     else:
         sizes = groups.groupBy("comp").agg((F.count(F.lit(1)) + 1).alias("members"))
         known = groups.select("node", "comp").union(groups.select(F.col("comp").alias("node"), "comp").distinct())
-        marked = (postings.join(known.join(sizes, "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        known = _small(staged(known.join(sizes, "comp"), "groups"))
+        marked = (postings.join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
                   .withColumn("members", F.coalesce("members", F.lit(1).cast("bigint"))))
     mixed = (marked.groupBy("signature").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"),
                                              F.count(F.lit(1)).alias("cost"))
