@@ -14,8 +14,8 @@ so of the segments that are not empty at least one is alike in both sets.
   have mostly in common. What is linked this way needs no further comparison with its own group, so large
   groups of copies cost a few pairs a set. This only saves work: what it misses, the next step finds.
 * Between groups, a set looks up its cheapest segments (those with the fewest postings) until the
-  differences proved by all others and these exceed H. Pairs whose parity sketches, first folded, then
-  whole, differ at more than H places are out; every other pair found is verified on whole sets.
+  differences proved by all others and these exceed H. Pairs whose parity sketches
+  differ at more than H places are out; every other pair found is verified on whole sets.
 
 Sets are kept as 64-bit hashes of shingles, and documents with equal sets as one set with a 64-bit
 fingerprint.
@@ -43,7 +43,6 @@ POSTED = 500_000            # sets a task remembers to have posted
 STAR_ROUNDS, STAR_PAIRS = 2, 6
 PROBES = 32                 # smallest signatures of a set at each level, by which groups are formed first
 SKETCH = 1024               # bits of a sketch
-FOLDED = 256                # bits of a sketch folded, which travels with every posting
 SALT = 0
 OWN, LOW = 0, 1             # a set in the scheme of its own size band, and of the band below
 _SEED = np.uint64(0x9E3779B97F4A7C15)
@@ -300,7 +299,6 @@ def _postings(sets: DataFrame, scheme: Scheme) -> DataFrame:
 
 
 def _sketches(sets: DataFrame) -> DataFrame:
-    """``node, n, sketch, folded``: places that are alike modulo ``FOLDED`` folded into one keep the property."""
     def run(batches):
         for batch in batches:
             column = batch.column("elements")
@@ -313,21 +311,17 @@ def _sketches(sets: DataFrame) -> DataFrame:
                 parts.append(parity_sketches(elements[ends[at] - sizes[at]:ends[at + len(some) - 1]],
                                              np.repeat(np.arange(len(some)), some), len(some)))
             rows = np.concatenate(parts)
-            folded = np.bitwise_xor.reduce(rows.reshape(len(rows), SKETCH // FOLDED, FOLDED // 64), axis=1)
+            offsets = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("n"), listed(rows), listed(folded)], ["node", "n", "sketch", "folded"])
+                [batch.column("node"), batch.column("n"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel()))],
+                ["node", "n", "sketch"])
 
-    def listed(rows):
-        offsets = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel()))
+    return sets.select("node", "n", "elements").mapInArrow(run, "node bigint, n bigint, sketch array<bigint>")
 
-    return sets.select("node", "n", "elements").mapInArrow(
-        run, "node bigint, n bigint, sketch array<bigint>, folded array<bigint>")
 
-
-def _apart(x: str, y: str, bits: int = SKETCH) -> Column:
+def _apart(x: str, y: str) -> Column:
     """Places at which two sketches differ."""
-    return reduce(lambda a, b: a + b, [F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(bits // 64)])
+    return reduce(lambda a, b: a + b, [F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(SKETCH // 64)])
 
 
 def _possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -381,7 +375,7 @@ def _star_pairs(mixed: DataFrame, attempt: int) -> DataFrame:
 
 def _cross_pairs(mixed: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Pairs of different groups found through each set's cheapest segments, as many as are needed, whose
-    folded sketches do not prove that they differ too much."""
+    sketches do not prove that they differ too much."""
     segments = (mixed.groupBy("node", "level", "segment").agg(F.sum("cost").alias("cost"), F.max("weight").alias("weight")))
     order = Window.partitionBy("node", "level").orderBy("cost", "segment")
     whole = Window.partitionBy("node", "level")
@@ -394,16 +388,16 @@ def _cross_pairs(mixed: DataFrame, sets: DataFrame, sketches: DataFrame, percent
               .join(limits, ["node", "level"])
               .filter(F.col("total") - F.col("all") + F.col("before") <= F.col("most"))
               .select("node", "level", "segment"))
-    # Narrow rows are matched with what was chosen; only then the sketches join, folded.
-    short = sketches.select("node", "folded")
-    asking = mixed.join(chosen, ["node", "level", "segment"]).join(short, "node").select(
+    # Narrow rows are matched with what was chosen; only then the sketches join.
+    sketch = sketches.select("node", "sketch")
+    asking = mixed.join(chosen, ["node", "level", "segment"]).join(sketch, "node").select(
         "signature", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"),
-        F.col("deleted").alias("dx"), F.col("members").alias("mx"), F.col("folded").alias("kx"))
-    asked = mixed.select("signature", "node", "comp", "n", "deleted", "members").join(short, "node")
+        F.col("deleted").alias("dx"), F.col("members").alias("mx"), F.col("sketch").alias("kx"))
+    asked = mixed.select("signature", "node", "comp", "n", "deleted", "members").join(sketch, "node")
     # A pair across groups shows from either side: the member of the smaller group asks.
     fits = ((F.col("cx") != F.col("comp")) & (F.col("mx") <= F.col("members")) & ~(F.col("dx") & F.col("deleted"))
             & (F.least("nx", "n") * 100 >= F.greatest("nx", "n") * percent)
-            & (_apart("kx", "folded", FOLDED) * (100 + percent) <= (F.col("nx") + F.col("n")) * (100 - percent)))
+            & (_apart("kx", "sketch") * (100 + percent) <= (F.col("nx") + F.col("n")) * (100 - percent)))
     return (asking.join(asked, "signature").filter(fits)
             .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct())
 
@@ -472,8 +466,8 @@ def _grouped(docs: DataFrame, key: str, text: str, words: int, percent: int) ->
         last = attempt == STAR_ROUNDS
         mixed = staged(_with_groups(postings.drop("probe") if last else postings.filter("probe").select("signature", "node"),
                                     groups), "mixed-postings")
-        pairs = _possible(_cross_pairs(mixed, elements, sketches, percent) if last else _star_pairs(mixed, attempt),
-                          sketches, percent)
+        pairs = (staged(_cross_pairs(mixed, elements, sketches, percent), "pairs") if last
+                 else _possible(_star_pairs(mixed, attempt), sketches, percent))
         found = staged(_verified(pairs, elements, percent), "links")
         links = found if links is None else links.union(found)
         groups = components(links)
