@@ -17,6 +17,7 @@ from millrace.llm.bytewords import ALNUM, chunks, mix, over_texts
 
 BUCKETS = 1 << 20
 PREFIX = 5
+BLOCK = 2048  # texts learnt from at once
 
 
 def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -63,49 +64,94 @@ def _logit(row, text, texts, bias, weight, factors) -> np.ndarray:
     return out
 
 
-def learn(found: np.ndarray, bounds: np.ndarray, label: np.ndarray, kept: int = 512, factors: int = 4,
-          steps: int = 150, rate: float = 0.05, decay: float = 2e-3, seed: int = 7) -> Machine:
-    """A machine for the terms that tell the labels apart best (``kept`` by chi-square), fitted by
-    gradient steps over all given texts. Without both labels it scores every text alike."""
+def _spread(seen: np.ndarray, with_one: np.ndarray, share: float, evidence: float, support: float) -> np.ndarray:
+    """How far a term's weight and vector may move, 0 to 1: the more, the clearer the term tells the labels apart by
+    itself (chi-square with continuity correction against ``evidence``) or the more texts hold it (against
+    ``support``), as one that only matters beside others shows nothing by itself."""
+    expected = seen * share
+    apart = np.maximum(np.abs(with_one - expected) - 0.5, 0)
+    chi = np.maximum(apart**2 / np.maximum(expected * (1 - share), 1e-9) - 1, 0)
+    return np.maximum(chi / (chi + evidence), seen / (seen + support))
+
+
+def _losses(logit: np.ndarray, label: np.ndarray, cost: np.ndarray) -> float:
+    return float((cost * np.logaddexp(0, np.where(label > 0, -logit, logit))).mean()) if len(label) else 0.0
+
+
+def learn(found: np.ndarray, bounds: np.ndarray, label: np.ndarray, factors: int = 4, steps: int = 120,
+          rate: float = 0.05, decay: float = 1e-4, evidence: float = 20.0, support: float = 2000.0, missed: float = 3.0,
+          patience: int = 30, seed: int = 7) -> Machine:
+    """A machine for all terms of the given texts, fitted by gradient steps. Every term learns at a scale of
+    its own (``_spread``). A missed text of label 1 costs ``missed`` times one of label 0. Steps end
+    when the loss over every fifth text, held back for that, has not fallen for ``patience`` of them; then all texts are
+    learnt from for as many steps as were best. Without both labels it scores every text alike."""
     texts = len(label)
     share = (label.sum() + 1) / (texts + 2)
-    bias = float(np.log(share / (1 - share)))
     place = np.full(BUCKETS, -1, np.int32)
     if label.min(initial=1) == label.max(initial=0) or not len(found):
-        return Machine(bias, place, np.zeros(0), np.zeros((0, factors)))
-    text = np.repeat(np.arange(texts), np.diff(bounds))
-    seen = np.bincount(found, minlength=BUCKETS).astype(float)
-    with_one = np.bincount(found, weights=label[text], minlength=BUCKETS)
-    expected = seen * label.mean()
-    chi = np.where(seen >= 3, (with_one - expected) ** 2 / np.maximum(expected * (1 - label.mean()), 1e-9), 0)
-    best = np.argsort(-chi, kind="stable")[:kept]
-    best = best[chi[best] > 0]
-    place[best] = np.arange(len(best))
-    row = place[found]
-    text, row = text[row >= 0], row[row >= 0]
-    rng = np.random.default_rng(seed)
-    weight, vectors = np.zeros(len(best)), rng.normal(0, 0.05, (len(best), factors))
-    memory: dict[str, list] = {}
-
-    def adam(name, value, grad, t):
-        m, v = memory.setdefault(name, [np.zeros_like(grad), np.zeros_like(grad)])
-        m += 0.1 * (grad - m)
-        v += 0.01 * (grad * grad - v)
-        return value - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-
-    for t in range(1, steps + 1):
-        logit = _logit(row, text, texts, bias, weight, vectors)
-        error = (1 / (1 + np.exp(-np.clip(logit, -60, 60))) - label) / texts
-        bias = float(adam("bias", bias, np.array(error.sum()), t))
-        grad_w = np.bincount(row, weights=error[text], minlength=len(best)) + decay * weight / len(best)
-        grad_v = np.empty_like(vectors)
-        for f in range(factors):
-            v = vectors[row, f]
-            total = np.bincount(text, weights=v, minlength=texts)
-            grad_v[:, f] = np.bincount(row, weights=error[text] * (total[text] - v), minlength=len(best))
-        weight = adam("weight", weight, grad_w, t)
-        vectors = adam("vectors", vectors, grad_v + 10 * decay * vectors / len(best), t)
-    return Machine(bias, place, weight, vectors)
+        return Machine(float(np.log(share / (1 - share))), place, np.zeros(0), np.zeros((0, factors)))
+    sizes = np.diff(bounds)
+    kept, row, seen = np.unique(found, return_inverse=True, return_counts=True)
+    with_one = np.bincount(row, weights=np.repeat(label, sizes), minlength=len(kept))
+    place[kept] = np.arange(len(kept))
+    scale = _spread(seen, with_one, label.mean(), evidence, support)
+    cost = np.where(label > 0, missed, 1.0)
+    row = row.astype(np.int32)
+
+    def descend(taught: np.ndarray, most: int, watched: np.ndarray | None = None) -> tuple[int, Machine]:
+        bias = float(np.log(share / (1 - share)))
+        rng = np.random.default_rng(seed)
+        weight, vectors = np.zeros(len(kept)), rng.normal(0, 0.05, (len(kept), factors))
+        memory: dict[str, list] = {}
+        best, best_at = np.inf, 1
+        teaches = taught.astype(float) / taught.sum()
+
+        def adam(name, value, grad, t):
+            m, v = memory.setdefault(name, [np.zeros_like(grad), np.zeros_like(grad)])
+            m += 0.1 * (grad - m)
+            v += 0.01 * (grad * grad - v)
+            return value - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+
+        for t in range(1, most + 1):
+            own, own_vectors = weight * scale, vectors * scale[:, None]
+            grad_w, grad_v, grad_b = np.zeros(len(kept)), np.zeros_like(vectors), 0.0
+            logits = np.empty(texts)
+            # a block of texts at a time, so temporaries stay small
+            for first in range(0, texts, BLOCK):
+                last = min(first + BLOCK, texts)
+                r = row[bounds[first]:bounds[last]]
+                text = np.repeat(np.arange(last - first), sizes[first:last])
+                logit = np.full(last - first, bias) + np.bincount(text, weights=own[r], minlength=last - first)
+                held = []
+                for f in range(factors):
+                    v = own_vectors[r, f]
+                    total = np.bincount(text, weights=v, minlength=last - first)
+                    logit += 0.5 * (total**2 - np.bincount(text, weights=v * v, minlength=last - first))
+                    held.append((v, total))
+                logits[first:last] = logit
+                error = ((1 / (1 + np.exp(-np.clip(logit, -60, 60))) - label[first:last])
+                         * cost[first:last] * teaches[first:last])
+                grad_b += error.sum()
+                of = error[text]
+                grad_w += np.bincount(r, weights=of, minlength=len(kept))
+                for f, (v, total) in enumerate(held):
+                    grad_v[:, f] += np.bincount(r, weights=of * (total[text] - v), minlength=len(kept))
+            if watched is not None:
+                loss = _losses(logits[watched], label[watched], cost[watched])
+                if loss < best:
+                    best, best_at = loss, t
+                elif t - best_at >= patience:
+                    break
+            bias = float(adam("bias", bias, np.array(grad_b), t))
+            weight = adam("weight", weight, grad_w * scale + decay * weight, t)
+            vectors = adam("vectors", vectors, grad_v * scale[:, None] + 10 * decay * vectors, t)
+        return best_at, Machine(bias, place, weight * scale, vectors * scale[:, None])
+
+    watched = np.arange(texts) % 5 == 4
+    length = steps
+    if watched.any() and label[watched].max() > label[watched].min():
+        length, _ = descend(~watched, steps, watched)
+    return descend(np.ones(texts, bool), length)[1]
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text",
