@@ -187,11 +187,13 @@ def largest_products(table: DataFrame, queries: Column, k: int = 5, key: str = "
     # One row a region, so at most ``regions`` rows.
     sizes = placed.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("r")).orderBy("region").collect()
     parts = np.zeros(len(pivots), np.int64)
-    radii = np.full(len(pivots), -np.inf)  # a region without rows is never asked
+    radii = np.zeros(len(pivots))
     for region, n, radius in sizes:
         parts[region], radii[region] = -(-n // settings.shard), radius * (1 + 1e-9)
+    region_bounds = lambda vectors: np.where(parts > 0, bounds(vectors, pivots, radii), -np.inf)
     starts = np.cumsum(parts) - parts
-    listed = lambda values: F.array(*[F.lit(int(v)) for v in values])
+    # Both sides of a cogroup must have keys of one type: int and bigint are hashed to different partitions.
+    listed = lambda values: F.array(*[F.lit(int(v)).cast("bigint") for v in values])
     start, many = listed(starts)[F.col("region")], listed(parts)[F.col("region")]
     shard = lambda column: (start + F.pmod(F.xxhash64(column), many)).alias("shard")
     sharded = placed.select(shard(F.col("ids")[0]), "vec", "ids")
@@ -202,13 +204,13 @@ def largest_products(table: DataFrame, queries: Column, k: int = 5, key: str = "
             least = np.full(len(vectors), np.iinfo(np.int64).min)
             if len(sample) > k:
                 least = np.partition(products(sample, vectors), len(sample) - k - 1, axis=0)[len(sample) - k - 1]
-            best = bounds(vectors, pivots, radii).argmax(axis=1)
+            best = region_bounds(vectors).argmax(axis=1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least), pa.array(best.astype(np.int32))],
                                              ["q", "vec", "least", "region"])
 
     def remaining(batches):
         for batch in slices(batches):
-            row, region = np.nonzero(bounds(_matrix(batch.column("vec")), pivots, radii) >= batch.column("least").to_numpy()[:, None])
+            row, region = np.nonzero(region_bounds(_matrix(batch.column("vec"))) >= batch.column("least").to_numpy()[:, None])
             at = pa.array(row)
             yield pa.RecordBatch.from_arrays([*[c.take(at) for c in batch.columns], pa.array(region.astype(np.int32))],
                                              [*batch.schema.names, "region"])

@@ -116,6 +116,24 @@ def test_products_against_plain(spark, wide):
     assert sorted(map(tuple, got.collect())) == plain_products(rows, 5)
 
 
+def test_products_of_shards_in_different_partitions(spark, monkeypatch):
+    """No shard is lost where the two sides of a search are not coalesced into one partition, nor a zero query."""
+    rng = np.random.default_rng(5)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(1200, 12)))] + [(5000, [0.0] * 12)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    settings = ball_tree.Settings(sample=64, regions=8, shard=40, block=7, leaf=4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = lambda: sorted(map(tuple, ball_tree.largest_products(table, F.col("vec_id") % 50 == 0, settings=settings).collect()))
+        assert found() == plain_products(rows, 5)
+        far = np.full((1, 12), 1e9)  # nothing is nearest to this one: a region without rows
+        pivots = ball_tree._pivots
+        monkeypatch.setattr(ball_tree, "_pivots", lambda *a: np.concatenate([far, pivots(*a)]))
+        assert found() == plain_products(rows, 5)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_few_products(spark):
     make = lambda rows: spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, score string, ids string")
     asks = F.col("vec_id") % 50 == 0
