@@ -231,6 +231,19 @@ def test_duplicates_scan_their_source_once(spark, tmp_path):
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan  # no row of a unique key is shuffled
 
 
+def test_repeats_take_a_batch_a_delivery(spark, tmp_path, monkeypatch):
+    """Batches do not become more with the files of a delivery."""
+    from millrace.streaming.cycle import StreamLoader
+    from millrace.workload import streams
+
+    spark.range(30).select(F.col("id").alias("o_orderkey"), F.lit(1).cast("bigint").alias("o_custkey"), F.lit("O").alias("o_orderstatus")
+                           ).repartition(3).write.parquet(f"{tmp_path}/orders.parquet")
+    batches, process = [], StreamLoader.process
+    monkeypatch.setattr(StreamLoader, "process", lambda self, batch, n: batches.append(n) or process(self, batch, n))
+    assert streams.stream_repeats(spark, str(tmp_path)).collect() == [(90, 30, 30)]
+    assert len(batches) <= 4  # the last one has no rows, it clears the state
+
+
 def test_a_batch_is_read_once(spark, tmp_path):
     lake = Lake(spark, f"{tmp_path}/lake", "once_lake")
     lake.refresh("t", spark.range(50).select("id", F.lit("old").alias("v")))
