@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.contract import FileContract
 from millrace.functions import rules
-from millrace.operators.joins import fits_broadcast, flag_members, lookup_join
+from millrace.operators.joins import HOT_SHARE, fits_broadcast, flag_members, salted_join
 from millrace.session import staged
 
 STATUS, REASONS, RETRIES = "_record_status", "_error_reasons", "_retry_count"
@@ -19,6 +19,7 @@ VALID, INVALID, ORPHAN = "VALID", "INVALID", "ORPHAN"
 CATEGORIES = ("data_type", "not_allowed_nulls", "format", "range", "enum", "duplicated", "orphan")
 EXPIRED = "expired_orphan"
 NO_REASONS = "cast(map() as map<string,array<string>>)"
+HASH_ROWS = 1_000_000  # so many repeated hashes, 8 bytes each, are sent to all executors
 
 
 # ---- structure ------------------------------------------------------------------------------
@@ -72,16 +73,31 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str], order_by: Sequence[Colum
     """Mark repeated keys. ``keep_last`` spares the row that ``order_by`` puts last, ``all`` marks
     every copy. Null keys are copies of each other.
 
-    ``df`` is evaluated once and written with a number for every row. Keys, order and number alone are
-    aggregated, combined on the map side, so a key may hold any share of the rows; only repeated keys come out,
-    with the number of the row to spare. While these are few they are broadcast and no row is shuffled.
+    ``df`` is evaluated once and written with a number for every row. First the rows of each key's hash are counted, in
+    fixed width; only rows whose hash occurs again are aggregated by key, order and number, combined on the map
+    side, so a key may hold any share of the rows. Only repeated keys come out, with the number of the row to spare. While
+    hashes and keys are few they are broadcast and no row is shuffled; many hashes are not looked up, all rows are aggregated.
     """
     rows = staged(df.withColumn("_row", F.monotonically_increasing_id()), "numbered").withColumn("_key", F.struct(*keys))
+    hashes = staged(rows.groupBy(F.xxhash64("_key").alias("_hash")).agg(F.count(F.lit(1)).alias("_n"))
+                    .filter("_n > 1").select("_hash"), "repeated-hashes")
+    plain = [f"`{c}`" for c in df.columns]
+    if hashes.isEmpty():
+        return rows.select(*plain, F.lit(False).alias(flag))
+    some = rows
+    if fits_broadcast(hashes, HASH_ROWS):
+        some = rows.withColumn("_hash", F.xxhash64("_key")).join(F.broadcast(hashes), "_hash", "left_semi")
     spared = F.lit(None).cast("bigint") if policy == "all" else F.max_by("_row", F.struct(*order_by, "_row"))
-    repeated = staged(rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), spared.alias("_spared"))
-                      .filter("_n > 1").drop("_n").withColumn("_again", F.lit(True)), "repeated")
+    repeated = staged(some.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), spared.alias("_spared"))
+                      .filter("_n > 1").withColumn("_again", F.lit(True)), "repeated")
     lost = F.coalesce(F.col("_again"), F.lit(False)) & ~F.col("_row").eqNullSafe(F.col("_spared"))
-    return lookup_join(rows, repeated, "_key", fits=fits_broadcast(repeated)).select(*[f"`{c}`" for c in df.columns], lost.alias(flag))
+    marks = repeated.drop("_n")
+    if fits_broadcast(marks):
+        marked = rows.join(F.broadcast(marks), "_key", "left")
+    else:  # the counts say which keys are hot
+        hot = repeated.filter(F.col("_n") * HOT_SHARE > rows.count()).select("_key")
+        marked = salted_join(rows, marks, ["_key"], hot=hot)
+    return marked.select(*plain, lost.alias(flag))
 
 
 # ---- row rules ------------------------------------------------------------------------------

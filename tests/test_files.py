@@ -231,6 +231,13 @@ def test_duplicates_scan_their_source_once(spark, tmp_path):
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan  # no row of a unique key is shuffled
 
 
+def test_keys_without_copies_are_only_counted(spark):
+    rows = spark.range(500).select("id", F.repeat(F.lit("x"), 1000).alias("wide"))
+    flagged = flag_duplicates(rows, ["id"], [F.col("wide")])
+    assert flagged.filter("not _duplicated").count() == 500
+    assert "Join" not in flagged._jdf.queryExecution().executedPlan().toString()
+
+
 def test_repeats_take_a_batch_a_delivery(spark, tmp_path, monkeypatch):
     """Batches do not become more with the files of a delivery."""
     from millrace.streaming.cycle import StreamLoader
