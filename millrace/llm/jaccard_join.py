@@ -14,8 +14,10 @@ so of the segments that are not empty at least one is alike in both sets.
   have mostly in common. What is linked this way needs no further comparison with its own group, so large
   groups of copies cost a few pairs a set. This only saves work: what it misses, the next step finds.
 * Between groups, a set looks up its cheapest segments (those with the fewest postings) until the
-  differences proved by all others and these exceed H. Pairs whose parity sketches
-  differ at more than H places are out; every other pair found is verified on whole sets.
+  differences proved by all others and these exceed H. What it finds are groups, not their members, less those whose
+  parity sketches all differ from its own at more than H places, by the distance to one member and the group's radius.
+  Then its sketch is compared with each member's; the nearest few are verified on whole sets, and the others left
+  within H places only where these did not link the set to the group.
 
 Sets are kept as 64-bit hashes of shingles, and documents with equal sets as one set with a 64-bit
 fingerprint.
@@ -43,6 +45,7 @@ POSTED = 500_000            # sets a task remembers to have posted
 STAR_ROUNDS, STAR_PAIRS = 2, 6
 PROBES = 32                 # smallest signatures of a set at each level, by which groups are formed first
 SKETCH = 1024               # bits of a sketch
+SLICE = 512                 # members of a group whose sketches are compared under one key
 SALT = 0
 OWN, LOW = 0, 1             # a set in the scheme of its own size band, and of the band below
 _SEED = np.uint64(0x9E3779B97F4A7C15)
@@ -373,9 +376,10 @@ def _star_pairs(mixed: DataFrame, attempt: int) -> DataFrame:
     return best.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
-def _cross_pairs(mixed: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different groups found through each set's cheapest segments, as many as are needed, whose
-    sketches do not prove that they differ too much."""
+def _asks(mixed: DataFrame, open_sets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``x, comp, members``: the groups that hold one of the cheapest segments of a set ``x`` of another group, as many
+    segments as are needed, unless sketches prove that all members differ too much. A group stands here once a signature,
+    whatever its size: its members lie within a radius of one of them."""
     segments = (mixed.groupBy("node", "level", "segment").agg(F.sum("cost").alias("cost"), F.max("weight").alias("weight")))
     order = Window.partitionBy("node", "level").orderBy("cost", "segment")
     whole = Window.partitionBy("node", "level")
@@ -388,18 +392,46 @@ def _cross_pairs(mixed: DataFrame, sets: DataFrame, sketches: DataFrame, percent
               .join(limits, ["node", "level"])
               .filter(F.col("total") - F.col("all") + F.col("before") <= F.col("most"))
               .select("node", "level", "segment"))
+    center = (open_sets.groupBy("comp").agg(F.min("node").alias("node")).join(open_sets.select("node", "sketch"), "node")
+              .select("comp", F.col("sketch").alias("center")))
+    radius = (open_sets.join(center, "comp").groupBy("comp").agg(F.max(_apart("sketch", "center")).alias("radius")))
     # Narrow rows are matched with what was chosen; only then the sketches join.
-    sketch = sketches.select("node", "sketch")
-    asking = mixed.join(chosen, ["node", "level", "segment"]).join(sketch, "node").select(
+    asking = mixed.join(chosen, ["node", "level", "segment"]).join(open_sets.select("node", "sketch"), "node").select(
         "signature", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"),
         F.col("deleted").alias("dx"), F.col("members").alias("mx"), F.col("sketch").alias("kx"))
-    asked = mixed.select("signature", "node", "comp", "n", "deleted", "members").join(sketch, "node")
+    asked = (mixed.groupBy("signature", "comp").agg(
+        F.min("deleted").alias("deleted"), F.max("members").alias("members"), F.min("n").alias("least"), F.max("n").alias("most"))
+        .join(center.join(radius, "comp"), "comp"))
     # A pair across groups shows from either side: the member of the smaller group asks.
-    fits = ((F.col("cx") != F.col("comp")) & (F.col("mx") <= F.col("members")) & ~(F.col("dx") & F.col("deleted"))
-            & (F.least("nx", "n") * 100 >= F.greatest("nx", "n") * percent)
+    fits = ((F.struct("mx", "cx") < F.struct("members", "comp")) & ~(F.col("dx") & F.col("deleted"))
+            & (F.col("nx") * percent <= F.col("most") * 100) & (F.col("least") * percent <= F.col("nx") * 100)
+            & ((_apart("kx", "center") - F.col("radius")) * (100 + percent) <= (F.col("nx") + F.col("most")) * (100 - percent)))
+    return asking.join(asked, "signature").filter(fits & (F.col("cx") != F.col("comp"))).select("x", "comp", "members")
+
+
+def _cross_pairs(mixed: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different groups that may be similar, each once, with their place (``nth``) among those of one set
+    and one group, the nearest by sketch first. Large groups are compared a slice at a time."""
+    known = mixed.groupBy("node").agg(F.first("comp").alias("comp"), F.first("members").alias("members"))
+    open_sets = staged(sketches.join(known, "node"), "grouped-sketches")
+    asks = staged(_asks(mixed, open_sets, sets, percent).distinct(), "asks")
+    slices = F.ceil(F.col("members") / SLICE).cast("int")
+    mine = asks.join(open_sets.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("sketch").alias("kx")), "x").select(
+        "*", F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"))
+    theirs = open_sets.select("comp", "node", "n", "sketch", F.pmod(F.xxhash64("node"), slices).cast("int").alias("slice"))
+    fits = ((F.least("nx", "n") * 100 >= F.greatest("nx", "n") * percent)
             & (_apart("kx", "sketch") * (100 + percent) <= (F.col("nx") + F.col("n")) * (100 - percent)))
-    return (asking.join(asked, "signature").filter(fits)
-            .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct())
+    near = staged(mine.join(theirs, ["comp", "slice"]).filter(fits).select(
+        "x", "comp", "node", _apart("kx", "sketch").alias("apart")), "near")
+    nth = F.row_number().over(Window.partitionBy("x", "comp").orderBy("apart", "node"))
+    return near.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"), nth.alias("nth"))
+
+
+def _between(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) that ``groups`` leave in different groups."""
+    side = lambda x: groups.select(F.col("node").alias(x), F.col("comp").alias(f"c_{x}"))
+    named = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    return named.filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
 
 
 def _links_of(unproven: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame | None:
@@ -466,11 +498,18 @@ def _grouped(docs: DataFrame, key: str, text: str, words: int, percent: int) ->
         last = attempt == STAR_ROUNDS
         mixed = staged(_with_groups(postings.drop("probe") if last else postings.filter("probe").select("signature", "node"),
                                     groups), "mixed-postings")
-        pairs = (staged(_cross_pairs(mixed, elements, sketches, percent), "pairs") if last
-                 else _possible(_star_pairs(mixed, attempt), sketches, percent))
+        if last:
+            cross = staged(_cross_pairs(mixed, elements, sketches, percent), "pairs")
+            pairs = cross.filter(F.col("nth") <= STAR_PAIRS)
+        else:
+            pairs = _possible(_star_pairs(mixed, attempt), sketches, percent)
         found = staged(_verified(pairs, elements, percent), "links")
         links = found if links is None else links.union(found)
         groups = components(links)
+    # What the nearest of each group did not link is compared with its others.
+    others = staged(_between(cross.filter(F.col("nth") > STAR_PAIRS), groups), "pairs")
+    if not others.isEmpty():
+        groups = components(links.union(staged(_verified(others, elements, percent), "links")))
     groups = groups.join(sets.select("node"), "node", "left_semi")
     return texts, (sets.select("node", "first_id", "best").join(groups, "node", "left")
                    .withColumn("comp", F.coalesce("comp", "node")))

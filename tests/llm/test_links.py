@@ -267,3 +267,25 @@ def test_a_hot_group_of_copies(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = {r.doc_id: r.component_id for r in jaccard_join.similar_documents(docs).collect()}
     assert all(got[i] == 0 for i in range(800)) and all(got[i] == i for i in range(800, 1200))
+
+
+def test_a_group_is_asked_once_whatever_its_size(spark, monkeypatch):
+    """Sets left outside a group of near copies are verified against a few of its members, not against all of them."""
+    base = [f"t{j}" for j in range(120)]
+    near = lambda i, end: " ".join(f"u{i}" if j == i else end if j == 119 else w for j, w in enumerate(base))
+    rows = [(0, " ".join(base))] + [(i, near(5 + 2 * i, "t119")) for i in range(1, 41)] + [(50 + i, near(6 + 9 * i, f"e{i}")) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    nodes = [r.node for r in jaccard_join._read_sets(docs.filter("doc_id < 50"), 5).collect()]
+    inside = spark.createDataFrame([(nodes[0], n) for n in nodes[1:]], "a bigint, b bigint")
+    verified, counts = jaccard_join._verified, []
+
+    def counted(pairs, *rest):
+        counts.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(jaccard_join, "STAR_ROUNDS", 1)
+    monkeypatch.setattr(jaccard_join, "_star_pairs", lambda mixed, attempt: inside)
+    monkeypatch.setattr(jaccard_join, "_verified", counted)
+    got = jaccard_join.similar_documents(docs)
+    assert sorted(map(tuple, got.collect())) == plain_components(rows)
+    assert counts[0] == 40 and sum(counts[1:]) <= 8 * jaccard_join.STAR_PAIRS + 8 * 7 / 2
