@@ -65,16 +65,21 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> Data
     return counts.filter(F.col("_n") * share > total).select(*keys)
 
 
-def hot_values(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> dict[str, DataFrame]:
+def hot_values(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> tuple[dict[str, DataFrame], set[str]]:
     """:func:`hot_keys` of several single keys from one pass over ``df``, written: fewer than ``share`` rows
-    a key, which plans built on it read instead of ``df``."""
+    a key, which plans built on it read instead of ``df``. Second: the keys that have no other values (but null)."""
     kinds = {k: df.schema[k].dataType for k in keys}
     each = df.select(F.explode(F.array(*[
         F.struct(F.lit(k).alias("name"), F.col(k).cast("string").alias("value")) for k in keys])).alias("p"))
     counts = each.groupBy("p.name", "p.value").agg(F.count(F.lit(1)).alias("_n"))
     total = counts.filter(F.col("name") == keys[0]).agg(F.sum("_n")).scalar()
-    hot = staged(counts.filter(F.col("_n") * share > total), "hot-keys")
-    return {k: hot.filter(F.col("name") == k).select(F.col("value").cast(kinds[k]).alias(k)) for k in keys}
+    marked = counts.withColumn("_hot", F.coalesce(F.col("_n") * share > total, F.lit(False)))
+    # all values of a key that are not hot are one row
+    kept = staged(marked.groupBy("name", "_hot", F.when(F.col("_hot"), F.col("value")).alias("value")).agg(
+        F.count_if(~F.col("_hot") & F.col("value").isNotNull()).alias("_others")), "hot-keys")
+    mixed = {r["name"] for r in kept.filter("_others > 0").select("name").collect()}
+    hot = kept.filter("_hot")
+    return {k: hot.filter(F.col("name") == k).select(F.col("value").cast(kinds[k]).alias(k)) for k in keys}, set(keys) - mixed
 
 
 def spread_salt(df: DataFrame, salts: int = SALTS) -> Column:
@@ -127,17 +132,24 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], ho
 
 
 def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, dict[str, str]]],
-              max_rows: int = BROADCAST_ROWS) -> DataFrame:
+              max_rows: int = BROADCAST_ROWS, keys: DataFrame | None = None) -> DataFrame:
     """Left join a fact to dimensions. Each entry is (dimension, key, {column: output name});
     only the named columns are read from the dimension. The hot keys of all large dimensions come from
-    one pass over the fact, so every dimension adds one scan to the plan."""
+    one pass over the fact, so every dimension adds one scan to the plan; where all values of a key are hot, their
+    few rows are broadcast and the fact is not shuffled for it. ``keys`` is a cheaper table with every key of ``fact``, where
+    there is one."""
     picked = [d.select(key, *[F.col(c).alias(n) for c, n in names.items()]) for d, key, names in dims]
     fitting = which_fit(picked, max_rows)
     large = sorted({key for fits, (_, key, _) in zip(fitting, dims) if not fits})
-    hot = hot_values(fact, large) if large else {}
+    hot, only_hot = hot_values(fact if keys is None else keys, large) if large else ({}, set())
     out = fact
     for dim, fits, (_, key, _) in zip(picked, fitting, dims):
-        out = out.join(F.broadcast(dim), key, "left") if fits else salted_join(out, dim, [key], hot=hot[key])
+        if fits:
+            out = out.join(F.broadcast(dim), key, "left")
+        elif key in only_hot:
+            out = out.join(F.broadcast(dim.join(F.broadcast(hot[key]), key, "left_semi")), key, "left")
+        else:
+            out = salted_join(out, dim, [key], hot=hot[key])
     return out
 
 

@@ -91,17 +91,17 @@ def fact_rows(tickets: DataFrame, orders: DataFrame, activity: DataFrame, batch_
               keep: Sequence[str | Column] = ()) -> DataFrame:
     """One row per ticket, before keys: order amounts, refund, activity counts, timing, flags.
 
-    Silver holds one row per key, so both joins keep the ticket grain. ``keep`` passes further
+    Silver holds one row per key, so both joins keep the ticket grain. Orders come first: the narrow tickets are
+    shuffled for them, and rows leave the join with the activity placed by ticket. ``keep`` passes further
     columns of the timing through.
     """
     bought = orders.select("order_id", "order_status", "order_amount", "discount_amount",
                            "delivery_fee", "total_amount", "order_created_at", "delivered_at")
-    timed = ticket_timing(tickets.filter(F.col("ticket_id").isNotNull()), activity,
-                          response_limit, resolution_limit)
-    rows = timed.join(bought, "order_id", "left")
+    ordered_tickets = tickets.filter(F.col("ticket_id").isNotNull()).join(bought, "order_id", "left")
+    rows = ticket_timing(ordered_tickets, activity, response_limit, resolution_limit)
     zero = F.lit(0).cast("decimal(18,2)")
-    naturals = [n for n, _ in DIMENSION_KEYS.values() if n in timed.columns]
-    numbered = [c for c in ("ticket_sk",) if c in timed.columns]
+    naturals = [n for n, _ in DIMENSION_KEYS.values() if n in rows.columns]
+    numbered = [c for c in ("ticket_sk",) if c in rows.columns]
     ordered = as_timestamp(F.col("order_created_at"))
     delivered = as_timestamp(F.col("delivered_at"))
     reopens = F.coalesce("reopen_count", F.lit(0))

@@ -89,11 +89,11 @@ def with_fact(timing: DataFrame, fact: DataFrame) -> DataFrame:
 
 
 def sla_metrics(base: DataFrame, dims: Mapping[str, DataFrame],
-                max_rows: int = BROADCAST_ROWS) -> DataFrame:
+                max_rows: int = BROADCAST_ROWS, keys: DataFrame | None = None) -> DataFrame:
     """Per-ticket SLA with fact attributes and dimension names.
 
     ``base`` comes from :func:`with_fact`; ``dims`` holds ``customer, driver, restaurant, channel,
-    priority, reason``.
+    priority, reason``. ``keys`` is for :func:`star_join`.
     """
     named = star_join(base, [
         (dims["customer"], "customer_sk", {"city_name": "customer_city"}),
@@ -103,7 +103,7 @@ def sla_metrics(base: DataFrame, dims: Mapping[str, DataFrame],
         (dims["channel"], "channel_sk", {"channel_name": "channel_name"}),
         (dims["priority"], "priority_sk", {"priority_name": "priority_name"}),
         (dims["reason"], "reason_sk", {"reason_name": "reason_name"}),
-    ], max_rows)
+    ], max_rows, keys)
     defaults = {"customer_city": "UNKNOWN", "driver_city": "UNKNOWN", "restaurant_name": "UNKNOWN",
                 "restaurant_city": "UNKNOWN", "channel_name": "UNKNOWN",
                 "priority_name": "STANDARD", "reason_name": "OTHER"}

@@ -85,6 +85,38 @@ def test_star_join_adds_one_scan_a_dimension(spark):
     assert text.count("_salt") and text.count("lineitem.parquet") <= 2
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, -1)
+    yield
+    spark.conf.set(conf, before)
+
+
+def test_fact_leaves_its_joins_placed_by_ticket(spark, no_broadcast):
+    """Two exchanges for the orders, one for their tickets, one for the activity; none more to meet the timing."""
+    from millrace.plans import sla
+
+    timing = sla.ticket_timing(m.tickets(spark, SF), m.activity(spark, SF))
+    text = plan(sla.with_fact(timing, analytics.fact(spark, SF)))
+    assert text.count("Arguments: hashpartitioning(") == 2 + 4
+
+
+def test_star_join_shuffles_no_row_for_few_values(spark, no_broadcast):
+    """Each of seven values is hot: their rows of the dimension are broadcast. A null or unknown value finds nothing."""
+    from pyspark.sql import functions as F
+
+    fact = spark.range(4000).select("id", F.when(F.col("id") % 8 > 0, F.col("id") % 8).alias("k"))
+    dim = spark.range(2, 1000).select(F.col("id").alias("k"), F.concat(F.lit("n"), F.col("id")).alias("name"))
+    for keys in (None, fact.select("k")):
+        joined = joins.star_join(fact, [(dim, "k", {"name": "n"})], max_rows=0, keys=keys)
+        assert "_salt" not in plan(joined)
+        got = {r.k: r.n for r in joined.select("k", "n").distinct().collect()}
+        assert got == {None: None, 1: None, **{i: f"n{i}" for i in range(2, 8)}} and joined.count() == 4000
+    assert "_salt" in plan(joins.star_join(fact.withColumn("k", F.col("id")), [(dim, "k", {"name": "n"})], max_rows=0))
+
+
 def test_log_tail_is_cut_by_split_first(spark, tmp_path):
     from millrace.sources.reports import read_log_text
 
