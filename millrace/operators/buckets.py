@@ -58,12 +58,13 @@ class BucketedTable:
     def placed(self, df: DataFrame) -> DataFrame:
         return df.withColumn(_BUCKET, bucket_of([F.col(k) for k in self.keys], self.buckets))
 
-    def _write(self, placed: DataFrame) -> tuple[str, list[int]]:
-        """Write rows by bucket; (version, buckets that got rows)."""
+    def _write(self, placed: DataFrame, dealt: bool = False) -> tuple[str, list[int]]:
+        """Write rows by bucket; (version, buckets that got rows). ``dealt``: few tasks hold rows of a bucket already."""
         version = uuid.uuid4().hex
         path = f"{self.folder}/version={version}"
         # one or a few files a bucket; a heavy one is split at run time
-        placed.hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(path)
+        rows = placed if dealt else placed.hint("rebalance", _BUCKET)
+        rows.write.partitionBy(_BUCKET).parquet(path)
         listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
         number = F.regexp_extract("path", rf"/{_BUCKET}=(\d+)/", 1).try_cast("int")
         return version, sorted(r.b for r in listed.select(number.alias("b")).distinct().collect() if r.b is not None)
@@ -95,9 +96,10 @@ class BucketedTable:
         paths = [f"{self.folder}/version={v}/{_BUCKET}={b}" for b in buckets for v in folders.get(b, [])]
         return self.spark.read.schema(self.spark.table(self.name).schema).parquet(*paths) if paths else None
 
-    def replace(self, df: DataFrame, touched: Sequence[int]) -> None:
-        """``df``, which has a column ``_bucket``, in place of all rows of the buckets ``touched``."""
-        version, written = self._write(df)
+    def replace(self, df: DataFrame, touched: Sequence[int], dealt: bool = False) -> None:
+        """``df``, which has a column ``_bucket``, in place of all rows of the buckets ``touched``. ``dealt``: few of its tasks
+        hold rows of a bucket, so it is written as it is."""
+        version, written = self._write(df, dealt)
         kept = {b: v for b, v in self.folders().items() if b not in set(touched)}
         self._point({**kept, **{b: [version] for b in written}}, df)
 

@@ -17,6 +17,10 @@ from millrace.operators.loading import Lake
 GROUPS = ["restaurant_city", "restaurant_name", "driver_city"]
 _SUMS = ("tickets", "rows", "breached", "first_breached", "resolution_breached", "reopened", "first_time", "first_times",
          "resolution_time", "resolution_times", "refunds", "impact")
+# what the dashboard reads of the metrics
+COLUMNS = ("ticket_id", *GROUPS, "first_response_breached", "resolution_breached", "is_reopened", "first_response_time",
+           "resolution_time", "refund_amount", "total_revenue_impact")
+PARTS = 4  # tasks, and files, that share a bucket's tickets
 
 
 def ticket_bucket(ticket: Column, buckets: int = BUCKETS) -> Column:
@@ -24,9 +28,15 @@ def ticket_bucket(ticket: Column, buckets: int = BUCKETS) -> Column:
 
 
 def partials(metrics: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """Mergeable measures of every group in every bucket of tickets, for tickets with known cities."""
+    """Mergeable measures of every group in every bucket of tickets, for tickets with known cities.
+
+    Rows are dealt once, by ticket, so that tickets are told apart and groups summed in place; a group has a row for each part
+    of a bucket that holds some of its tickets."""
     known = metrics.filter((F.col("restaurant_city") != "UNKNOWN") & (F.col("driver_city") != "UNKNOWN"))
-    return known.groupBy(ticket_bucket(F.col("ticket_id"), buckets).alias("_bucket"), *GROUPS).agg(
+    part = F.pmod(F.xxhash64(F.lit("part"), F.col("ticket_id").cast("string")), F.lit(PARTS)).cast("int")
+    dealt = known.select(ticket_bucket(F.col("ticket_id"), buckets).alias("_bucket"), part.alias("_part"),
+                         *COLUMNS).repartition("_bucket", "_part")
+    return dealt.groupBy("_bucket", "_part", *GROUPS).agg(
         F.count_distinct("ticket_id").alias("tickets"), F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("first_response_breached") | F.col("resolution_breached")).alias("breached"),
         F.count_if("first_response_breached").alias("first_breached"),
@@ -35,7 +45,7 @@ def partials(metrics: DataFrame, buckets: int = BUCKETS) -> DataFrame:
         F.sum("resolution_time").alias("resolution_time"), F.count("resolution_time").alias("resolution_times"),
         F.max("resolution_time").alias("longest"), F.min("resolution_time").alias("shortest"),
         F.sum(money_or_zero(F.col("refund_amount"))).alias("refunds"),
-        F.sum(money_or_zero(F.col("total_revenue_impact"))).alias("impact"))
+        F.sum(money_or_zero(F.col("total_revenue_impact"))).alias("impact")).drop("_part")
 
 
 def merged(parts: DataFrame) -> DataFrame:
@@ -74,7 +84,7 @@ class RunningDashboard:
             touched = sorted(r[0] for r in changed.select(ticket_bucket(F.col("ticket_id"), buckets)).distinct().collect())
             metrics = metrics.filter(ticket_bucket(F.col("ticket_id"), buckets).isin(touched))
         if touched:
-            self.table.replace(partials(metrics, buckets), touched)
+            self.table.replace(partials(metrics, buckets), touched, dealt=True)
         return len(touched)
 
     def board(self) -> DataFrame:

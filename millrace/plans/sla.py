@@ -79,6 +79,7 @@ FACT_COLUMNS = ("ticket_sk", "ticket_created_date_sk", "ticket_created_time_sk",
                 "batch_id", "total_event_count")
 
 
+DASHBOARD_DIMS = ("driver", "restaurant")  # the dashboard names no others
 DIMENSION_KEYS = ("customer_sk", "driver_sk", "restaurant_sk", "channel_sk", "priority_sk", "reason_sk")
 
 
@@ -93,22 +94,24 @@ def sla_metrics(base: DataFrame, dims: Mapping[str, DataFrame],
     """Per-ticket SLA with fact attributes and dimension names.
 
     ``base`` comes from :func:`with_fact`; ``dims`` holds ``customer, driver, restaurant, channel,
-    priority, reason``. ``keys`` is for :func:`star_join`.
+    priority, reason``, or those whose names are wanted. ``keys`` is for :func:`star_join`.
     """
-    named = star_join(base, [
-        (dims["customer"], "customer_sk", {"city_name": "customer_city"}),
-        (dims["driver"], "driver_sk", {"city_name": "driver_city"}),
-        (dims["restaurant"], "restaurant_sk",
-         {"restaurant_name": "restaurant_name", "city_name": "restaurant_city"}),
-        (dims["channel"], "channel_sk", {"channel_name": "channel_name"}),
-        (dims["priority"], "priority_sk", {"priority_name": "priority_name"}),
-        (dims["reason"], "reason_sk", {"reason_name": "reason_name"}),
-    ], max_rows, keys)
+    names = {
+        "customer": {"city_name": "customer_city"},
+        "driver": {"city_name": "driver_city"},
+        "restaurant": {"restaurant_name": "restaurant_name", "city_name": "restaurant_city"},
+        "channel": {"channel_name": "channel_name"},
+        "priority": {"priority_name": "priority_name"},
+        "reason": {"reason_name": "reason_name"},
+    }
+    wanted = {d: n for d, n in names.items() if d in dims}
+    named = star_join(base, [(dims[d], f"{d}_sk", n) for d, n in wanted.items()], max_rows, keys)
     defaults = {"customer_city": "UNKNOWN", "driver_city": "UNKNOWN", "restaurant_name": "UNKNOWN",
                 "restaurant_city": "UNKNOWN", "channel_name": "UNKNOWN",
                 "priority_name": "STANDARD", "reason_name": "OTHER"}
+    found = {c for n in wanted.values() for c in n.values()}
     return named.select(*[c for c in base.columns if c not in DIMENSION_KEYS],
-                        *[F.coalesce(n, F.lit(v)).alias(n) for n, v in defaults.items()])
+                        *[F.coalesce(n, F.lit(v)).alias(n) for n, v in defaults.items() if n in found])
 
 
 def sla_dashboard(metrics: DataFrame, refreshed_at: Column | None = None) -> DataFrame:

@@ -117,6 +117,34 @@ def test_star_join_shuffles_no_row_for_few_values(spark, no_broadcast):
     assert "_salt" in plan(joins.star_join(fact.withColumn("k", F.col("id")), [(dim, "k", {"name": "n"})], max_rows=0))
 
 
+def test_running_dashboard_deals_its_rows_once(spark, no_broadcast):
+    """Tickets told apart, groups summed and buckets written after one exchange; a ticket that stands twice counts once."""
+    from pyspark.sql import functions as F
+
+    from millrace.plans import dashboard, sla
+    from millrace.session import staged
+
+    i = F.col("id")
+    flag = lambda c: F.when(i % 7 > 0, c)
+    metrics = staged(spark.range(3000).select(
+        (i % 2500).cast("string").alias("ticket_id"),
+        F.when(i % 11 == 0, "UNKNOWN").otherwise(F.concat(F.lit("c"), i % 3)).alias("restaurant_city"),
+        F.concat(F.lit("r"), i % 5).alias("restaurant_name"), F.lit("d").alias("driver_city"),
+        flag(i % 3 == 0).alias("first_response_breached"), flag(i % 4 == 0).alias("resolution_breached"),
+        (i % 6 == 0).alias("is_reopened"), flag(i % 90).alias("first_response_time"), flag(i % 900).alias("resolution_time"),
+        flag((i / 4).cast("decimal(18,2)")).alias("refund_amount"), (i / 2).cast("decimal(18,2)").alias("total_revenue_impact"),
+    ), "metrics")
+    parts = dashboard.partials(metrics)
+    assert plan(parts).count("Arguments: hashpartitioning(") == 1
+    whole = sla.sla_dashboard(metrics).drop("view_refreshed_at")
+    assert sorted(map(tuple, dashboard.merged(parts).collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_dashboard_joins_only_the_names_it_shows(spark):
+    text = plan(analytics.dashboard(spark, SF))
+    assert "customer.parquet" not in text and text.count("supplier.parquet")
+
+
 def test_log_tail_is_cut_by_split_first(spark, tmp_path):
     from millrace.sources.reports import read_log_text
 
