@@ -132,25 +132,43 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], ho
 
 
 def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, dict[str, str]]],
-              max_rows: int = BROADCAST_ROWS, keys: DataFrame | None = None) -> DataFrame:
+              max_rows: int = BROADCAST_ROWS, keys: DataFrame | None = None, by: str | None = None) -> DataFrame:
     """Left join a fact to dimensions. Each entry is (dimension, key, {column: output name});
     only the named columns are read from the dimension. The hot keys of all large dimensions come from
     one pass over the fact, so every dimension adds one scan to the plan; where all values of a key are hot, their
     few rows are broadcast and the fact is not shuffled for it. ``keys`` is a cheaper table with every key of ``fact``, where
-    there is one."""
+    there is one. With its column ``by``, the one that ``fact`` lies by, it is written, joined to the large dimensions
+    in place of ``fact``, and meets it by that column; it then has every combination of ``by`` and keys in ``fact``."""
     picked = [d.select(key, *[F.col(c).alias(n) for c, n in names.items()]) for d, key, names in dims]
     fitting = which_fit(picked, max_rows)
     large = sorted({key for fits, (_, key, _) in zip(fitting, dims) if not fits})
+    if keys is not None and by and large:
+        keys = staged(keys.select(by, *large), "star-keys")
     hot, only_hot = hot_values(fact if keys is None else keys, large) if large else ({}, set())
+    salted = [k for k in large if k not in only_hot]
     out = fact
+    named = keys.select(by, *salted) if keys is not None and by and salted else None
     for dim, fits, (_, key, _) in zip(picked, fitting, dims):
         if fits:
             out = out.join(F.broadcast(dim), key, "left")
         elif key in only_hot:
             out = out.join(F.broadcast(dim.join(F.broadcast(hot[key]), key, "left_semi")), key, "left")
+        elif named is not None:
+            named = salted_join(named, dim, [key], hot=hot[key])
         else:
             out = salted_join(out, dim, [key], hot=hot[key])
-    return out
+    return out if named is None else _meet(out, named, by, salted)
+
+
+def _meet(fact: DataFrame, named: DataFrame, by: str, keys: Sequence[str]) -> DataFrame:
+    """``fact`` with the columns that ``named`` has for its ``by`` and keys. The keys are compared beside the join, not joined
+    on, so that a fact that lies by ``by`` is not shuffled."""
+    once = named.repartition(by).distinct().withColumnsRenamed({k: f"_r_{k}" for k in (by, *keys)})
+    same = F.col(by) == F.col(f"_r_{by}")
+    for k in keys:
+        left, right = F.col(k), F.col(f"_r_{k}")
+        same = same & F.coalesce(left == right, left.isNull() & right.isNull())
+    return fact.join(once, same, "left").drop(*[f"_r_{k}" for k in (by, *keys)])
 
 
 def flag_members(df: DataFrame, members: DataFrame, column: str, ref_column: str, flag: str,

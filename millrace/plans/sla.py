@@ -94,7 +94,7 @@ def sla_metrics(base: DataFrame, dims: Mapping[str, DataFrame],
     """Per-ticket SLA with fact attributes and dimension names.
 
     ``base`` comes from :func:`with_fact`; ``dims`` holds ``customer, driver, restaurant, channel,
-    priority, reason``, or those whose names are wanted. ``keys`` is for :func:`star_join`.
+    priority, reason``, or those whose names are wanted. ``keys`` is for :func:`star_join`, which meets it by ``ticket_id``.
     """
     names = {
         "customer": {"city_name": "customer_city"},
@@ -105,7 +105,7 @@ def sla_metrics(base: DataFrame, dims: Mapping[str, DataFrame],
         "reason": {"reason_name": "reason_name"},
     }
     wanted = {d: n for d, n in names.items() if d in dims}
-    named = star_join(base, [(dims[d], f"{d}_sk", n) for d, n in wanted.items()], max_rows, keys)
+    named = star_join(base, [(dims[d], f"{d}_sk", n) for d, n in wanted.items()], max_rows, keys, "ticket_id")
     defaults = {"customer_city": "UNKNOWN", "driver_city": "UNKNOWN", "restaurant_name": "UNKNOWN",
                 "restaurant_city": "UNKNOWN", "channel_name": "UNKNOWN",
                 "priority_name": "STANDARD", "reason_name": "OTHER"}

@@ -117,6 +117,32 @@ def test_star_join_shuffles_no_row_for_few_values(spark, no_broadcast):
     assert "_salt" in plan(joins.star_join(fact.withColumn("k", F.col("id")), [(dim, "k", {"name": "n"})], max_rows=0))
 
 
+def test_star_join_meets_the_fact_by_its_own_column(spark, no_broadcast):
+    """Large dimensions are joined to the keys alone. Copies, several keys under one id, null and unknown keys stay as they are."""
+    from pyspark.sql import functions as F
+
+    from millrace.session import staged
+
+    i = F.col("id")
+    rows = spark.range(4000).select((i % 3000).alias("t"), F.when(i % 9 > 0, i % 600).alias("a"), F.when(i % 4 > 0, i % 700).alias("b"),
+                                    F.when(i % 5 > 0, i % 3).alias("c"), (i % 2).alias("v"))
+    fact = rows.union(rows.limit(50)).groupBy("t", "a", "b", "c", "v").agg(F.count("*").alias("n"))
+    fact = staged(fact.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n")))).drop("copy", "n"), "fact")
+    dims = [(spark.range(5, 650).select(i.alias(k), F.concat(F.lit(k), i).alias("name")), k, {"name": f"{k}_name"}) for k in "abc"]
+    want = fact
+    for dim, k, names in dims:
+        want = want.join(dim.withColumnsRenamed(names), k, "left")
+    got = joins.star_join(fact, dims, max_rows=0, keys=fact.select("t", "a", "b", "c"), by="t")
+    placed = joins.star_join(fact.repartition("t"), dims, max_rows=0, keys=fact.select("t", "a", "b", "c"), by="t")
+    order = sorted(want.columns)
+    whole = sorted(map(tuple, want.select(*order).collect()), key=repr)
+    assert len(whole) == 4050 and sorted(got.columns) == order
+    assert sorted(map(tuple, got.select(*order).collect()), key=repr) == whole
+    assert sorted(map(tuple, placed.select(*order).collect()), key=repr) == whole
+    # one deals the fact by t, one the names
+    assert len(re.findall(r"hashpartitioning\(t#", plan(placed))) == 2 and "hashpartitioning(a#" in plan(placed)
+
+
 def test_running_dashboard_deals_its_rows_once(spark, no_broadcast):
     """Tickets told apart, groups summed and buckets written after one exchange; a ticket that stands twice counts once."""
     from pyspark.sql import functions as F
