@@ -124,13 +124,14 @@ def ngrams(hashes: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray,
     return out, text
 
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 _BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def modest_batches(spark: SparkSession) -> None:
     """Arrow batches of ``BATCH_BYTES`` from now on, unless the session names a bound of its own: a batch exists several
-    times over in the JVM, the socket and the worker, beside whatever else the stage holds."""
+    times over in the JVM, the socket and the worker, beside whatever else the stage holds. Buffers double as they fill, so
+    larger batches outgrow the chunks of 4 MB in which the JVM keeps and reuses Arrow memory."""
     if spark.conf.get(_BATCHES).rstrip("b") == str(64 << 20):
         spark.conf.set(_BATCHES, str(BATCH_BYTES))
 

@@ -34,13 +34,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.bytewords import VISIBLE, chunks, mix, modest_batches, ngrams
+from millrace.llm.bytewords import BATCH_BYTES, VISIBLE, chunks, mix, modest_batches, ngrams
 from millrace.llm.components import components
 from millrace.session import staged
 
 BROADCAST_ROWS = 1_000_000  # rows of two or three numbers
 ENTRIES = 400_000           # postings a task sorts at once
 FLUSH_BYTES = 8 << 20       # text whose postings a task holds before passing them on
+ROW_POSTINGS = 8192         # postings in a row, 13 bytes each
+BATCH_ROWS = 65_536         # short rows in an Arrow batch that a task gives back
 POSTED = 500_000            # sets a task remembers to have posted
 STAR_ROUNDS, STAR_PAIRS = 2, 6
 PROBES = 32                 # smallest signatures of a set at each level, by which groups are formed first
@@ -177,11 +179,36 @@ def _allowed(bands: Bands) -> list[str]:
             f"cast(size(filter(array({edges}), e -> e <= n)) - 1 as int) as band"]
 
 
+def _packed(held: list[tuple], shares: int):
+    """Batches ``share, signature, node, code`` of the held postings. A batch is small enough to fit the chunks in
+    which the JVM keeps Arrow memory; larger ones are allocated one by one, and executors do not give that back."""
+    signature, node, code = (np.concatenate(x) for x in zip(*held))
+    share = (signature % np.uint64(shares)).astype(np.int32)
+    order = np.argsort(share, kind="stable")
+    # Within a share 32 bits tell signatures apart well enough: a false match only costs a look.
+    short = (signature[order] >> np.uint64(32)).astype(np.uint32)
+    share, node, code = share[order], node[order], code[order]
+    first = np.flatnonzero(np.append(True, share[1:] != share[:-1])[:len(share)])
+    ends = np.append(first[1:], len(share))
+    cuts = [(at, min(at + ROW_POSTINGS, end)) for begin, end in zip(first.tolist(), ends.tolist())
+            for at in range(begin, end, ROW_POSTINGS)]
+    cut = lambda x, some: pa.array([x[at:to].tobytes() for at, to in some], pa.binary())
+    size, some = 0, []
+    for i, (at, to) in enumerate(cuts):
+        some.append((at, to))
+        size += to - at
+        if size > BATCH_BYTES // 26 or i == len(cuts) - 1:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(share[[at for at, _ in some]]), cut(short, some), cut(node, some), cut(code, some)],
+                ["share", "signature", "node", "code"])
+            size, some = 0, []
+
+
 def _matched_weight(docs: DataFrame, scheme: Scheme, words: int, shares: int) -> DataFrame:
     """``node, level, matched``: weight of the segments of each set that match one of another set.
 
-    Postings travel as packed arrays, one row for a run of texts and a share of the signatures, and
-    are sorted in the task that gets the share."""
+    Postings travel as packed arrays, rows of at most ``ROW_POSTINGS`` for a run of texts and a share of the
+    signatures, and are sorted in the task that gets the share."""
     def post(batches):
         posted: set[int] = set()  # sets this task has posted: copies add nothing
         for batch in batches:
@@ -202,23 +229,10 @@ def _matched_weight(docs: DataFrame, scheme: Scheme, words: int, shares: int) ->
                     held.append((signature, node[own], (weight - 1 + 2 * deleted + 4 * level).astype(np.uint8)))
                 size += len(elements)
                 if size * 8 > FLUSH_BYTES:
-                    yield from packed(held)
+                    yield from _packed(held, shares)
                     held, size = [], 0
             if held:
-                yield from packed(held)
-
-    def packed(held):
-        signature, node, code = (np.concatenate(x) for x in zip(*held))
-        share = (signature % np.uint64(shares)).astype(np.int32)
-        order = np.argsort(share, kind="stable")
-        cuts = np.searchsorted(share[order], np.arange(shares + 1))
-        # Within a share 32 bits tell signatures apart well enough: a false match only costs a look.
-        short = (signature[order] >> np.uint64(32)).astype(np.uint32)
-        node, code = node[order], code[order]
-        full = [s for s in range(shares) if cuts[s] < cuts[s + 1]]
-        cut = lambda x: pa.array([x[cuts[s]:cuts[s + 1]].tobytes() for s in full], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), cut(short), cut(node), cut(code)],
-                                         ["share", "signature", "node", "code"])
+                yield from _packed(held, shares)
 
     def match(group: pa.Table) -> pa.Table:
         joined = lambda name, kind: np.frombuffer(b"".join(group.column(name).to_pylist()), kind)
@@ -247,7 +261,8 @@ def _matched_weight(docs: DataFrame, scheme: Scheme, words: int, shares: int) ->
             total = np.bincount(where, weights=(code[mine] & 1) + 1.0, minlength=len(key)).astype(np.int64)
             found.append((key, np.full(len(key), level, np.int32), total))
         key, level, total = (np.concatenate(x) for x in zip(*found))
-        return pa.table({"node": key, "level": level, "matched": total})
+        found = pa.table({"node": key, "level": level, "matched": total})
+        return pa.Table.from_batches(found.to_batches(max_chunksize=BATCH_ROWS), found.schema)
 
     posted = docs.select("text").mapInArrow(post, "share int, signature binary, node binary, code binary")
     return (posted.groupBy("share").applyInArrow(match, "node bigint, level int, matched bigint")
@@ -291,11 +306,13 @@ def _postings(sets: DataFrame, scheme: Scheme) -> DataFrame:
                 open_ = batch.column(name).to_numpy(zero_copy_only=False)
                 own, segment, signature, weight, deleted = scheme.postings(elements, owner, sizes, level)
                 k = open_[own]
-                yield pa.RecordBatch.from_arrays(
+                made = pa.RecordBatch.from_arrays(
                     [pa.array(x) for x in (signature[k].view(np.int64), node[own[k]], sizes[own[k]],
                                            np.full(k.sum(), level, np.int32), segment[k], weight[k].astype(np.int32),
                                            deleted[k], _smallest(own, signature, deleted)[k])],
                     ["signature", "node", "n", "level", "segment", "weight", "deleted", "probe"])
+                for at in range(0, made.num_rows, BATCH_ROWS // 2):
+                    yield made.slice(at, BATCH_ROWS // 2)
 
     return sets.select("node", "n", "elements", "own", "low").mapInArrow(
         run, "signature bigint, node bigint, n bigint, level int, segment bigint, weight int, deleted boolean, probe boolean")

@@ -21,6 +21,7 @@ _LETTERS = ((_BYTES >= 65) & (_BYTES <= 90), (_BYTES >= 97) & (_BYTES <= 122), _
 _CLASSES = (*_LETTERS, (_BYTES >= 48) & (_BYTES <= 57), np.isin(_BYTES, list(b".,;:?")), _BYTES == 33,
             np.isin(_BYTES, list(b"#$%&*@^~")), np.isin(_BYTES, list(b"|<>{}[]\\")), _BYTES == 10)
 FEATURES = len(_CLASSES) + 8
+_PAIRS = [(i, j) for i in range(FEATURES) for j in range(i, FEATURES)]
 _FLOOR = 0.02
 
 
@@ -110,32 +111,27 @@ def discriminant(moments: dict[int, tuple[float, np.ndarray, np.ndarray]], poole
                               for m, s in zip(means, own)), log_prior, temper)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text") -> Discriminant:
-    """The discriminant of all labelled documents. ``labels``: one ``key`` and ``label`` (0 or 1) each; other
-    and null labels are left out. Moments are summed where the rows are; the driver gets one number for
-    each pair of statistics."""
+def class_moments(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``label, rows, sums, products`` of each class: sums of the statistics, and of their products in pairs
+    (i, j), i <= j. Only the statistics need Python; they are summed in the JVM, so a task has one worker."""
+    modest_batches(docs.sparkSession)
     stats = over_texts(docs, key, text, "stats array<double>", lambda column: [_lists(statistics(column))])
     known = stats.join(labels.filter(F.col(label).isin(0, 1)).select(key, F.col(label).cast("int").alias("label")), key)
+    one = [F.col("stats")[i] for i in range(FEATURES)]
+    return known.groupBy("label").agg(
+        F.count(F.lit(1)).alias("rows"), F.array(*[F.sum(x) for x in one]).alias("sums"),
+        F.array(*[F.sum(one[i] * one[j]) for i, j in _PAIRS]).alias("products"))
+
 
-    def partial(batches):
-        for batch in batches:
-            label_of = batch.column("label").to_numpy()
-            rows = _rows(batch.column("stats"))
-            for c in (0, 1):
-                x = rows[label_of == c]
-                sums = np.concatenate([[len(x)], x.sum(axis=0), (x.T @ x).ravel()])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(sums), c, np.int32)), pa.array(np.arange(len(sums), dtype=np.int32)),
-                     pa.array(sums)], ["label", "place", "value"])
-
-    sums = (known.select("label", "stats").mapInArrow(partial, "label int, place int, value double")
-            .groupBy("label", "place").agg(F.sum("value").alias("value")).collect())
+def fit(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text") -> Discriminant:
+    """The discriminant of all labelled documents. ``labels``: one ``key`` and ``label`` (0 or 1) each; other
+    and null labels are left out. The driver gets one number for each pair of statistics."""
     moments = {}
-    for c in (0, 1):
-        v = np.array([r["value"] for r in sorted((r for r in sums if r["label"] == c), key=lambda r: r["place"])])
-        if len(v) and v[0]:
-            d = FEATURES
-            moments[c] = (v[0], v[1:1 + d], v[1 + d:].reshape(d, d))
+    for row in class_moments(docs, labels, label, key, text).collect():
+        products = np.zeros((FEATURES, FEATURES))
+        for (i, j), value in zip(_PAIRS, row["products"]):
+            products[i, j] = products[j, i] = value
+        moments[row["label"]] = (float(row["rows"]), np.array(row["sums"]), products)
     return discriminant(moments)
 
 
@@ -144,10 +140,6 @@ def _lists(rows: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel()))
 
 
-def _rows(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, FEATURES)
-
-
 def score(docs: DataFrame, model: Discriminant, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, score`` of every row; null and empty texts are scored as texts without words."""
     return over_texts(docs, key, text, "score double", lambda column: [pa.array(model.score(statistics(column)))])

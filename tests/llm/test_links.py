@@ -289,3 +289,20 @@ def test_a_group_is_asked_once_whatever_its_size(spark, monkeypatch):
     got = jaccard_join.similar_documents(docs)
     assert sorted(map(tuple, got.collect())) == plain_components(rows)
     assert counts[0] == 40 and sum(counts[1:]) <= 8 * jaccard_join.STAR_PAIRS + 8 * 7 / 2
+
+
+@pytest.mark.parametrize("postings, shares", [(0, 8), (7, 8), (600_000, 8), (300_000, 900)])
+def test_postings_travel_in_small_batches(postings, shares):
+    """A flush of postings is one set of rows, however many batches bring them: none is larger than a batch may be."""
+    rng = np.random.default_rng(3)
+    signature = rng.integers(0, 2**63, postings).astype(np.uint64)
+    node, code = rng.integers(-2**62, 2**62, postings), rng.integers(0, 8, postings).astype(np.uint8)
+    half = postings // 2
+    batches = list(jaccard_join._packed([(signature[:half], node[:half], code[:half]), (signature[half:], node[half:], code[half:])], shares))
+    assert all(b.nbytes <= 1 << 20 for b in batches)
+    rows = [r for b in batches for r in b.to_pylist()]
+    assert all(0 < len(r["code"]) <= jaccard_join.ROW_POSTINGS for r in rows)
+    got = sorted((r["share"], int(s), int(n), int(c)) for r in rows for s, n, c in zip(
+        np.frombuffer(r["signature"], np.uint32), np.frombuffer(r["node"], np.int64), np.frombuffer(r["code"], np.uint8)))
+    assert got == sorted(zip((signature % np.uint64(shares)).astype(int).tolist(), (signature >> np.uint64(32)).astype(int).tolist(),
+                             node.tolist(), code.tolist()))

@@ -97,6 +97,21 @@ def test_classifiers_with_few_labels(spark, odd_docs, no_docs, rows):
     assert quality.accepted(odd_docs, model, 0.0).count() == odd_docs.count()
 
 
+def test_moments_need_one_worker_a_task(spark):
+    """Two Python steps in one stage keep two workers a task, beside those of the stage before."""
+    docs = spark.createDataFrame([(i, f"some text {i} " * (1 + i % 7) + "." * (i % 3)) for i in range(40)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 3) for i in range(40)], "doc_id bigint, label int")
+    found = quality.class_moments(docs, labels, "label")
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    x = quality.statistics(pa.array([r.text for r in docs.orderBy("doc_id").collect()]))
+    rows = {r.label: r for r in found.collect()}
+    assert set(rows) == {0, 1}
+    for c, r in rows.items():
+        own = x[c::3]
+        assert r.rows == len(own) and np.allclose(r.sums, own.sum(axis=0))
+        assert np.allclose(r.products, (own.T @ own)[np.triu_indices(quality.FEATURES)])
+
+
 def test_repeated_keys_teach_once(spark, monkeypatch):
     docs = [(1, f"text number {i}") for i in range(50)] + [(2, "another"), (3, "third")]
     labels = [(1, 1), (1, 1), (2, 0), (2, 0), (3, 1)]
