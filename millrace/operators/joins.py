@@ -180,6 +180,22 @@ def flag_members(df: DataFrame, members: DataFrame, column: str, ref_column: str
             .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
 
 
+def unknown_keys(df: DataFrame, members: DataFrame, column: str, ref_column: str,
+                 max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The distinct values of ``column`` that do not occur in ``members.ref_column``, written. Only keys are read and shuffled."""
+    keys, held = (d.filter(F.col(column).isNotNull()).distinct()
+                  for d in (df.select(column), members.select(F.col(ref_column).alias(column))))
+    return staged(keys.join(F.broadcast(held) if fits_broadcast(held, max_rows) else held, column, "left_anti"), "unknown-keys")
+
+
+def flag_unless(df: DataFrame, unknown: DataFrame, column: str, flag: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """:func:`flag_members` from the :func:`unknown_keys`: while these are few, no row of ``df`` is shuffled."""
+    if unknown.isEmpty():
+        return df.withColumn(flag, F.col(column).isNotNull())
+    found = lookup_join(df, unknown.withColumn(flag, F.lit(False)), column, "left", max_rows)
+    return found.withColumn(flag, F.coalesce(F.col(flag), F.col(column).isNotNull()))
+
+
 def not_in_target(batch: DataFrame, target: DataFrame, keys: Sequence[str],
                   max_rows: int = BROADCAST_ROWS, wanted: DataFrame | None = None) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``target`` yet.

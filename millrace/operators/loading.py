@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace.operators.buckets import BUCKETS, BucketedTable
 from millrace.operators.joins import fits_broadcast, not_in_target
 from millrace.operators.validation import flag_duplicates
-from millrace.session import staged
+from millrace.session import CODEC, scratch_path, staged
 
 MOST_BUCKETS = 1024
 
@@ -75,7 +75,11 @@ class Lake:
 
         Only a table that gets other columns, or is partitioned, has to be dropped and created."""
         path = f"{self.root}/{table.lower()}/{version or uuid.uuid4().hex}"
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        df.write.mode("overwrite").option("compression", CODEC).partitionBy(*partition_by).parquet(path)
+        self._point(table, path, df, partition_by)
+
+    def _point(self, table: str, path: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
+        """Let the table be the folder ``path``, written from ``df`` or frames like it."""
         if self.bucketed(table).exists():
             self.spark.sql(f"drop view {self.name(table)}")
         elif self.exists(table):
@@ -84,7 +88,7 @@ class Lake:
                 self.spark.catalog.refreshTable(self.name(table))
                 return
             self.spark.sql(f"drop table {self.name(table)}")  # external: data stays
-        self.spark.sql(f"create table {self.name(table)} using parquet location '{path}'")
+        self.spark.sql(f"create table {self.name(table)} using parquet options (compression '{CODEC}') location '{path}'")
         if partition_by:
             self.spark.catalog.recoverPartitions(self.name(table))
 
@@ -108,12 +112,24 @@ class Lake:
         (df.select(*self.read(table).columns).write.mode("append").format("parquet")
          .partitionBy(*partition_by).saveAsTable(self.name(table)))
 
+    def append_parts(self, table: str, parts: Iterable[DataFrame]) -> None:
+        """Append frames with the same columns, each evaluated and written before the next is asked for. Readers see
+        none or all of them."""
+        new = not self.exists(table)
+        path = f"{self.root}/{table.lower()}/first" if new else scratch_path(self.spark, "parts")
+        for n, part in enumerate(parts):
+            part.write.mode("append" if n else "overwrite").option("compression", CODEC).parquet(path)
+        if new:
+            self._point(table, path, part)
+        else:
+            self.append(table, self.spark.read.schema(part.schema).parquet(path))
+
     def insert_absent(self, table: str, df: DataFrame, keys: Sequence[str],
                       partition_by: Sequence[str] = (), unique: bool = False) -> LoadResult:
         """First load, or append of the keys not held yet; running it again adds nothing.
 
         The batch is evaluated once and counted on the way. ``unique`` says that it holds every key once
-        and is a written table already (validated rows are)."""
+        and comes from a written table, so that its keys can be read again (validated rows are such)."""
         seen, added = Observation(), Observation()
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         fresh = one_per_key(counted, keys) if keys and not unique else counted

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from millrace.operators.validation import (
     EXPIRED, INVALID, NO_REASONS, ORPHAN, REASONS, RETRIES, STATUS, VALID,
 )
+from millrace.session import CODEC
 
 RUN_ID, PROCESSED_AT = "pipeline_run_id", "_processed_at"
 
@@ -65,22 +66,29 @@ def stage_by_status(df: DataFrame, path: str) -> DataFrame:
     """Write the validated rows once, one folder per status, and read them back."""
     schema = df.schema
     # static: a repeated run must not leave rows of an earlier outcome behind
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", CODEC)
      .partitionBy(STATUS).parquet(path))
     return df.sparkSession.read.schema(schema).parquet(path).select(*df.columns)
 
 
 def route(df: DataFrame, table_name: str, run_id: str, max_retries: int = 3,
-          stage: str | None = None) -> Routed:
+          stage: str | None = None, stage_valid: bool = True) -> Routed:
+    """Without ``stage_valid`` only the rows that are not valid are written to ``stage``; ``df`` is evaluated
+    again where the valid ones are read. It must come from written tables, so that it has the same outcome then."""
     ready = prepare_routing(df, table_name, run_id, max_retries)
-    return split_by_status(stage_by_status(ready, stage) if stage else ready)
+    if not stage:
+        return split_by_status(ready)
+    if stage_valid:
+        return split_by_status(stage_by_status(ready, stage))
+    others = split_by_status(stage_by_status(ready.filter(F.col(STATUS) != VALID), stage))
+    return Routed(split_by_status(ready).valid, others.quarantine, others.waiting)
 
 
 def write_quarantine(df: DataFrame, root: str, table_name: str, process_date: str, run_id: str) -> None:
     """One folder per table, day and run: ``root/table_name=/process_date=/pipeline_run_id=``. A
     repeated run replaces its own folder."""
     folder = f"{root}/table_name={table_name}/process_date={process_date}/{RUN_ID}={run_id}"
-    df.drop(RUN_ID).write.mode("overwrite").parquet(folder)
+    df.drop(RUN_ID).write.mode("overwrite").option("compression", CODEC).parquet(folder)
 
 
 def read_quarantine(spark: SparkSession, root: str, table_name: str) -> DataFrame:
@@ -129,7 +137,7 @@ class WaitingRoom:
 
     def leave(self, df: DataFrame, cycle: int) -> None:
         folder = f"{self.folder}/cycle={cycle}"
-        df.write.mode("overwrite").parquet(f"{folder}/state={self._highest(folder, 'state') + 1}")
+        df.write.mode("overwrite").option("compression", CODEC).parquet(f"{folder}/state={self._highest(folder, 'state') + 1}")
 
 
 def write_waiting(df: DataFrame, root: str, table_name: str, cycle: int) -> None:

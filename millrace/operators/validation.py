@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from millrace.contract import FileContract
 from millrace.functions import rules
-from millrace.operators.joins import HOT_SHARE, fits_broadcast, flag_members, salted_join
-from millrace.session import staged
+from millrace.operators.joins import HOT_SHARE, fits_broadcast, flag_members, flag_unless, salted_join, unknown_keys
+from millrace.session import ROW, staged
 
 STATUS, REASONS, RETRIES = "_record_status", "_error_reasons", "_retry_count"
 VALID, INVALID, ORPHAN = "VALID", "INVALID", "ORPHAN"
@@ -69,7 +69,7 @@ def check_files(files: DataFrame, expected: Sequence[str], path: str = "path") -
 # ---- duplicates -----------------------------------------------------------------------------
 
 def flag_duplicates(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column],
-                    policy: str = "keep_last", flag: str = "_duplicated") -> DataFrame:
+                    policy: str = "keep_last", flag: str = "_duplicated", row: str | None = None) -> DataFrame:
     """Mark repeated keys. ``keep_last`` spares the row that ``order_by`` puts last, ``all`` marks
     every copy. Null keys are copies of each other.
 
@@ -77,8 +77,12 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str], order_by: Sequence[Colum
     fixed width; only rows whose hash occurs again are aggregated by key, order and number, combined on the map
     side, so a key may hold any share of the rows. Only repeated keys come out, with the number of the row to spare. While
     hashes and keys are few they are broadcast and no row is shuffled; many hashes are not looked up, all rows are aggregated.
+
+    ``row`` is a column that tells the rows apart, where ``df`` comes from a written table (see ``named_rows``). Then ``df`` is
+    not written but evaluated up to three times, first for the keys alone.
     """
-    rows = staged(df.withColumn("_row", F.monotonically_increasing_id()), "numbered").withColumn("_key", F.struct(*keys))
+    rows = df.withColumn("_row", F.col(row)) if row else staged(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    rows = rows.withColumn("_key", F.struct(*keys))
     hashes = staged(rows.groupBy(F.xxhash64("_key").alias("_hash")).agg(F.count(F.lit(1)).alias("_n"))
                     .filter("_n > 1").select("_hash"), "repeated-hashes")
     plain = [f"`{c}`" for c in df.columns]
@@ -87,7 +91,7 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str], order_by: Sequence[Colum
     some = rows
     if fits_broadcast(hashes, HASH_ROWS):
         some = rows.withColumn("_hash", F.xxhash64("_key")).join(F.broadcast(hashes), "_hash", "left_semi")
-    spared = F.lit(None).cast("bigint") if policy == "all" else F.max_by("_row", F.struct(*order_by, "_row"))
+    spared = F.lit(None).cast(rows.schema["_row"].dataType) if policy == "all" else F.max_by("_row", F.struct(*order_by, "_row"))
     repeated = staged(some.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), spared.alias("_spared"))
                       .filter("_n > 1").withColumn("_again", F.lit(True)), "repeated")
     lost = F.coalesce(F.col("_again"), F.lit(False)) & ~F.col("_row").eqNullSafe(F.col("_spared"))
@@ -129,7 +133,7 @@ def validate(df: DataFrame, contract: FileContract, *, bounds: str = "exclusive"
 
     Rules of one row are Column expressions in a single projection; only the key rule needs a
     shuffle (``duplicates=None`` leaves it out). Columns beyond the contract are kept;
-    ``extra_types`` casts those the caller knows.
+    ``extra_types`` casts those the caller knows. Rows named by ``named_rows`` are not written for the key rule; the names go.
     """
     outcome = check_columns(df, contract)
     if not outcome.ok:
@@ -168,16 +172,16 @@ def validate(df: DataFrame, contract: FileContract, *, bounds: str = "exclusive"
     if duplicates and contract.primary_keys:
         names = order_by or [n for n in ("updated_at",) if n in typed]
         # the contract's columns decide first; what else tells two rows apart makes the choice repeatable
-        rest = [n for n, t in shown.dtypes if n not in typed and not t.startswith("map")]
+        rest = [n for n, t in shown.dtypes if n not in typed and n != ROW and not t.startswith("map")]
         order = [F.col(n) for n in [*names, *[n for n in typed if n not in names], *rest]]
-        shown = flag_duplicates(shown, contract.primary_keys, order, duplicates)
+        shown = flag_duplicates(shown, contract.primary_keys, order, duplicates, row=ROW if ROW in df.columns else None)
         checks["duplicated"] = [(k, F.col("_duplicated")) for k in contract.primary_keys]
 
     failed = F.lit(False)
     for hits in checks.values():
         for _, bad in hits:
             failed = failed | bad
-    carried = [n for n in others if n not in (STATUS, REASONS, RETRIES)]
+    carried = [n for n in others if n not in (STATUS, REASONS, RETRIES, ROW)]
     retries = F.col(RETRIES) if RETRIES in df.columns else F.lit(0)
     # the map is only built for failing rows
     return shown.select(
@@ -189,16 +193,18 @@ def validate(df: DataFrame, contract: FileContract, *, bounds: str = "exclusive"
 
 
 def mark_orphans(df: DataFrame, parents: Mapping[str, tuple[DataFrame, str]],
-                 null_fk: str = "pass") -> DataFrame:
+                 null_fk: str = "pass", keys_first: bool = False) -> DataFrame:
     """Give VALID rows whose foreign key has no parent the status ORPHAN.
 
     ``parents`` maps a foreign-key column to (parent table, parent key). A null key passes unless
-    ``null_fk="orphan"``. Invalid rows stay invalid.
+    ``null_fk="orphan"``. Invalid rows stay invalid. ``keys_first`` is for a ``df`` that comes from a written table: the keys
+    without a parent are found on the keys alone and written, so the outcome is settled and ``df`` may be evaluated again.
     """
     out, lost = df, []
     for column, (parent, ref) in parents.items():
         flag = f"_known_{column}"
-        out = flag_members(out, parent, column, ref, flag)
+        out = (flag_unless(out, unknown_keys(df, parent, column, ref), column, flag) if keys_first
+               else flag_members(out, parent, column, ref, flag))
         unknown = ~F.col(flag)
         if null_fk == "pass":
             unknown = unknown & F.col(column).isNotNull()

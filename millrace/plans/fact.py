@@ -85,19 +85,27 @@ def moment_keys() -> dict[str, Column]:
     return keys
 
 
-def fact_rows(tickets: DataFrame, orders: DataFrame, activity: DataFrame, batch_id: str,
+TICKET = ("ticket_id", "order_id", "status", "created_at", "refund_amount")
+BOUGHT = ("order_status", "order_amount", "discount_amount", "delivery_fee", "total_amount", "order_created_at",
+          "delivered_at")
+
+
+def with_orders(tickets: DataFrame, orders: DataFrame) -> DataFrame:
+    """Tickets that have an id, with the columns of their order."""
+    return tickets.filter(F.col("ticket_id").isNotNull()).join(orders.select("order_id", *BOUGHT), "order_id", "left")
+
+
+def fact_rows(tickets: DataFrame, orders: DataFrame | None, activity: DataFrame, batch_id: str,
               response_limit: Column | float = RESPONSE_LIMIT_MIN,
               resolution_limit: Column | float = RESOLUTION_LIMIT_MIN,
               keep: Sequence[str | Column] = ()) -> DataFrame:
     """One row per ticket, before keys: order amounts, refund, activity counts, timing, flags.
 
     Silver holds one row per key, so both joins keep the ticket grain. Orders come first: the narrow tickets are
-    shuffled for them, and rows leave the join with the activity placed by ticket. ``keep`` passes further
-    columns of the timing through.
+    shuffled for them, and rows leave the join with the activity placed by ticket; None where tickets come
+    from :func:`with_orders`. ``keep`` passes further columns of the timing through.
     """
-    bought = orders.select("order_id", "order_status", "order_amount", "discount_amount",
-                           "delivery_fee", "total_amount", "order_created_at", "delivered_at")
-    ordered_tickets = tickets.filter(F.col("ticket_id").isNotNull()).join(bought, "order_id", "left")
+    ordered_tickets = tickets if orders is None else with_orders(tickets, orders)
     rows = ticket_timing(ordered_tickets, activity, response_limit, resolution_limit)
     zero = F.lit(0).cast("decimal(18,2)")
     naturals = [n for n, _ in DIMENSION_KEYS.values() if n in rows.columns]
@@ -134,14 +142,21 @@ def fact_rows(tickets: DataFrame, orders: DataFrame, activity: DataFrame, batch_
     )
 
 
+def absent_tickets(tickets: DataFrame, existing: DataFrame | None) -> DataFrame:
+    """Tickets the fact does not hold yet."""
+    known = tickets.filter(F.col("ticket_id").isNotNull())
+    return known if existing is None else not_in_target(known, existing, ["ticket_id"])
+
+
+def keys_in_use(existing: DataFrame | None) -> DataFrame | int:
+    """The highest ticket key of the fact."""
+    return 0 if existing is None else max_key(existing, "ticket_sk")
+
+
 def new_tickets(tickets: DataFrame, existing: DataFrame | None) -> DataFrame:
     """Tickets the fact does not hold yet, numbered after the highest ticket key in use, in ticket
     order. Narrowing and numbering come first: the later joins then only see new tickets."""
-    known = tickets.filter(F.col("ticket_id").isNotNull())
-    if existing is None:
-        return number_by_key(known, "ticket_id", "ticket_sk")
-    fresh = not_in_target(known, existing, ["ticket_id"])
-    return number_by_key(fresh, "ticket_id", "ticket_sk", max_key(existing, "ticket_sk"))
+    return number_by_key(absent_tickets(tickets, existing), "ticket_id", "ticket_sk", keys_in_use(existing))
 
 
 def to_fact_schema(rows: DataFrame) -> DataFrame:

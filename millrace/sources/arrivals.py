@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from millrace.contract import FileContract
 from millrace.operators.joins import lookup_join
-from millrace.session import staged
+from millrace.session import CODEC, staged
 from millrace.sources.headers import all_names, headers, lacking, rows_by_header
 
 SOURCE = "_source_file"
@@ -127,7 +127,7 @@ def archived(spark: SparkSession, paths: Sequence[str], contract: FileContract,
             if problems.count() >= len(paths):
                 return None, problems
             stamped = rows.withColumn("_ingested_at", F.current_timestamp())
-            stamped.write.mode("overwrite").parquet(folder)
+            stamped.write.mode("overwrite").option("compression", CODEC).parquet(folder)
             return spark.read.schema(stamped.schema).parquet(folder), problems
         except Exception as error:  # a file that breaks off; everything else goes on to the caller
             name = broken_file(error)

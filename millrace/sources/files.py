@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from millrace.contract import ContractBook, FileContract
 from millrace.functions import rules
+from millrace.session import CODEC
 from millrace.sources.headers import read_by_header
 
 SUPPORTED = ("csv", "json")
@@ -166,7 +167,7 @@ def archive_raw(df: DataFrame, path: str, mode: str = "append") -> None:
     tasks at run time.
     """
     (df.withColumn("_ingested_at", F.current_timestamp()).hint("rebalance", "date", "hour").write.mode(mode)
-     .option("partitionOverwriteMode", "dynamic").partitionBy("date", "hour").parquet(path))
+     .option("partitionOverwriteMode", "dynamic").option("compression", CODEC).partitionBy("date", "hour").parquet(path))
 
 
 def hash_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:

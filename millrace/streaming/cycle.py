@@ -9,7 +9,7 @@ run again after a failure therefore changes nothing.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from fnmatch import fnmatch, translate
 
@@ -21,7 +21,8 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.contract import FileContract
 from millrace.functions.masking import hash_columns
 from millrace.operators import routing, tracking
-from millrace.operators.joins import only_for
+from millrace.operators.joins import BROADCAST_ROWS, fits_broadcast, only_for
+from millrace.operators.keys import number_by_key, number_rows
 from millrace.operators.ledger import FileLedger
 from millrace.operators.loading import Lake
 from millrace.operators.validation import mark_orphans, validate
@@ -29,7 +30,7 @@ from millrace.sources.arrivals import SOURCE, archived, arriving_files
 from millrace.sources.files import archive_raw
 from millrace.plans import fact as facts
 from millrace.plans import revenue, sla
-from millrace.session import staged
+from millrace.session import CODEC, named_rows, shuffles_removed, staged
 
 
 def without_repeats(source: DataFrame, columns: Sequence[str], within: str) -> DataFrame:
@@ -95,16 +96,17 @@ class StreamLoader:
         if "date" in batch.columns and "hour" in batch.columns:
             archive_raw(batch, path, "overwrite")
         else:
-            batch.withColumn("_ingested_at", F.current_timestamp()).write.mode("overwrite").parquet(path)
+            stamped = batch.withColumn("_ingested_at", F.current_timestamp())
+            stamped.write.mode("overwrite").option("compression", CODEC).parquet(path)
         stored = T.StructType([*batch.schema.fields, T.StructField("_ingested_at", T.TimestampType())])
         return self.lake.spark.read.schema(stored).parquet(path)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Body of ``foreachBatch``."""
-        raw = self.bronze(batch, batch_id).drop("_ingested_at")
+        raw = named_rows(self.bronze(batch, batch_id)).drop("_ingested_at")
         waiting = self.waiting_at(batch_id - 1)
         if waiting is not None:
-            raw = raw.unionByName(routing.as_text_like(waiting, dict(raw.dtypes)), allowMissingColumns=True)
+            raw = raw.unionByName(routing.as_text_like(named_rows(waiting), dict(raw.dtypes)), allowMissingColumns=True)
         self._load(raw, f"batch-{batch_id}", batch_id)
 
     def retry(self) -> bool:
@@ -119,22 +121,25 @@ class StreamLoader:
             return False
         kept = staged(waiting, "waiting")
         text = {f.name: f.dataType.simpleString() for f in self.contract.read_schema(self.extra_types).fields}
-        raw = routing.as_text_like(kept, text)
+        raw = routing.as_text_like(named_rows(kept), text)
         self._load(raw, f"retry-{last}-{uuid.uuid4().hex[:8]}", last)
         return True
 
     def _load(self, raw: DataFrame, run_id: str, cycle: int) -> None:
+        """``raw`` is a written table with named rows. It is evaluated again where that saves a copy of it: valid rows are
+        written once, to Silver. Which keys repeat or have no parent is written down, so every evaluation has the same outcome."""
         stem = self.contract.stem
-        checked = validate(raw, self.contract, bounds=self.bounds, extra_types=self.extra_types)
-        marked = mark_orphans(checked, self._known_parents())
-        routed = routing.route(marked, stem, run_id, self.max_retries,
-                               f"{self.store}/staged/{stem}/{run_id}")
-        routing.write_quarantine(routed.quarantine, f"{self.store}/quarantine", stem,
-                                 self.process_date, run_id)
-        clean = hash_columns(routed.valid, self.contract.pii_columns)
-        self.lake.insert_absent(self.table, clean.drop("date", "hour"), self.contract.primary_keys,
-                                self.partition_by, unique=True)
-        routing.write_waiting(routed.waiting, f"{self.store}/orphans", stem, cycle)
+        with shuffles_removed(self.lake.spark):
+            checked = validate(raw, self.contract, bounds=self.bounds, extra_types=self.extra_types)
+            marked = mark_orphans(checked, self._known_parents(), keys_first=True)
+            routed = routing.route(marked, stem, run_id, self.max_retries,
+                                   f"{self.store}/staged/{stem}/{run_id}", stage_valid=False)
+            routing.write_quarantine(routed.quarantine, f"{self.store}/quarantine", stem,
+                                     self.process_date, run_id)
+            clean = hash_columns(routed.valid, self.contract.pii_columns)
+            self.lake.insert_absent(self.table, clean.drop("date", "hour"), self.contract.primary_keys,
+                                    self.partition_by, unique=True)
+            routing.write_waiting(routed.waiting, f"{self.store}/orphans", stem, cycle)
 
     def start(self, source: DataFrame, every: str | None = None) -> StreamingQuery:
         """Run until the files on hand are read, or keep polling at an interval (``"1 hour"``)."""
@@ -191,10 +196,10 @@ class FileLoader(StreamLoader):
                                   [*self.contract.names, *self.extra_types])
         changed = False
         if rows is not None:
-            raw = rows.drop("_ingested_at", SOURCE)
+            raw = named_rows(rows).drop("_ingested_at", SOURCE)
             waiting = self.waiting_at(self.room.last(before=cycle))
             if waiting is not None:
-                raw = raw.unionByName(routing.as_text_like(waiting, dict(raw.dtypes)), allowMissingColumns=True)
+                raw = raw.unionByName(routing.as_text_like(named_rows(waiting), dict(raw.dtypes)), allowMissingColumns=True)
             self._load(raw, run_id, cycle)
             changed = True
         else:
@@ -245,23 +250,54 @@ class CycleJob:
         return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def update_fact(lake: Lake, batch_id: str, dims: Mapping[str, DataFrame] | None = None) -> bool:
+FACT, FACT_PARTS = "fact_ticket_lifecycle", 4
+
+
+def update_fact(lake: Lake, batch_id: str, dims: Mapping[str, DataFrame] | None = None, max_rows: int = BROADCAST_ROWS) -> bool:
     """Append the tickets the fact does not hold yet. False when a Silver table is missing.
 
-    A cycle brings few new tickets to large tables: orders and events are cut down to the new
-    tickets' rows before they are aggregated and joined.
+    Mostly a cycle brings few new tickets (at most ``max_rows``) to large tables: orders and events are cut down to the new
+    tickets' rows before they are aggregated and joined. Many are built in parts, see :func:`fact_in_parts`.
     """
     if lake.missing(facts.REQUIRED_TABLES):
         return False
-    existing = lake.read("fact_ticket_lifecycle") if lake.exists("fact_ticket_lifecycle") else None
-    tickets = facts.new_tickets(lake.read("silver_tickets"), existing)
-    events = only_for(lake.read("silver_ticket_events"), tickets, "ticket_id")
-    orders = only_for(lake.read("silver_orders"), tickets, "order_id")
-    rows = facts.fact_rows(tickets, orders, sla.ticket_activity(events), batch_id)
-    lake.append("fact_ticket_lifecycle", facts.to_fact_schema(facts.resolve_keys(rows, dims or {})))
+    with shuffles_removed(lake.spark):
+        existing = lake.read(FACT) if lake.exists(FACT) else None
+        tickets = facts.absent_tickets(lake.read("silver_tickets"), existing)
+        if fits_broadcast(tickets.select("ticket_id", "order_id"), max_rows):
+            tickets = number_by_key(tickets, "ticket_id", "ticket_sk", facts.keys_in_use(existing))
+            events = only_for(lake.read("silver_ticket_events"), tickets, "ticket_id")
+            orders = only_for(lake.read("silver_orders"), tickets, "order_id")
+            rows = facts.fact_rows(tickets, orders, sla.ticket_activity(events), batch_id)
+            lake.append(FACT, facts.to_fact_schema(facts.resolve_keys(rows, dims or {})))
+        else:
+            lake.append_parts(FACT, fact_in_parts(lake, tickets, facts.keys_in_use(existing), batch_id, dims or {}))
     return True
 
 
+def fact_in_parts(lake: Lake, tickets: DataFrame, base: DataFrame | int, batch_id: str, dims: Mapping[str, DataFrame],
+                  parts: int = FACT_PARTS) -> Iterator[DataFrame]:
+    """The fact of many new tickets as frames to be written one after the other.
+
+    Tickets meet their orders and dimensions once and are written. Then one part of the tickets after the other, by hash, meets
+    its activity, so that the shuffle of one part is on disk at a time. Events are aggregated before they are joined: a hot
+    ticket is combined on the map side, and with many tickets a join to cut the events down would shuffle all of them.
+    """
+    ordered = facts.with_orders(tickets, lake.read("silver_orders"))
+    known = facts.resolve_keys(ordered, dims) if dims else ordered
+    sks = [sk for _, sk in facts.DIMENSION_KEYS.values() if sk in known.columns]
+    ordered = staged(known.select(*facts.TICKET, *facts.BOUGHT, *sks), "ordered-tickets", CODEC)
+    numbers = number_rows(ordered.select("ticket_id"), "ticket_id", "ticket_sk", base)
+    events = lake.read("silver_ticket_events")
+    if events.schema["ticket_id"].dataType != ordered.schema["ticket_id"].dataType:
+        parts = 1  # equal ids would have other hashes
+    for part in range(parts):
+        ours = F.pmod(F.xxhash64("ticket_id"), F.lit(parts)) == part
+        activity = sla.ticket_activity(events.filter(ours))
+        rows = facts.fact_rows(ordered.filter(ours).join(numbers.filter(ours), "ticket_id"), None, activity, batch_id, keep=sks)
+        yield facts.to_fact_schema(rows)
+
+
 def analytic_views(lake: Lake, dims: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Per-ticket SLA, dashboard and revenue impact over the lake's tables."""
     activity = sla.ticket_activity(lake.read("silver_ticket_events"))
